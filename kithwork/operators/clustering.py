@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kithwork.functions import spread_hash
 from kithwork.session import cut_lineage
@@ -31,54 +31,51 @@ def _points(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("item_id", "user_id").agg(F.avg("rating").alias("value"))
 
 
-def item_vectors(ratings: DataFrame, size: int | None = None) -> DataFrame:
+def item_vectors(ratings: DataFrame, size: int | None = None, first_user: int = 1) -> DataFrame:
     """``(item_id, part, size, indices, values)``: one sparse vector over users per item.
 
-    Position is ``user_id - 1``; the size is the largest user id unless given. The vector of an item
-    with very many ratings comes in several parts with disjoint positions.
+    Users are numbered from ``first_user``; the size is their count up to the largest id unless given.
+    The vector of an item with very many ratings comes in several parts with disjoint positions.
     """
     points = _points(ratings)
-    entry = F.struct((F.col("user_id") - 1).cast("int").alias("i"), F.col("value").alias("x"))
-    width = F.lit(size) if size is not None else ratings.agg(F.max("user_id")).scalar()
+    position = (F.col("user_id") - first_user).cast("int")
+    entry = F.struct(position.alias("i"), F.col("value").alias("x"))
+    width = F.lit(size) if size is not None else ratings.agg(F.max("user_id") - first_user + 1).scalar()
     return bags(points, ["item_id"], entry, "entries").select(
         "item_id", "part", width.cast("int").alias("size"), F.col("entries.i").alias("indices"), F.col("entries.x").alias("values")
     )
 
 
-def _norm_terms(k: int) -> list[Column]:
-    return [F.sum(F.col(f"c{j}") * F.col(f"c{j}")).alias(f"c{j}") for j in range(k)]
+def _norms(centres: DataFrame, k: int) -> list[float]:
+    return list(centres.agg(*(F.expr(f"sum(c{j} * c{j})") for j in range(k))).first())
 
 
 def _centres(by_item: DataFrame, assigned: DataFrame, sizes: list[int], old: DataFrame | None, splits: dict) -> DataFrame:
     """``(user_id, c0, c1, ...)``: the mean of every cluster; an empty cluster keeps its old centre."""
-    k = len(sizes)
     rows = lookup(by_item, assigned, "item_id", splits)
     means = [
-        (F.coalesce(F.sum(F.when(F.col("cluster") == j, F.col("value"))), F.lit(0.0)) / F.lit(max(size, 1))).alias(f"c{j}")
+        F.expr(f"coalesce(sum(case when cluster = {j} then value end), 0D) / {max(size, 1)} as c{j}")
         for j, size in enumerate(sizes)
     ]
     centres = rows.groupBy("user_id").agg(*means)
     if old is None or all(sizes):
         return centres
-    kept = old.select("user_id", *(F.col(f"c{j}").alias(f"old{j}") for j in range(k)))
-    values = [F.col(f"c{j}") if sizes[j] else F.col(f"old{j}").alias(f"c{j}") for j in range(k)]
-    return centres.join(kept, "user_id").select("user_id", *values)
+    kept = old.select("user_id", *(F.col(f"c{j}").alias(f"old{j}") for j in range(len(sizes))))
+    values = [f"c{j}" if size else f"old{j} as c{j}" for j, size in enumerate(sizes)]
+    return centres.join(kept, "user_id").selectExpr("user_id", *values)
 
 
 def _nearest(by_user: DataFrame, centres: DataFrame, norms: list[float], splits: dict) -> DataFrame:
     """``(item_id, cluster, sq_dist)`` by |x|^2 - 2 x.c + |c|^2, all clusters in one pass."""
-    k = len(norms)
-    products = [F.sum(F.col("value") * F.col(f"c{j}")).alias(f"p{j}") for j in range(k)]
-    square = F.sum(F.col("value") * F.col("value")).alias("square")
-    sums = lookup(by_user, centres, "user_id", splits).groupBy("item_id").agg(square, *products)
-    distances = [
-        F.struct(
-            F.round(F.col("square") - 2 * F.col(f"p{j}") + F.lit(norm), DIGITS).alias("d"), F.lit(j).alias("j")
-        )
-        for j, norm in enumerate(norms)
-    ]
-    best = F.array_min(F.array(*distances))
-    return sums.select("item_id", best["j"].alias("cluster"), F.greatest(best["d"], F.lit(0.0)).alias("sq_dist"))
+    products = [F.expr(f"sum(value * c{j}) as p{j}") for j in range(len(norms))]
+    sums = lookup(by_user, centres, "user_id", splits).groupBy("item_id").agg(
+        F.expr("sum(value * value) as square"), *products
+    )
+    distances = ", ".join(
+        f"struct(round(square - 2 * p{j} + {norm!r}D, {DIGITS}) as d, {j} as j)" for j, norm in enumerate(norms)
+    )
+    best = sums.selectExpr("item_id", f"array_min(array({distances})) as best")
+    return best.selectExpr("item_id", "best.j as cluster", "greatest(best.d, 0D) as sq_dist")
 
 
 def _sizes(assigned: DataFrame, k: int) -> list[int]:
@@ -108,8 +105,8 @@ def kmeans_items(
     centres, sizes = None, [1] * seeds.count()
     for _ in range(iterations):
         centres = cut_lineage(_centres(by_item, assigned, sizes, centres, item_splits))
-        norms = list(centres.agg(*_norm_terms(len(sizes))).first())
-        assigned = cut_lineage(_nearest(by_user, centres, norms, user_splits))
+        nearest = _nearest(by_user, centres, _norms(centres, len(sizes)), user_splits)
+        assigned = cut_lineage(nearest)
         sizes = _sizes(assigned, len(sizes))
     by_user.unpersist()
     by_item.unpersist()

@@ -48,34 +48,39 @@ def start_factors(ids: DataFrame, key: str, k: int = RANK, init: str = "hashed",
 
 def normal_sums(ratings: DataFrame, factors: DataFrame, by: str, key: str, splits: dict, k: int) -> DataFrame:
     """Sums of factor products (``a_i_j``, upper triangle) and of rating x factor (``b_i``) per ``key``."""
-    f = [F.col(name) for name in _names(k)]
-    sums = [F.sum(f[i] * f[j]).alias(f"a_{i}_{j}") for i in range(k) for j in range(i, k)]
-    sums += [F.sum(F.col("rating") * f[i]).alias(f"b_{i}") for i in range(k)]
+    sums = [F.expr(f"sum(f{i} * f{j}) as a_{i}_{j}") for i in range(k) for j in range(i, k)]
+    sums += [F.expr(f"sum(rating * f{i}) as b_{i}") for i in range(k)]
     return lookup(ratings, factors, by, splits).groupBy(key).agg(*sums)
 
 
 def solve(sums: DataFrame, key: str, k: int, regularisation: float) -> DataFrame:
-    """Solve ``(A + regularisation I) x = b`` in every row."""
+    """Solve ``(A + regularisation I) x = b`` in every row.
+
+    The matrix is symmetric and positive definite, so elimination needs no pivoting. It is written as
+    one select whose columns refer to earlier ones, and runs inside generated code.
+    """
     if k > MAX_EXPRESSION_RANK:
         return _solve_batches(sums, key, k, regularisation)
-    a = {(i, j): F.col(f"a_{i}_{j}") + (regularisation if i == j else 0.0) for i in range(k) for j in range(i, k)}
-    b = [F.col(f"b_{i}") for i in range(k)]
-    # A is symmetric and positive definite, so elimination needs no pivoting. Each step is one
-    # projection; the terms of the next step refer to its columns.
-    rows = sums
+    columns = []
+
+    def define(name: str, text: str) -> str:
+        columns.append(f"{text} as {name}")
+        return name
+
+    a = {(i, j): f"a_{i}_{j}" for i in range(k) for j in range(i, k)}
+    b = [f"b_{i}" for i in range(k)]
+    for i in range(k):
+        a[i, i] = define(f"d_{i}", f"a_{i}_{i} + {float(regularisation)!r}D")
     for p in range(k):
-        rows = rows.select(key, *(v.alias(f"a_{i}_{j}") for (i, j), v in a.items()), *(v.alias(f"b_{i}") for i, v in enumerate(b)))
-        a = {ij: F.col(f"a_{ij[0]}_{ij[1]}") for ij in a}
-        b = [F.col(f"b_{i}") for i in range(k)]
         for i in range(p + 1, k):
-            ratio = a[p, i] / a[p, p]
+            ratio = define(f"r_{p}_{i}", f"{a[p, i]} / {a[p, p]}")
             for j in range(i, k):
-                a[i, j] = a[i, j] - ratio * a[p, j]
-            b[i] = b[i] - ratio * b[p]
+                a[i, j] = define(f"a_{p}_{i}_{j}", f"{a[i, j]} - {ratio} * {a[p, j]}")
+            b[i] = define(f"b_{p}_{i}", f"{b[i]} - {ratio} * {b[p]}")
     for p in reversed(range(k)):
-        known = sum((F.col(f"a_{p}_{j}") * F.col(f"f{j}") for j in range(p + 1, k)), F.lit(0.0))
-        rows = rows.withColumn(f"f{p}", (F.col(f"b_{p}") - known) / F.col(f"a_{p}_{p}"))
-    return rows.select(key, *_names(k))
+        known = "".join(f" - {a[p, j]} * f{j}" for j in range(p + 1, k))
+        define(f"f{p}", f"({b[p]}{known}) / {a[p, p]}")
+    return sums.selectExpr(key, *columns).select(key, *_names(k))
 
 
 def _solve_batches(sums: DataFrame, key: str, k: int, regularisation: float) -> DataFrame:

@@ -246,8 +246,8 @@ select item_id, round(avg_rating, 6) avg_rating from averages order by averages.
     "rating_stats": _view("ratings", """
 select count(distinct user_id) users, count(distinct item_id) items, count(*) n from ratings"""),
     "item_vectors": _view("ratings", """
-select item_id, 0 part, (select cast(max(user_id) as int) from ratings) size,
-  string_agg((user_id - 1) || ':' || rating, ',' order by user_id) entries from ratings group by item_id"""),
+select item_id, 0 part, (select cast(max(user_id) + 1 as int) from ratings) size,
+  string_agg(user_id || ':' || rating, ',' order by user_id) entries from ratings group by item_id"""),
     "kmeans_items": _kmeans("select item_id, cast(cluster as int) cluster, round(greatest(d, 0), 6) sq_dist from {last}", ["ratings"]),
     "kmeans_cost": _kmeans("select round(sum(greatest(d, 0)), 4) cost from {last}", ["ratings"]),
     "cluster_samples": _kmeans("""

@@ -285,7 +285,7 @@ def rating_stats(spark, sf):
 
 @query
 def item_vectors(spark, sf):
-    vectors = clustering.item_vectors(stored(spark, sf, "ratings"))
+    vectors = clustering.item_vectors(stored(spark, sf, "ratings"), first_user=0)
     entries = F.transform(
         F.arrays_zip("indices", "values"),
         lambda e: F.concat_ws(":", e["indices"].cast("string"), e["values"].cast("int").cast("string")),
@@ -314,7 +314,7 @@ def cluster_samples(spark, sf):
 
 @query
 def kmeans_mllib(spark, sf):
-    return clustering.kmeans_mllib(clustering.item_vectors(stored(spark, sf, "ratings")))
+    return clustering.kmeans_mllib(clustering.item_vectors(stored(spark, sf, "ratings"), first_user=0))
 
 
 # ---- classification
