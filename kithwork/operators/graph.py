@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kithwork.functions import full_name
 from kithwork.session import cut_lineage
 
-from .skew import bags, measure, spread_join
+from .skew import HotKeys, bags, copy_hot, join_splits, measure, spread_join, tag_hot
 
 
 def simple_edges(edges: DataFrame) -> DataFrame:
@@ -37,9 +37,12 @@ def mutual_friends(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     pair with a hub costs what its other user costs.
     """
     pairs = pairs.select("u1", "u2").distinct()
-    asked = pairs.select(F.explode(F.array("u1", "u2")).alias("uid")).distinct()
-    sizes = edges.join(asked, "uid", "left_semi").groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
     hot_u1, hot_u2 = measure(pairs, "u1", "u2")
+    hot_uid, hot_friend = measure(edges, "uid", "friend")
+    hot_asked = hot_u1.plus(hot_u2)
+    asked = pairs.select(F.explode(F.array("u1", "u2")).alias("uid")).distinct()
+    lists = spread_join(edges.select("uid", "friend"), asked, "uid", "left_semi", left_hot=hot_uid)
+    sizes = lists.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
     sized = spread_join(pairs, sizes.select(F.col("uid").alias("u1"), F.col("n").alias("n1")), "u1", left_hot=hot_u1)
     sized = spread_join(sized, sizes.select(F.col("uid").alias("u2"), F.col("n").alias("n2")), "u2", left_hot=hot_u2)
     first_is_short = F.col("n1") <= F.col("n2")
@@ -49,13 +52,26 @@ def mutual_friends(edges: DataFrame, pairs: DataFrame) -> DataFrame:
         "u1",
         "u2",
     )
-    hot_edges = measure(edges, "uid")[0]
-    listed = spread_join(
-        edges.select("uid", "friend"), ordered, "uid", left_hot=hot_edges, right_hot=hot_u1.plus(hot_u2)
-    )
-    return listed.join(
-        edges.select(F.col("uid").alias("other"), "friend"), ["other", "friend"], "left_semi"
-    ).select("u1", "u2", "friend")
+    listed = spread_join(edges.select("uid", "friend"), ordered, "uid", left_hot=hot_uid, right_hot=hot_asked)
+    known = edges.select(F.col("uid").alias("other"), "friend")
+    return _where_known(listed, known, hot_asked, hot_friend).select("u1", "u2", "friend")
+
+
+def _where_known(listed: DataFrame, known: DataFrame, hot_other: HotKeys, hot_friend: HotKeys) -> DataFrame:
+    """Keep the rows of ``listed`` whose (other, friend) is an edge.
+
+    One (other, friend) holds at most one row per list the friend is in, so it can only be hot where
+    both ids are; those few combinations are split.
+    """
+    spark = listed.sparkSession
+    others, friends = join_splits(spark, hot_other), join_splits(spark, hot_friend)
+    on = ["other", "friend"]
+    if others and friends:
+        both = F.col("other").isin(list(others))
+        listed = tag_hot(listed, "friend", friends, "_s", both)
+        known = copy_hot(known, "friend", friends, "_s", both)
+        on.append("_s")
+    return listed.join(known, on, "left_semi")
 
 
 def mutual_friends_list(edges: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -75,7 +91,7 @@ def _one_row_per_pair(pairs: DataFrame, found: DataFrame, name: str) -> DataFram
 
 def common_friends(edges: DataFrame, ids: DataFrame, min_lists: int = 2) -> DataFrame:
     """``(friend, n)``: friends found in at least ``min_lists`` of the lists of the users ``ids(uid)``."""
-    lists = edges.join(ids.select("uid").distinct(), "uid", "left_semi")
+    lists = spread_join(edges.select("uid", "friend"), ids.select("uid").distinct(), "uid", "left_semi")
     return lists.groupBy("friend").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_lists)
 
 
@@ -152,6 +168,9 @@ def candidate_list(edges: DataFrame, targets: DataFrame) -> DataFrame:
 def _known_targets(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """The targets that have a list of their own or stand in somebody's list."""
     targets = targets.select("target").distinct()
-    own = edges.select(F.col("uid").alias("target")).join(targets, "target", "left_semi")
-    listed = edges.select(F.col("friend").alias("target")).join(targets, "target", "left_semi")
-    return own.union(listed).distinct()
+    hot_uid, hot_friend = measure(edges, "uid", "friend")
+    owners = edges.select(F.col("uid").alias("target"), F.col("friend").alias("by"))
+    listed = edges.select(F.col("friend").alias("target"), F.col("uid").alias("by"))
+    owners = spread_join(owners, targets, "target", "left_semi", left_hot=hot_uid)
+    listed = spread_join(listed, targets, "target", "left_semi", left_hot=hot_friend)
+    return owners.union(listed).select("target").distinct()

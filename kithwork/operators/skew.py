@@ -67,20 +67,28 @@ def _split_table(df: DataFrame, key: str, splits: dict, name: str) -> DataFrame:
     return F.broadcast(rows)
 
 
-def tag_hot(df: DataFrame, key: str, splits: dict, salt: str) -> DataFrame:
-    """Give every row one salt below the number of splits of its key, from the row's own content."""
+def tag_hot(df: DataFrame, key: str, splits: dict, salt: str, only: Column | None = None) -> DataFrame:
+    """Give every row one salt below the number of splits of its key, from the row's own content.
+
+    Rows that do not meet ``only`` all have salt 0.
+    """
     table = _split_table(df, key, splits, "_splits")
-    value = F.pmod(F.xxhash64(*df.columns), F.coalesce(F.col("_splits"), F.lit(1)))
+    value = F.pmod(F.xxhash64(*df.columns), _split_count(only))
     return df.join(table, key, "left").withColumn(salt, value.cast("int")).drop("_splits")
 
 
-def copy_hot(df: DataFrame, key: str, splits: dict, salt: str) -> DataFrame:
+def copy_hot(df: DataFrame, key: str, splits: dict, salt: str, only: Column | None = None) -> DataFrame:
     """Repeat every row once per salt of its key."""
     table = _split_table(df, key, splits, "_splits")
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)
+    salts = F.sequence(F.lit(0), _split_count(only) - 1)
     return df.join(table, key, "left").withColumn(salt, F.explode(salts)).drop("_splits")
 
 
+def _split_count(only: Column | None) -> Column:
+    count = F.col("_splits") if only is None else F.when(only, F.col("_splits"))
+    return F.coalesce(count, F.lit(1))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
