@@ -19,7 +19,8 @@ def split_fields(value: Column, sep: str) -> Column:
     if len(sep) == 1:
         stripped = F.rtrim(value, F.lit(sep))
     else:
-        stripped = F.regexp_replace(value, f"({re.escape(sep)})+$", "")
+        trailing = F.regexp_replace(value, f"({re.escape(sep)})+$", "")
+        stripped = F.when(value.endswith(sep), trailing).otherwise(value)
     return (
         F.when(value == "", F.array(F.lit("")))
         .when(stripped == "", F.array().cast("array<string>"))

@@ -46,50 +46,51 @@ def item_vectors(ratings: DataFrame, size: int | None = None, first_user: int =
     )
 
 
-def _norms(centres: DataFrame, k: int) -> list[float]:
-    return list(centres.agg(*(F.expr(f"sum(c{j} * c{j})") for j in range(k))).first())
-
-
-def _centres(by_item: DataFrame, assigned: DataFrame, sizes: list[int], old: DataFrame | None, splits: dict) -> DataFrame:
-    """``(user_id, c0, c1, ...)``: the mean of every cluster; an empty cluster keeps its old centre."""
-    rows = lookup(by_item, assigned, "item_id", splits)
-    means = [
-        F.expr(f"coalesce(sum(case when cluster = {j} then value end), 0D) / {max(size, 1)} as c{j}")
-        for j, size in enumerate(sizes)
-    ]
-    centres = rows.groupBy("user_id").agg(*means)
-    if old is None or all(sizes):
-        return centres
-    kept = old.select("user_id", *(F.col(f"c{j}").alias(f"old{j}") for j in range(len(sizes))))
-    values = [f"c{j}" if size else f"old{j} as c{j}" for j, size in enumerate(sizes)]
-    return centres.join(kept, "user_id").selectExpr("user_id", *values)
-
-
-def _nearest(by_user: DataFrame, centres: DataFrame, norms: list[float], splits: dict) -> DataFrame:
-    """``(item_id, cluster, sq_dist)`` by |x|^2 - 2 x.c + |c|^2, all clusters in one pass."""
-    products = [F.expr(f"sum(value * c{j}) as p{j}") for j in range(len(norms))]
-    sums = lookup(by_user, centres, "user_id", splits).groupBy("item_id").agg(
+def _cluster_sums(by_item: DataFrame, assigned: DataFrame, splits: dict, k: int) -> DataFrame:
+    """``(user_id, c0, c1, ...)``: per user the summed values of the items of every cluster."""
+    sums = [F.expr(f"coalesce(sum(case when cluster = {j} then value end), 0D) as c{j}") for j in range(k)]
+    return lookup(by_item, assigned, "item_id", splits).groupBy("user_id").agg(*sums)
+
+
+def _keep_empty(sums: DataFrame, old: DataFrame, counts: list[int]) -> DataFrame:
+    """The old sums for clusters without items, the new ones for the others."""
+    kept = old.select("user_id", *(F.col(f"c{j}").alias(f"old{j}") for j in range(len(counts))))
+    values = [f"c{j}" if count else f"old{j} as c{j}" for j, count in enumerate(counts)]
+    return sums.join(kept, "user_id").selectExpr("user_id", *values)
+
+
+def _nearest(by_user: DataFrame, sums: DataFrame, sizes: list[int], splits: dict) -> DataFrame:
+    """``(item_id, cluster, sq_dist)`` by |x|^2 - 2 x.c + |c|^2, all clusters in one pass.
+
+    A centre is the sums of its cluster over its size. The sizes and norms go in as array literals,
+    so that all iterations run the same generated code.
+    """
+    k = len(sizes)
+    squares = sums.agg(*(F.expr(f"sum(c{j} * c{j})") for j in range(k))).first()
+    twice = F.lit([2.0 / size for size in sizes])
+    norms = F.lit([square / size**2 for square, size in zip(squares, sizes)])
+    products = [F.expr(f"sum(value * c{j}) as p{j}") for j in range(k)]
+    per_item = lookup(by_user, sums, "user_id", splits).groupBy("item_id").agg(
         F.expr("sum(value * value) as square"), *products
     )
-    distances = ", ".join(
-        f"struct(round(square - 2 * p{j} + {norm!r}D, {DIGITS}) as d, {j} as j)" for j, norm in enumerate(norms)
+    distances = F.transform(
+        F.array(*(f"p{j}" for j in range(k))),
+        lambda p, j: F.struct(
+            F.round(F.col("square") - p * F.get(twice, j) + F.get(norms, j), DIGITS).alias("d"), j.alias("j")
+        ),
     )
-    best = sums.selectExpr("item_id", f"array_min(array({distances})) as best")
+    best = per_item.select("item_id", F.array_min(distances).alias("best"))
     return best.selectExpr("item_id", "best.j as cluster", "greatest(best.d, 0D) as sq_dist")
 
 
-def _sizes(assigned: DataFrame, k: int) -> list[int]:
-    counts = dict(assigned.groupBy("cluster").count().collect())
-    return [counts.get(j, 0) for j in range(k)]
-
-
 def kmeans_items(
     ratings: DataFrame, k: int = CLUSTERS, iterations: int = ITERATIONS, seed: int = 11
 ) -> DataFrame:
     """``(item_id, cluster, sq_dist)`` after the given iterations.
 
-    The start centres are k items in pseudo-random order of their ids. The driver sees k counts and
-    k norms per iteration, nothing that grows with the data.
+    The start centres are k items in pseudo-random order of their ids; a cluster that loses all its
+    items keeps its centre. The driver sees k counts and k norms per iteration, nothing that grows
+    with the data.
     """
     points = cut_lineage(_points(ratings))
     user_splits, item_splits = (join_splits(points.sparkSession, hot) for hot in measure(points, "user_id", "item_id"))
@@ -102,12 +103,15 @@ def kmeans_items(
     seeds = cut_lineage(items.orderBy(*order).limit(k).select("item_id", number.alias("cluster")))
     # All other items start without a cluster; their users are at 0 in all start centres.
     assigned = items.join(F.broadcast(seeds), "item_id", "left")
-    centres, sizes = None, [1] * seeds.count()
+    sizes = counts = [1] * seeds.count()
+    sums = None
     for _ in range(iterations):
-        centres = cut_lineage(_centres(by_item, assigned, sizes, centres, item_splits))
-        nearest = _nearest(by_user, centres, _norms(centres, len(sizes)), user_splits)
-        assigned = cut_lineage(nearest)
-        sizes = _sizes(assigned, len(sizes))
+        new = _cluster_sums(by_item, assigned, item_splits, len(sizes))
+        sums = cut_lineage(new if all(counts) else _keep_empty(new, sums, counts))
+        assigned = cut_lineage(_nearest(by_user, sums, sizes, user_splits))
+        found = dict(assigned.groupBy("cluster").count().collect())
+        counts = [found.get(j, 0) for j in range(len(sizes))]
+        sizes = [count or size for count, size in zip(counts, sizes)]
     by_user.unpersist()
     by_item.unpersist()
     return assigned

@@ -7,6 +7,7 @@ from .lines import (
     parse_users,
     read_lines,
     rejected_lines,
+    spread_splits,
 )
 from .delimited import MOVIES, RATINGS, USERS, read_delimited
 from .sinks import as_lines, write_text
@@ -25,5 +26,6 @@ __all__ = [
     "read_delimited",
     "read_lines",
     "rejected_lines",
+    "spread_splits",
     "write_text",
 ]

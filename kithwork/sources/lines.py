@@ -12,7 +12,18 @@ from kithwork.functions import split_fields
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    return spark.read.text(list(paths))
+    return spread_splits(spark.read.text(list(paths)))
+
+
+def spread_splits(scan: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a file scan that has far fewer splits than there are cores, else leave it alone.
+
+    A compressed text file, or a table file of one row group, is read by one task whatever its
+    size; large inputs have many splits and are never moved.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()
+    return scan.repartition(cores, *keys) if splits * 2 <= cores else scan
 
 
 def _field(parts: str, index: int) -> Column:

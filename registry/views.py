@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kithwork.session import shared_folder
-from kithwork.sources.lines import with_birth_date
+from kithwork.sources.lines import spread_splits, with_birth_date
 
 EDGES = """
 with e as (select distinct o_custkey a, (o_orderkey*7+3) % (select count(*) from customer) b from orders),
@@ -84,6 +84,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = SPARK[name]
     tables = {t: table(spark, sf_dir, t) for t in TABLES[name]}
+    if name == "lines":
+        tables["documents"] = spread_splits(tables["documents"].select("doc_id", "text"), "doc_id")
     for t in tables:
         text = text.replace(f"from {t}", f"from {{{t}}}").replace(f"join {t}", f"join {{{t}}}")
     df = spark.sql(text, **tables)
