@@ -63,7 +63,7 @@ def test_age_job_writes_one_ordered_report(spark, graph_files, tmp_path):
     adjacency, people = graph_files
     out = str(tmp_path / "out")
     jobs.top_average_age(spark, adjacency, people, out, unit="year", rank_on="rounded")
-    rows = [r.value for r in sources.read_lines(spark, out).collect()]
+    rows = [r.value for r in spark.read.text(out).collect()]
     assert rows == [
         "4\t4 Main, Town, TX, 65.00",
         "5\t5 Main, Town, TX, 63.50",
