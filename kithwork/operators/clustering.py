@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kithwork.functions import spread_hash
 from kithwork.session import cut_lineage
 
-from .skew import bags, join_splits, laid_out, lookup, measure
+from .skew import bags, join_splits, laid_out, lookup, measure, spread_join
 
 # Fixed values of the original job: clusters, iterations, samples per cluster.
 CLUSTERS = 10
@@ -129,7 +129,8 @@ def cluster_samples(assigned: DataFrame, movies: DataFrame, per_cluster: int = S
     """
     order = Window.partitionBy("cluster").orderBy("item_id")
     first = assigned.select("cluster", "item_id", F.row_number().over(order).alias("n")).where(F.col("n") <= per_cluster)
-    return movies.join(first.drop("n"), "item_id").select("cluster", "item_id", "title", "genres")
+    first = cut_lineage(first.drop("n"))
+    return spread_join(first, movies, "item_id").select("cluster", "item_id", "title", "genres")
 
 
 def kmeans_mllib(

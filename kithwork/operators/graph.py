@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kithwork.functions import full_name
 from kithwork.session import cut_lineage
 
-from .skew import HotKeys, bags, copy_hot, join_splits, measure, spread_join, tag_hot
+from .skew import HotKeys, bags, copy_hot, is_small, join_splits, measure, spread_join, tag_hot
 
 
 def simple_edges(edges: DataFrame) -> DataFrame:
@@ -46,15 +46,26 @@ def mutual_friends(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     sized = spread_join(pairs, sizes.select(F.col("uid").alias("u1"), F.col("n").alias("n1")), "u1", left_hot=hot_u1)
     sized = spread_join(sized, sizes.select(F.col("uid").alias("u2"), F.col("n").alias("n2")), "u2", left_hot=hot_u2)
     first_is_short = F.col("n1") <= F.col("n2")
-    ordered = sized.select(
-        F.when(first_is_short, F.col("u1")).otherwise(F.col("u2")).alias("uid"),
-        F.when(first_is_short, F.col("u2")).otherwise(F.col("u1")).alias("other"),
-        "u1",
-        "u2",
+    ordered = cut_lineage(
+        sized.select(
+            F.when(first_is_short, F.col("u1")).otherwise(F.col("u2")).alias("uid"),
+            F.when(first_is_short, F.col("u2")).otherwise(F.col("u1")).alias("other"),
+            "u1",
+            "u2",
+            F.least("n1", "n2").alias("n"),
+        )
+    )
+    to_look_up = ordered.agg(F.sum("n")).first()[0] or 0
+    listed = spread_join(
+        edges.select("uid", "friend"), ordered.drop("n"), "uid", left_hot=hot_uid, right_hot=hot_asked
     )
-    listed = spread_join(edges.select("uid", "friend"), ordered, "uid", left_hot=hot_uid, right_hot=hot_asked)
     known = edges.select(F.col("uid").alias("other"), "friend")
-    return _where_known(listed, known, hot_asked, hot_friend).select("u1", "u2", "friend")
+    if is_small(edges.sparkSession, to_look_up):
+        # Every edge is there once, so an inner join keeps what a semi join would.
+        found = known.join(F.broadcast(listed), ["other", "friend"])
+    else:
+        found = _where_known(listed, known, hot_asked, hot_friend)
+    return found.select("u1", "u2", "friend")
 
 
 def _where_known(listed: DataFrame, known: DataFrame, hot_other: HotKeys, hot_friend: HotKeys) -> DataFrame:
@@ -121,9 +132,11 @@ def friend_candidates(edges: DataFrame, targets: DataFrame) -> DataFrame:
     targets = targets.select("target").distinct()
     hot_uid, hot_friend = measure(edges, "uid", "friend")
     incoming = edges.select(F.col("friend").alias("target"), F.col("uid").alias("via"))
-    first = spread_join(incoming, targets, "target", left_hot=hot_friend)
+    first = cut_lineage(spread_join(incoming, targets, "target", "left_semi", left_hot=hot_friend))
+    hot_via = measure(first, "via")[0]
     second = edges.select(F.col("uid").alias("via"), F.col("friend").alias("candidate"))
-    paths = spread_join(second, first, "via", left_hot=hot_uid).where(F.col("candidate") != F.col("target"))
+    paths = spread_join(second, first, "via", left_hot=hot_uid, right_hot=hot_via)
+    paths = paths.where(F.col("candidate") != F.col("target"))
     counted = paths.groupBy("target", "candidate").agg(F.count(F.lit(1)).alias("n"))
     own = spread_join(
         edges.select(F.col("uid").alias("target"), F.col("friend").alias("candidate")),

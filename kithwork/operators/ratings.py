@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from kithwork.functions import number_list, split_fields
+from kithwork.session import cut_lineage
 
 from .skew import bags, measure, spread_join, with_parts
 
@@ -63,10 +64,11 @@ def raters_of_lowest(
 
     ``movies`` and ``users`` come already selected, see ``select_movies`` and ``select_users``.
     """
-    lowest = lowest_rated_movies(ratings, movies).select("item_id")
+    lowest = cut_lineage(lowest_rated_movies(ratings, movies).select("item_id"))
     rated = ratings.select("user_id", "item_id")
     hot_item, hot_user = measure(rated, "item_id", "user_id")
-    rated = spread_join(rated, lowest, "item_id", "left_semi", left_hot=hot_item)
+    hot_lowest = measure(lowest, "item_id")[0]
+    rated = spread_join(rated, lowest, "item_id", left_hot=hot_item, right_hot=hot_lowest)
     found = spread_join(rated, users.select("user_id").distinct(), "user_id", "left_semi", left_hot=hot_user)
     found = found.select("user_id")
     return found.distinct() if distinct else found

@@ -2,9 +2,11 @@
 
 The hot keys of a side are measured first, in one scan of its key column that shuffles nothing but
 one small frequency sketch per task. At most ``MAX_HOT`` keys can each hold more than
-``1 / MAX_HOT`` of the rows, so the measured list has a fixed bound whatever the size of the data,
-and it is the only thing this package ever broadcasts by hand. Without hot keys the plan is the
-plain one, and Catalyst chooses by measured size between a broadcast and a shuffle.
+``1 / MAX_HOT`` of the rows, so the measured list has a fixed bound whatever the size of the data.
+Without hot keys the plan is the plain one.
+
+The same scan counts the rows. A side is marked for broadcast only if it was counted to be small; else
+Catalyst chooses by size between a broadcast and a shuffle.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ SKETCH_ITEMS = 16 * MAX_HOT
 # A key with fewer rows than this is never split; session setting, read at call time.
 MIN_ROWS_SETTING = "kithwork.skew.minRows"
 MIN_ROWS_DEFAULT = 200_000
+# A side with more rows than this is never marked for broadcast; session setting, read at call time.
+BROADCAST_ROWS_SETTING = "kithwork.broadcast.maxRows"
+BROADCAST_ROWS_DEFAULT = 200_000
 # Longest list kept in one row; session setting, read at call time.
 BAG_ROWS_SETTING = "kithwork.bag.maxRows"
 BAG_ROWS_DEFAULT = 500_000
@@ -60,6 +65,10 @@ def join_splits(spark: SparkSession, hot: HotKeys) -> dict:
     return hot.splits(max(_setting(spark, MIN_ROWS_SETTING, MIN_ROWS_DEFAULT), hot.rows // MAX_HOT))
 
 
+def is_small(spark: SparkSession, rows: int) -> bool:
+    return rows <= _setting(spark, BROADCAST_ROWS_SETTING, BROADCAST_ROWS_DEFAULT)
+
+
 def _split_table(df: DataFrame, key: str, splits: dict, name: str) -> DataFrame:
     """The (key, number of splits) list as a frame; broadcast is safe, it has at most LISTED rows."""
     kind = df.schema[key].dataType.simpleString()
@@ -102,6 +111,7 @@ def spread_join(
     The rows of a key hot on the left get a salt each and the matching right rows are repeated per
     salt, and the other way round for the right, so every pair of rows still meets exactly once.
     ``right_hot`` is for inner joins only: the other kinds may repeat the right side, not the left.
+    The measured frame may be larger than the joined one, never smaller.
     """
     if right_hot is not None and right_hot.keys and how != "inner":
         raise ValueError("only an inner join can split its right side")
@@ -110,6 +120,10 @@ def spread_join(
     spark = left.sparkSession
     if left_hot is None:
         left_hot = measure(left, key)[0]
+    if how == "inner" and is_small(spark, left_hot.rows):
+        return right.join(F.broadcast(left), key)
+    if right_hot is not None and is_small(spark, right_hot.rows):
+        return left.join(F.broadcast(right), key)
     on = [key]
     left_splits = join_splits(spark, left_hot)
     right_splits = join_splits(spark, right_hot) if right_hot else {}

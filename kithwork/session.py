@@ -21,16 +21,20 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; only a local session may fall back to its own."""
     named = spark.conf.get(CHECKPOINT_SETTING, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="kithwork-")
-    spark.conf.set(CHECKPOINT_SETTING, own)
-    return own
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="kithwork-")
+    return _own_folders[context.applicationId]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

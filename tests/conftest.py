@@ -16,11 +16,23 @@ def spark():
     yield session
 
 
+@pytest.fixture
+def large(spark):
+    """Settings under which no side counts as small."""
+    spark.conf.set(skew.BROADCAST_ROWS_SETTING, "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset(skew.BROADCAST_ROWS_SETTING)
+
+
 @pytest.fixture
 def skewed(spark):
     """Settings under which small tables have hot keys and long bags."""
     spark.conf.set(skew.MIN_ROWS_SETTING, "10")
     spark.conf.set(skew.BAG_ROWS_SETTING, "15")
+    spark.conf.set(skew.BROADCAST_ROWS_SETTING, "0")
     yield spark
+    spark.conf.unset(skew.BROADCAST_ROWS_SETTING)
     spark.conf.unset(skew.MIN_ROWS_SETTING)
     spark.conf.unset(skew.BAG_ROWS_SETTING)

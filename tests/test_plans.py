@@ -54,17 +54,33 @@ def test_no_operator_but_the_library_vectors_needs_python_or_a_cross_join(spark)
             assert word not in text
 
 
-def test_broadcast_only_below_the_size_limit(spark):
-    """With automatic broadcast off, only the measured list of hot keys may still be broadcast."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_broadcast_only_below_the_size_limit(large):
+    edges, rated = stored(large, SF, "edges"), stored(large, SF, "ratings")
+    movies, users = view(large, SF, "movies"), view(large, SF, "users")
+    frames = [
+        graph.friend_candidates(edges, id_frame(large, target=[1, 5])),
+        graph.mutual_friends(edges, id_frame(large, u1=[33], u2=[1])),
+        demographics.friend_age_avg(edges, stored(large, SF, "profiles")),
+        ratings.raters_of_lowest(rated, ratings.select_movies(movies), ratings.select_users(users)),
+    ]
+    for df in frames:
+        assert "Broadcast" not in plan(df) and "SortMergeJoin" in plan(df)
+
+
+def test_one_pair_and_few_targets_never_shuffle_the_graph(spark):
+    """Only the small counted sides are broadcast; the edges are scanned where they are."""
+    spark.conf.set("kithwork.broadcast.maxRows", "500")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
     try:
         edges = stored(spark, SF, "edges")
+        assert edges.count() > 500
+        text = plan(graph.mutual_friends(edges, id_frame(spark, u1=[33], u2=[1])))
+        assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
         text = plan(graph.friend_candidates(edges, id_frame(spark, target=[1, 5])))
-        text += plan(demographics.friend_age_avg(edges, view(spark, SF, "profiles")))
-        assert "Broadcast" not in text and "SortMergeJoin" in text
+        assert "Exchange hashpartitioning(via" not in text
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("kithwork.broadcast.maxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -74,11 +90,6 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<item_id:bigint,rating:int>" in text
 
 
-def test_cogroup_shuffles_each_side_once(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(ratings.movie_rating_cogroup(stored(spark, SF, "ratings"), view(spark, SF, "movies")))
-        assert text.count("Exchange hashpartitioning") == 2
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_cogroup_shuffles_each_side_once(large):
+    text = plan(ratings.movie_rating_cogroup(stored(large, SF, "ratings"), view(large, SF, "movies")))
+    assert text.count("Exchange hashpartitioning") == 2
