@@ -144,10 +144,10 @@ def kmeans_mllib(
     if bounds["part"] or (bounds["size"] or 0) * k > MAX_CENTRE_VALUES:
         raise ValueError("the item vectors are too wide for the library model; use kmeans_items")
 
-    @F.udf(VectorUDT())
+    @F.udf(returnType=VectorUDT(), useArrow=False)
     def sparse(size: int, indices: list[int], values: list[float]) -> SparseVector:
         return SparseVector(size, indices, values)
 
-    features = vectors.select("item_id", sparse("size", "indices", "values").alias("features")).persist()
+    features = vectors.select("item_id", sparse("size", "indices", "values").alias("features"))
     model = KMeans(k=k, maxIter=iterations, seed=seed).fit(features)
     return model.transform(features).select("item_id", F.col("prediction").alias("cluster"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kithwork import sources
 from kithwork.operators import classify, clustering, demographics, factorize, graph, ratings, words
+from kithwork.operators.tables import keep_first
 from kithwork.session import cut_lineage, id_frame
 
 
@@ -15,7 +16,7 @@ def _edges(spark: SparkSession, adjacency: str) -> DataFrame:
 
 
 def _profiles(spark: SparkSession, profiles: str) -> DataFrame:
-    return sources.parse_profiles(sources.read_lines(spark, profiles))
+    return keep_first(sources.parse_profiles(sources.read_lines(spark, profiles)), "uid")
 
 
 def word_count(spark: SparkSession, source: str, out: str, mode: str = "errorifexists", style: str = "plain") -> None:

@@ -190,6 +190,13 @@ select id, cast(label as double) label, cast(guess as double) prediction
 from (select *, row_number() over (partition by id order by score desc, guess) k from scores) where k = 1""",
 }
 
+# One round from a constant start: all factors of an id are equal.
+SCALAR = {
+    "i": "select item_id, sum(rating*0.5e0)/(1+5*sum(0.25e0)) f from ratings group by 1",
+    "u": "select r.user_id, sum(r.rating*i.f)/(1+5*sum(i.f*i.f)) f from ratings r join i on r.item_id=i.item_id group by 1",
+}
+SCALAR_BODY = "select user_id, " + ", ".join(f"round(f, 6) f{j}" for j in range(RANK)) + " from u"
+
 ORACLES: dict[str, str] = {
     "word_count": _with(["lines"], WORDS, "select word, n from counts"),
     "word_count_lines": _with(["lines"], WORDS, "select word || chr(9) || n as value from counts"),
@@ -250,6 +257,13 @@ select item_id, 0 part, (select cast(max(user_id) + 1 as int) from ratings) size
   string_agg(user_id || ':' || rating, ',' order by user_id) entries from ratings group by item_id"""),
     "kmeans_items": _kmeans("select item_id, cast(cluster as int) cluster, round(greatest(d, 0), 6) sq_dist from {last}", ["ratings"]),
     "kmeans_cost": _kmeans("select round(sum(greatest(d, 0)), 4) cost from {last}", ["ratings"]),
+    "keep_first": _view("profiles", """
+select city, zip, uid, street from (select *, row_number() over (partition by city order by zip, uid) k from profiles)
+where k = 1"""),
+    "cluster_sample_lines": _kmeans("""
+select cast(cluster as int) cluster, item_id || ',' || title || ',' || genres as value
+from (select *, row_number() over (partition by cluster order by item_id) k from {last}) join movies using (item_id)
+where k <= 5""", ["ratings", "movies"]),
     "cluster_samples": _kmeans("""
 select cast(cluster as int) cluster, item_id, title, genres
 from (select *, row_number() over (partition by cluster order by item_id) k from {last}) join movies using (item_id)
@@ -262,11 +276,9 @@ select vec_id id, cast(label as double) label, case when {_hash('vec_id', 11)} <
 select round(avg(cast(label = prediction as int)), 6) accuracy, count(*) n from bayes"""),
     "als_user_factors": _als(ROUNDS, _factors("user_id", "{users}")),
     "als_item_factors": _als(ROUNDS, _factors("item_id", "{items}")),
-    "als_user_factors_constant": _with(["ratings"], {
-        "i": "select item_id, sum(rating*0.5e0)/(1+5*sum(0.25e0)) f from ratings group by 1",
-        "u": """
-select r.user_id, sum(r.rating*i.f)/(1+5*sum(i.f*i.f)) f from ratings r join i on r.item_id=i.item_id group by 1""",
-    }, "select user_id, " + ", ".join(f"round(f, 6) f{j}" for j in range(RANK)) + " from u"),
+    "als_user_factors_constant": _with(["ratings"], SCALAR, SCALAR_BODY),
+    "als_factor_lookup": _with(["ratings", "movies", "users"], {**RATERS, **SCALAR},
+                               SCALAR_BODY + " where user_id in (select user_id from raters)"),
     "als_predict": _als(ROUNDS, f"""
 select r.user_id, r.item_id, round({_score()}, 4) score
 from ratings r join {{users}} u on u.user_id = r.user_id join {{items}} i on i.item_id = r.item_id"""),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kithwork import sources
 from kithwork.operators import classify, clustering, demographics, factorize, graph, ratings, words
+from kithwork.operators.tables import keep_first as first_rows
 from kithwork.session import cut_lineage
 
 from .views import glass, stored, view
@@ -178,6 +179,13 @@ def profile_age(spark, sf):
     return demographics.profile_age(view(spark, sf, "profiles")).select("uid", _digits("age"))
 
 
+@query
+def keep_first(spark, sf):
+    """The first profile of every city."""
+    people = view(spark, sf, "profiles").select("city", "zip", "uid", "street")
+    return first_rows(people, "city", "zip", "uid")
+
+
 @query
 def friend_age_avg(spark, sf):
     rows = demographics.friend_age_avg(stored(spark, sf, "edges"), view(spark, sf, "profiles"))
@@ -312,6 +320,13 @@ def cluster_samples(spark, sf):
     return clustering.cluster_samples(_clusters(spark, sf), view(spark, sf, "movies"))
 
 
+@query
+def cluster_sample_lines(spark, sf):
+    """The samples as comma-joined text of movie id, title and genres."""
+    rows = cluster_samples(spark, sf)
+    return rows.select("cluster", F.concat_ws(",", F.col("item_id").cast("string"), "title", "genres").alias("value"))
+
+
 @query
 def kmeans_mllib(spark, sf):
     return clustering.kmeans_mllib(clustering.item_vectors(stored(spark, sf, "ratings"), first_user=0))
@@ -375,6 +390,14 @@ def als_user_factors_constant(spark, sf):
     return _wide(users, "user_id", 6)
 
 
+@query
+def als_factor_lookup(spark, sf):
+    """The factors of the users who rated a lowest-rated movie."""
+    users, _ = factorize.als_factors(stored(spark, sf, "ratings"), rounds=1, init="constant")
+    asked = raters_of_lowest_distinct(spark, sf)
+    return _wide(users.join(asked, "user_id", "left_semi"), "user_id", 6)
+
+
 @query
 def als_predict(spark, sf):
     rated = stored(spark, sf, "ratings")
