@@ -90,7 +90,7 @@ def parse_movies(spark, sf):
 
 @query
 def parse_ratings(spark, sf):
-    rows = view(spark, sf, "ratings").withColumn("rated_at", F.lit("0"))
+    rows = stored(spark, sf, "ratings").withColumn("rated_at", F.lit("0"))
     return sources.parse_ratings(_table_lines(rows, "::"))
 
 
