@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kithwork.llm.decontamination import decontaminate
 from kithwork.llm.minhash_dedup import minhash_dedup
+from kithwork.llm.quality import quality
+from kithwork.llm.substring_dedup import substring_dedup
 from kithwork.llm.tables import table
 
 
@@ -12,7 +15,22 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_quality": op5_quality,
+    "op7_decontamination": op7_decontamination,
 }
 ORACLES: dict[str, str] = {}

@@ -33,3 +33,22 @@ def hash_sample(df: DataFrame, per_group: int, group: str, key: str) -> DataFram
     """
     order = Window.partitionBy(group).orderBy(F.xxhash64(F.col(key).cast("string")), key)
     return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_group).drop("_rank")
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int, max_bytes: int
+) -> tuple[dict[int, list[bytes]], dict[int, int]]:
+    """Texts of a bounded sample of labelled rows per class (0 and 1), and the class counts of all of them.
+
+    Rows with ``crc32(doc_id) % modulus == held_out`` are left out. A class gives at most ``per_class`` rows,
+    those with the smallest id hash, without texts above ``max_bytes``. Only the sampled ids are broadcast.
+    """
+    own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    own = own.where(F.col("label").isin(0, 1) & (fold("doc_id", modulus) != held_out))
+    own = own.groupBy("doc_id").agg(F.max("label").alias("label"))
+    counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
+    sample = hash_sample(own, per_class, "label", "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = texts.where(F.octet_length("text") <= max_bytes).join(F.broadcast(sample), "doc_id").collect()
+    rows = sorted((r["doc_id"], r["text"], r["label"]) for r in rows)
+    return {c: [text.encode() for _, text, k in rows if k == c] for c in (1, 0)}, {c: counts.get(c, 0) for c in (1, 0)}
