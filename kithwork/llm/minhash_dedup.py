@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kithwork.llm.components import components
-from kithwork.llm.tables import stored
+from kithwork.llm.tables import matching_rows, stored
 from kithwork.llm.words import Hasher, column_bytes, mix, shingle_hashes, slices
 
 SHINGLE = 5
@@ -32,7 +32,7 @@ PERCENT = 85
 SIDE = 12
 HALF = 4
 TILE_DOCS = 1024
-TILE_SHINGLES = 1_000_000
+TILE_SHINGLES = 250_000
 
 SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, parts array<long>"
 _random = np.random.Generator(np.random.PCG64(20240229))
@@ -194,7 +194,8 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, clumps: DataFrame, size: i
     bins = 1 + (held.where("tiles = 1").agg(F.sum("n_shingles")).first()[0] or 0) // TILE_SHINGLES
     held = held.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(held, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = matching_rows(texts, held.where("tiles >= 1"), "rep", "texts")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     rows = rows.select(
         "clump", "rep", "tile", "d1", "d2", "text", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"),
         F.when(F.col("tiles") == 1, -1 - F.pmod(F.xxhash64("clump"), F.lit(bins))).otherwise(F.col("clump")).alias("task"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -21,6 +23,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """SQL settings (dots as double underscores) for what is run inside."""
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def matching_rows(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """Inner join of a wide table with the few of its keys that are wanted, stored.
+
+    Where Spark shuffles the join, it first drops most other rows of ``df`` in the scan with a Bloom filter
+    of bounded size (``spark.sql.optimizer.runtime.bloomFilter.maxNumBits``), so wide rows nobody wants are
+    not shuffled. ``keys`` must hold a likely selective condition for Spark to make one.
+    """
+    with settings(df.sparkSession, spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0"):
+        return stored(df.join(keys, key), name)
+
+
 def fold(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % modulus
