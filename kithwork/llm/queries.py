@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kithwork.llm.decontamination import decontaminate
 from kithwork.llm.minhash_dedup import minhash_dedup
+from kithwork.llm.packing import pack
 from kithwork.llm.quality import quality
 from kithwork.llm.substring_dedup import substring_dedup
 from kithwork.llm.tables import table
@@ -27,10 +28,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality": op5_quality,
     "op7_decontamination": op7_decontamination,
+    "op9_packing": op9_packing,
 }
 ORACLES: dict[str, str] = {}
