@@ -89,17 +89,20 @@ def fit_quality(by_class: dict[int, list[bytes]], counts: dict[int, int]) -> dic
     return {"good": good, "bad": bad, "weights": fit_logistic(features(sizes), np.array(y), weight), "constant": None}
 
 
+def text_scores(model: dict, compressors: Compressors, texts: pa.Array) -> np.ndarray:
+    raw, offsets = column_bytes(texts)
+    if model["weights"] is None:
+        return np.full(len(offsets) - 1, model["constant"])
+    at = offsets.tolist()
+    x = features([compressors.sizes(raw[a:b].tobytes()) for a, b in zip(at, at[1:])])
+    return sigmoid(x @ model["weights"][:-1] + model["weights"][-1])
+
+
 def _scores(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = Compressors(model["good"], model["bad"])
         for batch in batches:
-            raw, offsets = column_bytes(batch.column(1))
-            at = offsets.tolist()
-            if model["weights"] is None:
-                score = np.full(len(batch), model["constant"])
-            else:
-                x = features([compressors.sizes(raw[a:b].tobytes()) for a, b in zip(at, at[1:])])
-                score = sigmoid(x @ model["weights"][:-1] + model["weights"][-1])
+            score = text_scores(model, compressors, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
     return run
@@ -111,6 +114,21 @@ def score_quality(docs: DataFrame, model: dict) -> DataFrame:
     return rows.mapInArrow(_scores(model), "doc_id long, score double")
 
 
+def _good(model: dict, text: int, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = Compressors(model["good"], model["bad"])
+        for batch in batches:
+            yield batch.filter(pa.array(text_scores(model, compressors, batch.column(text)) >= threshold))
+
+    return run
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``; no shuffle of the texts."""
+    model = fit_quality(*labelled_sample(docs, labels, "quality", modulus, held_out, SAMPLE, SAMPLE_BYTES))
+    return docs.mapInArrow(_good(model, docs.columns.index("text"), threshold), docs.schema)
+
+
 def quality(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``; score nearer 1: quality 1 likelier.
 

@@ -89,18 +89,36 @@ def repeated_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     return later.select("doc_id", "start", "stop", "first_doc", "first_start")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if text is not None and spans:
-                kept, at = [], 0
-                for span in spans:
-                    kept.append(text[at : span["start"]])
-                    at = span["stop"]
-                text = "".join([*kept, text[at:]])
-            texts.append(text)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), batch.column(2)], names=["doc_id", "text", "removed"])
+def without_spans(text: str, spans: list[dict]) -> str:
+    kept, at = [], 0
+    for span in spans:
+        kept.append(text[at : span["start"]])
+        at = span["stop"]
+    return "".join([*kept, text[at:]])
+
+
+def _cut(text: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(text).to_pylist()
+            texts = [t if t is None or not own else without_spans(t, own) for t, own in zip(texts, spans)]
+            yield batch.set_column(text, batch.schema.names[text], pa.array(texts, pa.string()))
+
+    return run
+
+
+def remove_repeated(docs: DataFrame, least: int = MIN_WORDS, removed: str = "removed") -> DataFrame:
+    """The rows of ``docs`` with all columns, ``text`` without later occurrences of units, and ``removed``.
+
+    ``removed`` must not be a column of ``docs``.
+    """
+    found = repeated_units(docs, least).distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(removed))
+    found = found.withColumnRenamed("doc_id", "_owner")
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    rows = rows.join(found, F.col("doc_id").cast("long") == F.col("_owner"), "left").drop("_owner")
+    schema = rows.withColumn(removed, F.col(removed).cast(SPAN)).schema
+    return rows.select(*docs.columns, F.col(removed).cast(SPAN).alias(removed)).mapInArrow(_cut(docs.columns.index("text")), schema)
 
 
 def substring_dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -111,9 +129,7 @@ def substring_dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     occur: (doc_id, offset) ranks units; rows that repeat a doc_id with its text count as one document. An
     empty table gives an empty result; other columns are not read.
     """
-    spans = repeated_units(docs, least).distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("removed"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = rows.join(spans, "doc_id", "left").mapInArrow(_cut, f"doc_id long, text string, removed {SPAN}")
+    cut = remove_repeated(rows, least)
     removed = F.coalesce("removed", F.array().cast(SPAN))
     return cut.select("doc_id", "text", removed.alias("removed"), F.size(removed).alias("n_removed"))
-
