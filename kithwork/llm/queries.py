@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kithwork.llm.decontamination import decontaminate
+from kithwork.llm.lm_scoring import lm_scores
 from kithwork.llm.minhash_dedup import minhash_dedup
 from kithwork.llm.packing import pack
 from kithwork.llm.quality import quality
 from kithwork.llm.substring_dedup import substring_dedup
 from kithwork.llm.tables import table
+from kithwork.llm.toxicity import toxicity
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,15 +34,21 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality": op5_quality,
     "op7_decontamination": op7_decontamination,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_packing": op9_packing,
 }
 ORACLES: dict[str, str] = {}
