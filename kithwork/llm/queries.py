@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kithwork.llm.decontamination import decontaminate
+from kithwork.llm.embedding_dedup import embedding_dedup
 from kithwork.llm.lm_scoring import lm_scores
 from kithwork.llm.minhash_dedup import minhash_dedup
 from kithwork.llm.packing import pack
@@ -14,6 +15,10 @@ from kithwork.llm.tables import table
 from kithwork.llm.toxicity import toxicity
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +48,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_substring_dedup": op4_substring_dedup,
