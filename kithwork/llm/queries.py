@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kithwork.llm.decontamination import decontaminate
 from kithwork.llm.embedding_dedup import embedding_dedup
+from kithwork.llm.language_id import language_id
 from kithwork.llm.lm_scoring import lm_scores
 from kithwork.llm.minhash_dedup import minhash_dedup
 from kithwork.llm.packing import pack
@@ -47,6 +48,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
@@ -56,5 +61,6 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_packing": op9_packing,
+    "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}
