@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kithwork.llm.decontamination import decontaminate
 from kithwork.llm.embedding_dedup import embedding_dedup
+from kithwork.llm.html_extraction import extract_text
 from kithwork.llm.language_id import language_id
 from kithwork.llm.lm_scoring import lm_scores
 from kithwork.llm.minhash_dedup import minhash_dedup
@@ -36,6 +37,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality": op5_quality,
+    "op6_html_extraction": op6_html_extraction,
     "op7_decontamination": op7_decontamination,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_packing": op9_packing,
