@@ -14,6 +14,7 @@ Only the histogram and the plan made from it pass through the driver.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -25,14 +26,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from kithwork.llm.tables import stored
-from kithwork.llm.words import Hasher, column_bytes, slices
+from kithwork.llm.words import Hasher, Words, column_bytes, slices
 
 WINDOW = 2048
 BIN = 8
 DEPTH = 3
 END_ID = 1
 SHARD_PIECES = 50_000
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 200_000
+ENCODE_WORDS = 2000
+# Kinds of bytes for cutting words: ASCII letters, ASCII signs, and what keeps a word whole: digits, the
+# apostrophe (contractions), "<" (special tokens) and all other bytes but the letters of two bytes 0xC3 ...
+LETTER, SIGN, WHOLE = 0, 1, 2
+KIND = np.array([LETTER if chr(b).isalpha() and b < 128 else SIGN if b < 128 and not chr(b).isdigit() and chr(b) not in "'<" and b > 32 and b != 127 else WHOLE for b in range(256)], np.uint8)
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -41,12 +47,14 @@ def tokenizer_path() -> str:
 
 
 class WordTokenizer:
-    """Token ids of texts by a tokenizer that never joins across ASCII white space.
+    """Token ids of texts by a tokenizer that never joins across ASCII white space, letters and signs.
 
-    Each distinct word is tokenised once and kept, so the work follows the distinct words of a task.
+    Each distinct run of letters or signs is tokenised once and kept, so the work follows the distinct runs
+    of a task; words with anything else in them are kept whole.
     """
 
     def __init__(self, definition: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core; threads of its own would hold memory
         self.tokenizer = Tokenizer.from_str(definition)
         self.hasher = Hasher()
         self._forget()
@@ -60,8 +68,13 @@ class WordTokenizer:
         at = len(self.known)
         while at + len(words) > len(self.first):
             self.first, self.count = np.resize(self.first, 2 * len(self.first)), np.resize(self.count, 2 * len(self.count))
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        ids = np.array([i for e in encoded for i in e], np.uint32)
+        plain = [w.isascii() and w.isalpha() for w in words]
+        model = self.tokenizer.model
+        other = [w for w, p in zip(words, plain) if not p]
+        full = iter([e.ids for k in range(0, len(other), ENCODE_WORDS) for e in self.tokenizer.encode_batch_fast(other[k : k + ENCODE_WORDS], add_special_tokens=False)])
+        # Lower-case ASCII letters pass normalisation and splitting unchanged: the model alone gives the ids.
+        encoded = [np.array([t.id for t in model.tokenize(w)] if p else next(full), np.uint32) for w, p in zip(words, plain)]
+        ids = np.concatenate(encoded)
         while self.used + len(ids) > len(self.pool):
             self.pool = np.resize(self.pool, 2 * len(self.pool))
         self.pool[self.used : self.used + len(ids)] = ids
@@ -71,11 +84,31 @@ class WordTokenizer:
         self.used += len(ids)
         self.known.update(zip(hashes, range(at, at + len(words))))
 
+    def _runs(self, words: Words) -> Words:
+        """Words cut into runs of letters and runs of signs where they hold nothing else."""
+        data = words.data
+        kind = KIND[data]
+        two = np.flatnonzero(data[:-1] == 0xC3) if len(data) else np.zeros(0, np.int64)
+        two = two[(data[two + 1] != 0x97) & (data[two + 1] != 0xB7)]
+        kind[two] = kind[two + 1] = LETTER
+        whole = np.concatenate(([0], np.cumsum(kind == WHOLE)))
+        simple = whole[words.end] == whole[words.start]
+        # Word of every byte (0: none), to cut only inside simple words.
+        inside = np.zeros(len(data) + 1, np.int32)
+        inside[words.start[simple]] += 1
+        np.subtract.at(inside, words.end[simple], 1)
+        inside = np.cumsum(inside[:-1]) > 0
+        cut = np.flatnonzero(inside[1:] & inside[:-1] & (kind[1:] != kind[:-1])) + 1
+        cut = cut[~np.isin(cut, words.start)]
+        start, end = np.sort(np.concatenate((words.start, cut))), np.sort(np.concatenate((words.end, cut)))
+        bounds = np.append(words.start, len(data) + 1)[words.first]
+        return Words(self.hasher.spans(data, start, end), np.searchsorted(start, bounds), start, end, data)
+
     def ids(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts between ``offsets``, each text closed by END_ID, and where each text starts."""
         if len(self.known) > CACHE_WORDS:
             self._forget()
-        words = self.hasher.words(raw, offsets)
+        words = self._runs(self.hasher.words(raw, offsets))
         own, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
         keys = own.tolist()
         new = [k for k, h in enumerate(keys) if h not in self.known]
