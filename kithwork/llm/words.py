@@ -99,7 +99,7 @@ def shingle_hashes(words: Words, size: int) -> list[np.ndarray]:
     """Distinct shingle hashes of each text, ascending; fewer than ``size`` words make one shingle."""
     w, n = words.hashes, len(words.hashes)
     rolled = np.zeros(max(0, n - size + 1), np.uint64)
-    for k in range(size):
+    for k in range(size if n >= size else 0):
         rolled = (rolled + w[k : n - size + 1 + k]) * np.uint64(BASE)
     rolled = mix(rolled)
     out = []
