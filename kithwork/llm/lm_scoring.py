@@ -211,13 +211,13 @@ def _scores(model):
                 none = pa.nulls
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(numbers), pa.array(ids[lo:hi], pa.int64()), pa.array(np.diff(first), pa.int64()), pa.array(np.bincount(text[known], minlength=n), pa.int64()),
-                     pa.array(sums[0]), pa.array(sums[1]), none(n, pa.int64()), none(n, pa.float64()), none(n, pa.float64())], names=names,
+                     pa.array(sums[0], pa.float64()), pa.array(sums[1], pa.float64()), none(n, pa.int64()), none(n, pa.float64()), none(n, pa.float64())], names=names,
                 )
                 rare = ~known
                 m = int(rare.sum())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(numbers[text[rare]]), none(m, pa.int64()), none(m, pa.int64()), none(m, pa.int64()), none(m, pa.float64()), none(m, pa.float64()),
-                     pa.array(tokens[rare].view(np.int64)), pa.array(pair[rare]), pa.array(rest[rare])], names=names,
+                     pa.array(tokens[rare].view(np.int64)), pa.array(pair[rare], pa.float64()), pa.array(rest[rare], pa.float64())], names=names,
                 )
                 row += n
 
