@@ -10,7 +10,7 @@ from pyspark.ml.classification import (
     NaiveBayesModel,
 )
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kithwork.functions import spread_hash
 from kithwork.functions.columns import HASH_MODULUS
@@ -20,8 +20,6 @@ TRAIN_SHARE = 0.6
 SMOOTHING = 1.0
 MAX_DEPTH = 5
 MAX_BINS = 32
-# A model holds one entry per class and feature, so a label column with more values is refused.
-MAX_CLASSES = 1000
 
 
 def split_by_id(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = 11) -> tuple[DataFrame, DataFrame]:
@@ -31,20 +29,19 @@ def split_by_id(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = 11) ->
 
 
 def class_values(rows: DataFrame) -> list[float]:
-    """The labels in ascending order; a class is its position."""
-    found = rows.select("label").distinct().orderBy("label").limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return [row["label"] for row in found]
+    """The labels in ascending order; a class is its position. The models keep an entry per class too."""
+    return [row["label"] for row in rows.select("label").distinct().orderBy("label").collect()]
 
 
 def indexed(rows: DataFrame, classes: list[float]) -> DataFrame:
     """``(id, label, class, features)`` with the features as a vector; a label unknown to the model has a null class."""
     position = F.array_position(F.lit(classes), F.col("label")) - 1
+    # The number of classes travels with the column; without it the tree takes 100 at most.
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": len(classes)}}
     return rows.select(
         "id",
         "label",
-        F.when(position >= 0, position.cast("double")).alias("class"),
+        F.when(position >= 0, position.cast("double")).alias("class", metadata=nominal),
         array_to_vector("features").alias("features"),
     )
 
@@ -95,13 +92,22 @@ def tree_lines(model: DecisionTreeClassificationModel, rows: DataFrame) -> DataF
     return spark.range(1).select(F.posexplode(F.split(F.lit(model.toDebugString), "\n")).alias("n", "line"))
 
 
-def save_model(model: Model, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: Model, path: str, classes: list[float]) -> None:
+    """The model under ``path/model`` and its class values under ``path/classes``; an older one is replaced."""
+    model.write().overwrite().save(f"{path}/model")
+    spark = SparkSession.active()
+    rows = spark.range(1).select(F.posexplode(F.lit([float(c) for c in classes])).alias("class", "label"))
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
 
 
-def load_naive_bayes(path: str) -> NaiveBayesModel:
-    return NaiveBayesModel.load(path)
+def _load_classes(path: str) -> list[float]:
+    rows = SparkSession.active().read.parquet(f"{path}/classes").orderBy("class").collect()
+    return [row["label"] for row in rows]
 
 
-def load_decision_tree(path: str) -> DecisionTreeClassificationModel:
-    return DecisionTreeClassificationModel.load(path)
+def load_naive_bayes(path: str) -> tuple[NaiveBayesModel, list[float]]:
+    return NaiveBayesModel.load(f"{path}/model"), _load_classes(path)
+
+
+def load_decision_tree(path: str) -> tuple[DecisionTreeClassificationModel, list[float]]:
+    return DecisionTreeClassificationModel.load(f"{path}/model"), _load_classes(path)

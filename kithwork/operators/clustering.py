@@ -6,13 +6,16 @@ An item is a point with one coordinate per user. Neither points nor centres are
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from kithwork.functions import spread_hash
-from kithwork.session import cut_lineage
+from kithwork.session import cut_lineage, shared_folder
 
 from .skew import bags, join_splits, laid_out, lookup, measure, spread_join
 
@@ -22,8 +25,6 @@ ITERATIONS = 20
 SAMPLES = 5
 # Distances are compared to this many digits, lower cluster first on a tie.
 DIGITS = 9
-# Most numbers that the centres of the library model may have; it keeps them all on the driver.
-MAX_CENTRE_VALUES = 50_000_000
 
 
 def _points(ratings: DataFrame) -> DataFrame:
@@ -38,11 +39,11 @@ def item_vectors(ratings: DataFrame, size: int | None = None, first_user: int =
     The vector of an item with very many ratings comes in several parts with disjoint positions.
     """
     points = _points(ratings)
-    position = (F.col("user_id") - first_user).cast("int")
+    position = (F.col("user_id") - first_user).cast("bigint")
     entry = F.struct(position.alias("i"), F.col("value").alias("x"))
     width = F.lit(size) if size is not None else ratings.agg(F.max("user_id") - first_user + 1).scalar()
     return bags(points, ["item_id"], entry, "entries").select(
-        "item_id", "part", width.cast("int").alias("size"), F.col("entries.i").alias("indices"), F.col("entries.x").alias("values")
+        "item_id", "part", width.cast("bigint").alias("size"), F.col("entries.i").alias("indices"), F.col("entries.x").alias("values")
     )
 
 
@@ -96,6 +97,14 @@ def kmeans_items(
     user_splits, item_splits = (join_splits(points.sparkSession, hot) for hot in measure(points, "user_id", "item_id"))
     by_user = laid_out(points, "user_id", user_splits).persist(StorageLevel.MEMORY_AND_DISK)
     by_item = laid_out(points, "item_id", item_splits).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _iterate(by_user, by_item, user_splits, item_splits, k, iterations, seed)
+    finally:
+        by_user.unpersist()
+        by_item.unpersist()
+
+
+def _iterate(by_user: DataFrame, by_item: DataFrame, user_splits: dict, item_splits: dict, k: int, iterations: int, seed: int) -> DataFrame:
     order = [spread_hash(F.col("item_id"), seed), F.col("item_id")]
     items = by_item.select("item_id").distinct()
     # The window numbers the k start items only.
@@ -112,8 +121,6 @@ def kmeans_items(
         found = dict(assigned.groupBy("cluster").count().collect())
         counts = [found.get(j, 0) for j in range(len(sizes))]
         sizes = [count or size for count, size in zip(counts, sizes)]
-    by_user.unpersist()
-    by_item.unpersist()
     return assigned
 
 
@@ -138,16 +145,19 @@ def kmeans_mllib(
 ) -> DataFrame:
     """``(item_id, cluster)`` from Spark's own KMeans over whole ``item_vectors``.
 
-    Its centres are dense and live on the driver, so the width is checked first.
+    Its k dense centres live on the driver and its vectors have 32-bit positions: wider data is for
+    ``kmeans_items``. The vectors are stored once in the layout of the vector type, without Python.
     """
-    bounds = vectors.agg(F.max("size").alias("size"), F.max("part").alias("part")).first()
-    if bounds["part"] or (bounds["size"] or 0) * k > MAX_CENTRE_VALUES:
-        raise ValueError("the item vectors are too wide for the library model; use kmeans_items")
-
-    @F.udf(returnType=VectorUDT(), useArrow=False)
-    def sparse(size: int, indices: list[int], values: list[float]) -> SparseVector:
-        return SparseVector(size, indices, values)
-
-    features = vectors.select("item_id", sparse("size", "indices", "values").alias("features"))
+    run = F.struct("part", F.col("indices").cast("array<int>").alias("i"), F.col("values").alias("x"))
+    runs = F.sort_array(F.collect_list(run))
+    whole = vectors.groupBy("item_id").agg(F.max("size").cast("int").alias("size"), runs.alias("runs"))
+    stored = whole.select("item_id", F.struct(
+        F.lit(0).cast("tinyint").alias("type"), "size", F.flatten("runs.i").alias("indices"), F.flatten("runs.x").alias("values")
+    ).alias("features"))
+    spark = vectors.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/vectors-{uuid.uuid4().hex}"
+    stored.write.parquet(path)
+    schema = StructType([StructField("item_id", vectors.schema["item_id"].dataType), StructField("features", VectorUDT())])
+    features = spark.read.schema(schema).parquet(path)
     model = KMeans(k=k, maxIter=iterations, seed=seed).fit(features)
     return model.transform(features).select("item_id", F.col("prediction").alias("cluster"))

@@ -52,10 +52,9 @@ def top_friend_age(
         averages = averages.withColumn("avg_age", F.round("avg_age", 2))
     elif rank_on != "exact":
         raise ValueError(f"rank_on must be 'exact' or 'rounded', not {rank_on!r}")
-    addresses = profiles.select("uid", street_address(F.col("street"), F.col("city"), F.col("state")).alias("address"))
     order = [F.desc("avg_age"), F.asc("uid")]
-    top = averages.join(addresses, "uid").orderBy(*order).limit(n)
-    # The window numbers the n rows of the report only.
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order))).select(
-        "rank", "uid", "address", "avg_age"
-    )
+    top = averages.join(profiles.select("uid"), "uid", "left_semi").orderBy(*order).limit(n)
+    # The window numbers the n rows of the report only; only their addresses are looked up.
+    top = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    address = street_address(F.col("street"), F.col("city"), F.col("state")).alias("address")
+    return profiles.join(F.broadcast(top), "uid").select("rank", "uid", address, "avg_age")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from kithwork.functions import number_list, split_fields
 from kithwork.session import cut_lineage
 
-from .skew import bags, measure, spread_join, with_parts
+from .skew import bags, measure, spread_join
 
 # Fixed values of the original question: who rated the worst of which movies.
 GENRES = ("Action", "War")
@@ -77,7 +77,8 @@ def raters_of_lowest(
 def movie_rating_cogroup(ratings: DataFrame, movies: DataFrame, limit: int | None = None) -> DataFrame:
     """``(item_id, part, ratings, movies)``: all rating rows and all movie rows of every id in both.
 
-    The bags of a very large group come in several parts, each with its share of both sides. With
+    The bags of a very large group come in several parts: every run of its ratings with every run of its
+    movies, so both bags of a row are never empty and every pair of rows is in exactly one part. With
     ``limit`` the first ids in id order are chosen before any bag is built.
     """
     rating_item = F.struct(*[c for c in ratings.columns if c != "item_id"])
@@ -87,25 +88,11 @@ def movie_rating_cogroup(ratings: DataFrame, movies: DataFrame, limit: int | Non
         first = movies.select("item_id").distinct().join(rated, "item_id", "left_semi").orderBy("item_id").limit(limit)
         first = F.broadcast(first)  # never more than ``limit`` rows
         ratings, movies = (df.join(first, "item_id", "left_semi") for df in (ratings, movies))
-    ratings = ratings.select("item_id", rating_item.alias("rating_row"))
-    movies = movies.select("item_id", movie_item.alias("movie_row"))
-    split_ratings, split_movies = with_parts(ratings, ["item_id"]), with_parts(movies, ["item_id"])
-    if split_ratings.whole and split_movies.whole:
-        left = ratings.groupBy("item_id").agg(F.sort_array(F.collect_list("rating_row")).alias("ratings"))
-        right = movies.groupBy("item_id").agg(F.sort_array(F.collect_list("movie_row")).alias("movies"))
-        return left.join(right, "item_id").select("item_id", F.lit(0).alias("part"), "ratings", "movies")
-    return _cogroup_in_parts(split_ratings.rows, split_movies.rows)
-
-
-def _cogroup_in_parts(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    rated, known = ratings.select("item_id").distinct(), movies.select("item_id").distinct()
-    ratings = spread_join(ratings, known, "item_id", "left_semi")
-    movies = spread_join(movies, rated, "item_id", "left_semi")
-    rows = ratings.unionByName(movies, allowMissingColumns=True)
-    return rows.groupBy("item_id", "part").agg(
-        F.sort_array(F.collect_list("rating_row")).alias("ratings"),
-        F.sort_array(F.collect_list("movie_row")).alias("movies"),
-    )
+    left = bags(ratings, ["item_id"], rating_item, "ratings")
+    right = bags(movies, ["item_id"], movie_item, "movies").withColumnRenamed("part", "_movie_part")
+    runs = right.groupBy("item_id").agg((F.max("_movie_part") + 1).alias("_runs"))
+    part = (F.col("part") * F.col("_runs") + F.col("_movie_part")).cast("int")
+    return left.join(right.join(runs, "item_id"), "item_id").select("item_id", part.alias("part"), "ratings", "movies")
 
 
 def format_genres(movies: DataFrame, tag: str = "", exact: bool = False) -> DataFrame:

@@ -12,9 +12,10 @@ Catalyst chooses by size between a broadcast and a shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from kithwork.session import cut_lineage
 
 MAX_HOT = 1024
 # The sketch lists twice that many, so that its counting error cannot push out a truly hot key.
@@ -113,7 +114,7 @@ def spread_join(
     ``right_hot`` is for inner joins only: the other kinds may repeat the right side, not the left.
     The measured frame may be larger than the joined one, never smaller.
     """
-    if right_hot is not None and right_hot.keys and how != "inner":
+    if right_hot is not None and how != "inner":
         raise ValueError("only an inner join can split its right side")
     if left.schema[key].dataType != right.schema[key].dataType:
         right = right.withColumn(key, F.col(key).cast(left.schema[key].dataType))
@@ -136,41 +137,41 @@ def spread_join(
     return left.join(right, on, how).drop("_ls", "_rs")
 
 
-class Parts(NamedTuple):
-    rows: DataFrame
-    whole: bool
-
-
-def with_parts(df: DataFrame, keys: list[str]) -> Parts:
-    """Add ``part``, so that no (keys, part) group holds many more rows than the longest bag.
+def with_parts(df: DataFrame, keys: list[str], item: str) -> DataFrame:
+    """Add ``part``: part p of a key is the p-th run of ``kithwork.bag.maxRows`` rows in order of ``item``.
 
-    Keys below that size have part 0 only. The rows of a larger key are spread over as many parts
-    as it needs, each part a fixed function of the row.
+    The sizes are exact counts and the positions follow the items, so the parts depend on the rows alone,
+    not on how they are partitioned. Keys up to that size have part 0 only. The rows of larger keys are
+    ordered by range partitions, so no task holds a whole key.
     """
-    longest = _setting(df.sparkSession, BAG_ROWS_SETTING, BAG_ROWS_DEFAULT)
-    tagged = df.withColumn("_key", F.xxhash64(*keys))
-    hot = measure(tagged, "_key")[0]
-    if hot.rows <= longest * MAX_HOT:
-        # Every key above the limit is in the measured list.
-        parts = hot.splits(longest)
-        if not parts:
-            return Parts(df.withColumn("part", F.lit(0)), True)
-        tagged = tagged.join(_split_table(tagged, "_key", parts, "_parts"), "_key", "left")
-    else:
-        sizes = tagged.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > longest)
-        sizes = sizes.select("_key", F.ceil(F.col("n") / longest).cast("int").alias("_parts"))
-        tagged = spread_join(tagged, sizes, "_key", "left", left_hot=hot)
-    part = F.pmod(F.xxhash64(*df.columns), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
-    return Parts(tagged.withColumn("part", part).drop("_key", "_parts"), False)
+    spark = df.sparkSession
+    longest = _setting(spark, BAG_ROWS_SETTING, BAG_ROWS_DEFAULT)
+    large = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > longest))
+    sizes = large.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if not sizes[0]:
+        return df.withColumn("part", F.lit(0))
+    small_list = is_small(spark, sizes[0])
+    names = F.broadcast(large.drop("_n")) if small_list else large.drop("_n")
+    tasks = max(_setting(spark, "spark.sql.shuffle.partitions", 200), -(-sizes[1] // longest))
+    ranged = df.join(names, keys, "left_semi").repartitionByRange(tasks, *keys, item)
+    ranged = cut_lineage(ranged.withColumn("_task", F.spark_partition_id()))
+    counts = ranged.groupBy(*keys, "_task").agg(F.count(F.lit(1)).alias("_m"))
+    before = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select(*keys, "_task", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_ahead"))
+    inside = Window.partitionBy(*keys, "_task").orderBy(item)
+    numbered = ranged.withColumn("_row", F.row_number().over(inside) - 1).join(ahead, [*keys, "_task"])
+    part = F.floor((F.col("_ahead") + F.col("_row")) / longest).cast("int")
+    numbered = numbered.withColumn("part", part).select(*df.columns, "part")
+    return df.join(names, keys, "left_anti").withColumn("part", F.lit(0)).unionByName(numbered)
 
 
 def bags(df: DataFrame, keys: list[str], item: Column, name: str) -> DataFrame:
-    """Group to one sorted list per key; a very large group comes as several rows, one per ``part``."""
-    parts = with_parts(df, keys)
-    items = F.sort_array(F.collect_list(item)).alias(name)
-    if parts.whole:
-        return df.groupBy(*keys).agg(items).select(*keys, F.lit(0).alias("part"), name)
-    return parts.rows.groupBy(*keys, "part").agg(items)
+    """Group to one sorted list per key; a very large group comes as several rows, one per ``part``.
+
+    Part p is the p-th run of the sorted list, so the parts in order are the list.
+    """
+    parts = with_parts(df.select(*keys, item.alias("_item")), keys, "_item")
+    return parts.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_item")).alias(name))
 
 
 def laid_out(df: DataFrame, key: str, splits: dict) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import logging
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kithwork import sources
 from kithwork.operators import classify, clustering, demographics, factorize, graph, ratings, words
@@ -10,13 +12,32 @@ from kithwork.operators.tables import keep_first
 from kithwork.session import cut_lineage, id_frame
 
 
+LOG = logging.getLogger("kithwork.jobs")
+
+
+def _log_rejects(rejected: DataFrame, path: str) -> None:
+    """Say how many lines of an input could not be read in full; costs a scan of it."""
+    n = rejected.count()
+    if n:
+        LOG.warning("%d lines of %s could not be read in full", n, path)
+
+
+def _key(key: Column) -> Column:
+    """The key of an output line; the later lines of a list in parts carry the part: ``key#1``, ``key#2``, ..."""
+    return F.concat(key, F.when(F.col("part") > 0, F.concat(F.lit("#"), F.col("part").cast("string"))).otherwise(""))
+
+
 def _edges(spark: SparkSession, adjacency: str) -> DataFrame:
     """The friend graph of a file of lists, cleaned once; every step after it reads this table."""
-    return cut_lineage(graph.simple_edges(sources.adjacency_edges(sources.read_lines(spark, adjacency))))
+    lines = sources.read_lines(spark, adjacency)
+    _log_rejects(sources.rejected_lines(lines, "adjacency"), adjacency)
+    return cut_lineage(graph.simple_edges(sources.adjacency_edges(lines)))
 
 
 def _profiles(spark: SparkSession, profiles: str) -> DataFrame:
-    return keep_first(sources.parse_profiles(sources.read_lines(spark, profiles)), "uid")
+    lines = sources.read_lines(spark, profiles)
+    _log_rejects(sources.rejected_lines(lines, "profiles"), profiles)
+    return keep_first(sources.parse_profiles(lines), "uid")
 
 
 def word_count(spark: SparkSession, source: str, out: str, mode: str = "errorifexists", style: str = "plain") -> None:
@@ -25,9 +46,9 @@ def word_count(spark: SparkSession, source: str, out: str, mode: str = "errorife
 
 
 def mutual_friend(spark: SparkSession, adjacency: str, out: str, u1: int, u2: int) -> None:
-    """``u1,u2<TAB>f1,f2,...`` in one line, also without any mutual friend."""
+    """``u1,u2<TAB>f1,f2,...``, also without any mutual friend; one line, see ``_key`` for very long lists."""
     found = graph.mutual_friends_list(_edges(spark, adjacency), id_frame(spark, u1=[u1], u2=[u2]))
-    sources.write_text(found.select(F.concat_ws(",", "u1", "u2").alias("pair"), "friends"), out)
+    sources.write_text(found.select(_key(F.concat_ws(",", "u1", "u2")).alias("pair"), "friends"), out)
 
 
 def common_friend(spark: SparkSession, adjacency: str, out: str, uids: list[int]) -> None:
@@ -39,14 +60,14 @@ def mutual_friend_zip(spark: SparkSession, adjacency: str, profiles: str, out: s
     """``u1,u2<TAB>name:zip,...``; nothing where no mutual friend has a profile."""
     pair = id_frame(spark, u1=[u1], u2=[u2])
     found = graph.mutual_friend_profiles_list(_edges(spark, adjacency), _profiles(spark, profiles), pair)
-    sources.write_text(found.select(F.concat_ws(",", "u1", "u2").alias("pair"), "profiles"), out)
+    sources.write_text(found.select(_key(F.concat_ws(",", "u1", "u2")).alias("pair"), "profiles"), out)
 
 
 def recommend_friend(spark: SparkSession, adjacency: str, out: str, targets: list[int], k: int | None = 10) -> None:
     """``target<TAB>c1,c2,...``, best first; ``k=None`` lists every candidate in id order."""
     edges, asked = _edges(spark, adjacency), id_frame(spark, target=targets)
     if k is None:
-        found = graph.candidate_list(edges, asked).select("target", "candidates")
+        found = graph.candidate_list(edges, asked).select(_key(F.col("target").cast("string")).alias("target"), "candidates")
     else:
         found = graph.recommendation_list(edges, asked, k)
     sources.write_text(found, out)
@@ -73,10 +94,15 @@ def top_average_age(
 
 def _movie_tables(spark: SparkSession, movies: str, rated: str, sep: str) -> tuple[DataFrame, DataFrame]:
     known = sources.read_delimited(spark, movies, sources.MOVIES, sep)
+    _log_rejects(known.where(F.col("item_id").isNull()), movies)
+    return known.where(F.col("item_id").isNotNull()), _ratings(spark, rated, sep)
+
+
+def _ratings(spark: SparkSession, rated: str, sep: str) -> DataFrame:
     given = sources.read_delimited(spark, rated, sources.RATINGS, sep)
-    return known.where(F.col("item_id").isNotNull()), given.where(
-        F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("rating").isNotNull()
-    )
+    whole = F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("rating").isNotNull()
+    _log_rejects(given.where(~whole), rated)
+    return given.where(whole)
 
 
 def lowest_rated(
@@ -105,7 +131,9 @@ def cluster_movies(spark: SparkSession, movies: str, rated: str, sep: str = "::"
 
 def classify_file(spark: SparkSession, labeled: str, method: str = "decision_tree") -> DataFrame:
     """Accuracy on the test part of a file of labelled rows."""
-    rows = cut_lineage(sources.parse_labeled(sources.read_lines(spark, labeled)))
+    lines = sources.read_lines(spark, labeled)
+    _log_rejects(sources.rejected_lines(lines, "labeled"), labeled)
+    rows = cut_lineage(sources.parse_labeled(lines))
     return classify.accuracy({"decision_tree": classify.decision_tree, "naive_bayes": classify.naive_bayes}[method](rows))
 
 
@@ -113,7 +141,5 @@ def predict_ratings(
     spark: SparkSession, rated: str, user_ids: list[int], item_ids: list[int], sep: str = "::", **options
 ) -> DataFrame:
     """Predicted ratings of the pairs (user_ids[i], item_ids[i])."""
-    given = sources.read_delimited(spark, rated, sources.RATINGS, sep)
-    given = given.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("rating").isNotNull())
-    users, items = factorize.als_factors(given, **options)
+    users, items = factorize.als_factors(_ratings(spark, rated, sep), **options)
     return factorize.als_predict(id_frame(spark, user_id=user_ids, item_id=item_ids), users, items)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed column layouts of the movie-rating tables.
-MOVIES = "item_id int, title string, genres string"
-RATINGS = "user_id int, item_id int, rating int, rated_at string"
-USERS = "user_id int, gender string, age int, occupation int, zip string"
+MOVIES = "item_id bigint, title string, genres string"
+RATINGS = "user_id bigint, item_id bigint, rating int, rated_at string"
+USERS = "user_id bigint, gender string, age int, occupation int, zip string"
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = "::") -> DataFrame:

@@ -77,7 +77,8 @@ def with_birth_date(profiles: DataFrame) -> DataFrame:
 
 
 def parse_profiles(lines: DataFrame) -> DataFrame:
-    return _profiles(lines).where(_complete(["uid", "birth_month", "birth_year"])).drop("value")
+    """Profiles with an id; one whose birth date cannot be read has a null birth month or year."""
+    return _profiles(lines).where(_complete(["uid"])).drop("value")
 
 
 def _labeled(lines: DataFrame) -> DataFrame:

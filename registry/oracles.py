@@ -271,6 +271,23 @@ where k <= 5""", ["ratings", "movies"]),
     "split_by_id": f"""
 select vec_id id, cast(label as double) label, case when {_hash('vec_id', 11)} < {int(TRAIN_SHARE * HASH_MODULUS)}
   then 'train' else 'test' end side from embeddings""",
+    "kmeans_mllib": _view("ratings", "select distinct item_id, true in_range from ratings"),
+    "als_mllib": _view("ratings", f"select distinct user_id, cast({RANK} as int) k from ratings"),
+    "rejected_profiles": _view("profiles", """
+select concat_ws(',', case when uid % 11 = 0 then 'x' || uid else cast(uid as varchar) end, first_name, last_name, street, city,
+  state, zip, '', '', case when uid % 7 = 0 then 'unknown' else dob end) as value
+from profiles where uid % 11 = 0 or uid % 7 = 0"""),
+    "rejected_ratings": _view("ratings", """
+select concat_ws('::', case when user_id % 11 = 0 then 'x' || user_id else cast(user_id as varchar) end, item_id,
+  case when user_id % 7 = 0 then 'unknown' else cast(rating as varchar) end) as value
+from ratings where user_id % 11 = 0 or user_id % 7 = 0"""),
+    "rejected_adjacency": _view("edges", """
+select case when uid % 11 = 0 then 'x' || uid else cast(uid as varchar) end || chr(9)
+  || case when uid % 7 = 0 then 'unknown' else cast(friend as varchar) end as value
+from edges where uid % 11 = 0 or uid % 7 = 0"""),
+    "delimited_movies": _view("movies", "select item_id, title, genres from movies"),
+    "delimited_users": _view("users", "select user_id, gender, age, occupation, zip from users"),
+    "saved_naive_bayes": _with(["glass_long"], BAYES, "select id, label, prediction from bayes"),
     "naive_bayes": _with(["glass_long"], BAYES, "select id, label, prediction from bayes"),
     "naive_bayes_accuracy": _with(["glass_long"], BAYES, """
 select round(avg(cast(label = prediction as int)), 6) accuracy, count(*) n from bayes"""),
@@ -287,3 +304,5 @@ select round((select sum((rating - ({_score()}))^2)
   from ratings r join {{users}} u on u.user_id = r.user_id join {{items}} i on i.item_id = r.item_id)
   + (select sum({_score('u', 'u')}) from {{users}} u) + (select sum({_score('i', 'i')}) from {{items}} i), 3) loss"""),
 }
+ORACLES["text_round_trip"] = ORACLES["word_count_lines"]
+ORACLES["tuple_round_trip"] = ORACLES["word_count_tuples"]

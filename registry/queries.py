@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from kithwork import sources
 from kithwork.operators import classify, clustering, demographics, factorize, graph, ratings, words
 from kithwork.operators.tables import keep_first as first_rows
-from kithwork.session import cut_lineage
+from kithwork.session import cut_lineage, shared_folder
 
 from .views import glass, stored, view
 
@@ -107,6 +108,83 @@ def parse_labeled(spark, sf):
     return parsed.select("id", "label", F.posexplode("features").alias("j", "x"))
 
 
+def _planted(spark, sf, name: str, *fields: str) -> tuple[Column, list[Column], Column, DataFrame]:
+    """Fields of a view in which every eleventh id and the last field of every seventh cannot be read."""
+    rows = view(spark, sf, name)
+    key, last = F.col(fields[0]), F.col(fields[-1])
+    first = F.when(key % 11 == 0, F.concat(F.lit("x"), key.cast("string"))).otherwise(key.cast("string"))
+    end = F.when(key % 7 == 0, F.lit("unknown")).otherwise(last.cast("string"))
+    return first, [F.col(f).cast("string") for f in fields[1:-1]], end, rows
+
+
+@query
+def rejected_profiles(spark, sf):
+    names = ["uid", "first_name", "last_name", "street", "city", "state", "zip", "dob"]
+    first, inner, end, rows = _planted(spark, sf, "profiles", *names)
+    return sources.rejected_lines(_lines(rows, ",", first, *inner, F.lit(""), F.lit(""), end), "profiles")
+
+
+@query
+def rejected_ratings(spark, sf):
+    first, inner, end, rows = _planted(spark, sf, "ratings", "user_id", "item_id", "rating")
+    return sources.rejected_lines(_lines(rows, "::", first, *inner, end), "ratings")
+
+
+@query
+def rejected_adjacency(spark, sf):
+    first, _, end, rows = _planted(spark, sf, "edges", "uid", "friend")
+    return sources.rejected_lines(_lines(rows, "\t", first, end), "adjacency")
+
+
+def _folder(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def text_round_trip(spark, sf):
+    """Counted words written over older output as text and read back from two paths."""
+    path = _folder(spark, "words")
+    counts = words.word_count(view(spark, sf, "lines"))
+    sources.write_text(counts.limit(3), f"{path}/a")
+    sources.write_text(counts.where(F.col("n") > 1), f"{path}/a")
+    sources.write_text(counts.where(F.col("n") == 1), f"{path}/b", "errorifexists")
+    return sources.read_lines(spark, f"{path}/a", f"{path}/b")
+
+
+@query
+def tuple_round_trip(spark, sf):
+    path = _folder(spark, "tuples")
+    sources.write_text(words.word_count(view(spark, sf, "lines")), path, "errorifexists", style="tuple")
+    return sources.read_lines(spark, path)
+
+
+def _delimited(spark, sf, name: str, schema: str, sep: str) -> DataFrame:
+    path = _folder(spark, name)
+    sources.as_lines(view(spark, sf, name), sep).write.text(path)
+    return sources.read_delimited(spark, path, schema, sep)
+
+
+@query
+def delimited_movies(spark, sf):
+    return _delimited(spark, sf, "movies", sources.MOVIES, "::")
+
+
+@query
+def delimited_users(spark, sf):
+    return _delimited(spark, sf, "users", sources.USERS, ":")
+
+
+@query
+def saved_naive_bayes(spark, sf):
+    """Predictions of a model and its classes after saving and loading both."""
+    train, test = classify.split_by_id(glass(spark, sf))
+    classes = classify.class_values(train)
+    path = _folder(spark, "bayes")
+    classify.save_model(classify.fit_naive_bayes(train, classes), path, classes)
+    model, known = classify.load_naive_bayes(path)
+    return classify.predict(model, test, known)
+
+
 # ---- friend graph
 
 
@@ -298,7 +376,7 @@ def item_vectors(spark, sf):
         F.arrays_zip("indices", "values"),
         lambda e: F.concat_ws(":", e["indices"].cast("string"), e["values"].cast("int").cast("string")),
     )
-    return vectors.select("item_id", "part", "size", F.array_join(entries, ",").alias("entries"))
+    return vectors.select("item_id", "part", F.col("size").cast("int").alias("size"), F.array_join(entries, ",").alias("entries"))
 
 
 def _clusters(spark, sf) -> DataFrame:
@@ -329,7 +407,9 @@ def cluster_sample_lines(spark, sf):
 
 @query
 def kmeans_mllib(spark, sf):
-    return clustering.kmeans_mllib(clustering.item_vectors(stored(spark, sf, "ratings"), first_user=0))
+    """The library model's clusters differ with its random start; every item has one of them."""
+    found = clustering.kmeans_mllib(clustering.item_vectors(stored(spark, sf, "ratings"), first_user=0))
+    return found.select("item_id", F.col("cluster").between(0, clustering.CLUSTERS - 1).alias("in_range"))
 
 
 # ---- classification

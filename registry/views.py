@@ -100,11 +100,6 @@ def glass(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def duckdb_with(*names: str, body: str) -> str:
-    """``with`` the named views, ``body``."""
-    return "with " + ", ".join(f"{name} as ({DUCKDB[name].strip()})" for name in names) + "\n" + body.strip()
-
-
 _stored: dict[tuple[str, str, str], str] = {}
 
 

@@ -160,3 +160,14 @@ def test_profiles_of_mutual_friends(case):
 def test_simple_edges(spark):
     raw = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 1)], "uid bigint, friend bigint")
     assert sorted(map(tuple, graph.simple_edges(raw).collect())) == [(1, 2), (2, 1)]
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 16, 64])
+def test_parts_are_runs_of_the_sorted_list_whatever_the_partitioning(spark, skewed, partitions):
+    rows = [(1, i * 7 % 101) for i in range(101)] + [(2, i) for i in range(15)] + [(3, i) for i in range(16)]
+    df = spark.createDataFrame(rows, "uid bigint, friend bigint").repartition(partitions)
+    found = {(r.uid, r.part): list(r.friends) for r in graph.edges_adjacency(df).collect()}
+    want = {}
+    for uid, n in ((1, 101), (2, 15), (3, 16)):
+        want |= {(uid, at // 15): list(range(at, min(at + 15, n))) for at in range(0, n, 15)}
+    assert found == want

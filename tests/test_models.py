@@ -135,12 +135,17 @@ def test_item_vectors_average_repeats_and_split_long_ones(spark, skewed, rating_
     assert longest < 40
 
 
-def test_library_kmeans_refuses_vectors_it_cannot_hold(spark, rating_rows, monkeypatch):
+def test_library_kmeans_on_whole_vectors_and_in_parts(spark, rating_rows, skewed):
     vectors = cl.item_vectors(rated(spark, rating_rows))
-    assert cl.kmeans_mllib(vectors, k=3, iterations=2).count() == vectors.count()
-    monkeypatch.setattr(cl, "MAX_CENTRE_VALUES", 10)
-    with pytest.raises(ValueError):
-        cl.kmeans_mllib(vectors)
+    assert vectors.where("part > 0").count() > 0
+    found = cl.kmeans_mllib(vectors, k=3, iterations=2).collect()
+    assert sorted(r.item_id for r in found) == sorted({i for _, i, _ in rating_rows})
+    assert {r.cluster for r in found} <= {0, 1, 2}
+
+
+def test_item_vectors_take_wide_ids(spark):
+    row = cl.item_vectors(rated(spark, [(5_000_000_001, 1, 4), (1, 1, 2)])).first()
+    assert (list(row.indices), row.size) == ([0, 5_000_000_000], 5_000_000_001)
 
 
 def labelled(spark, n=300, classes=(1.0, 7.0, 3.0)):
@@ -194,15 +199,15 @@ def test_models_survive_saving(spark, tmp_path):
     ):
         model = fit(df, classes)
         path = str(tmp_path / name)
-        cf.save_model(model, path)
-        cf.save_model(model, path)
+        cf.save_model(model, path, [0.0])
+        cf.save_model(model, path, classes)
         before = {r.id: r.prediction for r in cf.predict(model, df, classes).collect()}
-        assert {r.id: r.prediction for r in cf.predict(load(path), df, classes).collect()} == before
+        loaded, known = load(path)
+        assert {r.id: r.prediction for r in cf.predict(loaded, df, known).collect()} == before
     lines = [r.line for r in cf.tree_lines(model, df).orderBy("n").collect()]
     assert lines[0].startswith("DecisionTreeClassificationModel") and any("Predict" in line for line in lines)
 
 
-def test_too_many_classes_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(cf, "MAX_CLASSES", 2)
-    with pytest.raises(ValueError):
-        cf.class_values(labelled(spark)[0])
+def test_many_classes(spark):
+    df, rows = labelled(spark, 600, tuple(float(c) for c in range(150)))
+    assert cf.decision_tree(df).count() == cf.naive_bayes(df).count() == cf.split_by_id(df)[1].count()

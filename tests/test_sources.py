@@ -48,8 +48,12 @@ def test_profiles(spark):
     raw = lines(
         spark, "3,Ann,Lee,1 Main,Town,TX,00123,,,8/15/1990", "4,Bob,Ray,2 Main,Town,TX,75080,u,v,8-15-1990", "5,short"
     )
-    rows = sources.parse_profiles(raw).collect()
-    assert [tuple(r) for r in rows] == [(3, "Ann", "Lee", "1 Main", "Town", "TX", "00123", "8/15/1990", 8, 1990)]
+    rows = sorted(map(tuple, sources.parse_profiles(raw).collect()))
+    assert rows == [
+        (3, "Ann", "Lee", "1 Main", "Town", "TX", "00123", "8/15/1990", 8, 1990),
+        (4, "Bob", "Ray", "2 Main", "Town", "TX", "75080", "8-15-1990", None, None),
+        (5, "short", None, None, None, None, None, None, None, None),
+    ]
     assert sources.rejected_lines(raw, "profiles").count() == 2
 
 
@@ -78,7 +82,7 @@ def test_delimited_scan_reads_only_asked_columns(spark, tmp_path):
     path = str(tmp_path / "ratings")
     lines(spark, "1::2::3::9").write.text(path)
     df = sources.read_delimited(spark, path, sources.RATINGS).select("item_id")
-    assert "ReadSchema: struct<item_id:int>" in df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<item_id:bigint>" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_write_text_modes_and_styles(spark, tmp_path):
@@ -90,3 +94,10 @@ def test_write_text_modes_and_styles(spark, tmp_path):
         sources.write_text(pairs, path, mode="errorifexists")
     sources.write_text(pairs.limit(1), path, style="tuple")
     assert [r.value for r in sources.read_lines(spark, path).collect()] == ["(a,1)"]
+
+
+def test_delimited_scan_takes_wide_ids(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    lines(spark, "3000000000::7::5::0", "1::2::3::9").write.text(path)
+    rows = sources.read_delimited(spark, path, sources.RATINGS).orderBy("user_id").collect()
+    assert [tuple(r) for r in rows] == [(1, 2, 3, "9"), (3_000_000_000, 7, 5, "0")]
