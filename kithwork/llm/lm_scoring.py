@@ -94,21 +94,22 @@ def level_middle(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (low + np.maximum(high, low)) / 2, 0.0)
 
 
-def entry_bits(grams: np.ndarray, level: np.ndarray | int, probe: int, bits: int) -> np.ndarray:
-    """Bit of a part for one probe of (gram, level)."""
-    seed = mix(grams + np.uint64(0xD6E8FEB86659FD93) * np.asarray(level, np.uint64))
-    return mix(seed + np.uint64(probe)) % np.uint64(bits)
+def entry_hashes(grams: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of (gram, level); probe k looks at bit ``first + k * second``, cut to the size of a part."""
+    first = mix(grams + np.uint64(0xD6E8FEB86659FD93 * level & 0xFFFFFFFFFFFFFFFF))
+    return first, (first >> np.uint64(32)) | np.uint64(1)
 
 
 def filter_part(grams: np.ndarray, counts: np.ndarray, size: int, probes: int) -> bytes:
-    part = np.zeros(size, np.uint8)
+    """The bits of a part of ``size`` bytes, a power of two."""
+    part = np.zeros(size * 8, bool)
+    mask = np.uint64(size * 8 - 1)
     top = levels(counts)
     for level in range(1, int(top.max()) + 1):
-        own = grams[top >= level]
+        first, second = entry_hashes(grams[top >= level], level)
         for probe in range(probes):
-            bit = entry_bits(own, level, probe, size * 8)
-            np.bitwise_or.at(part, (bit >> np.uint64(3)).astype(np.int64), np.left_shift(1, (bit & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
-    return part.tobytes()
+            part[((first + np.uint64(probe) * second) & mask).astype(np.int64)] = True
+    return np.packbits(part, bitorder="little").tobytes()
 
 
 def _parts(size: int, probes: int):
@@ -120,35 +121,39 @@ def _parts(size: int, probes: int):
 
 
 class LogFrequencyFilter:
-    """Parts of equal size; a gram belongs to part ``gram mod parts``."""
+    """Parts of equal size, a power of two; a gram belongs to part ``gram mod parts``."""
 
     def __init__(self, parts: np.ndarray, probes: int):
-        self.parts, self.probes = parts, probes  # uint8, one row per part
+        self.bytes, self.probes = np.ascontiguousarray(parts).ravel(), probes  # uint8, one row per part
+        self.parts, self.size = parts.shape
+        self.middle = level_middle(np.arange(200))
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
         """Estimated counts, by repeated membership probes."""
         level = np.zeros(len(grams), np.int64)
         at = np.arange(len(grams))
+        part = (grams % np.uint64(self.parts)).astype(np.int64) * self.size if self.parts > 1 else np.zeros(len(grams), np.int64)
+        mask = np.uint64(self.size * 8 - 1)
         step = 1
-        while len(at) and self.parts.size:
-            own = grams[at]
+        while len(at) and step < len(self.middle):
+            first, second = entry_hashes(grams[at], step)
             for probe in range(self.probes):
-                bit = entry_bits(own, step, probe, self.parts.shape[1] * 8)
-                byte = self.parts[(own % np.uint64(len(self.parts))).astype(np.int64), (bit >> np.uint64(3)).astype(np.int64)]
+                bit = (first + np.uint64(probe) * second) & mask
+                byte = self.bytes[part + (bit >> np.uint64(3)).astype(np.int64)]
                 there = (byte >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                at, own = at[there], own[there]
+                at, part, first, second = at[there], part[there], first[there], second[there]
             level[at] = step
             step += 1
-        return level_middle(level)
+        return self.middle[level]
 
 
 def build_filter(counts: DataFrame) -> tuple[np.ndarray, int]:
     """The parts of the filter over (gram, n), n >= LEAST, at most FILTER_BYTES in all, and its probes per entry."""
     entries = counts.agg(F.sum(F.floor(F.log(F.col("n") / LEAST) / math.log(STEP) + 1e-9) + 1)).first()[0] or 0
-    size = min(FILTER_BYTES, max(64, entries * BITS_PER_ENTRY // 8 + 1))
-    probes = max(1, min(PROBES, round(math.log(2) * 8 * size / max(entries, 1))))
-    parts = -(-size // PART_BYTES)
-    size = -(-size // parts)
+    need = min(FILTER_BYTES, max(64, entries * BITS_PER_ENTRY // 8 + 1))
+    size = min(PART_BYTES, 1 << (need - 1).bit_length())
+    parts = -(-need // size)
+    probes = max(1, min(PROBES, round(math.log(2) * 8 * size * parts / max(entries, 1))))
     # pmod of the unsigned value, as the probes compute it
     signed = F.pmod(F.col("gram"), F.lit(parts))
     part = F.when(F.col("gram") >= 0, signed).otherwise(F.pmod(signed + (1 << 64) % parts, F.lit(parts))).cast("int")
@@ -201,7 +206,10 @@ def _scores(model):
                 start = held.counts(np.array([START]))[0]
                 history = np.concatenate(([start], seen[inverse][:-1]))
                 history[first[:-1]] = start
-                both = np.minimum(held.counts(pairs), history)
+                # A pair in the filter has both its tokens there; the others need no probe.
+                both = np.zeros(len(tokens))
+                likely = np.flatnonzero((history > 0) & (seen[inverse] > 0))
+                both[likely] = np.minimum(held.counts(pairs[likely]), history[likely])
                 pair, rest = both / (history + MU), MU / (history + MU)
                 known = frequent[inverse]
                 p = (count[inverse] + 1) / total

@@ -124,7 +124,7 @@ def test_filter_gives_back_quantised_counts():
     r = np.random.default_rng(1)
     grams = np.unique(r.integers(0, 1 << 63, 20_000).astype(np.uint64))
     counts = np.maximum(lm_scoring.LEAST, (r.pareto(1, len(grams)) * 2).astype(np.int64))
-    size = int(lm_scoring.levels(counts).sum()) * lm_scoring.BITS_PER_ENTRY // 8
+    size = 1 << (int(lm_scoring.levels(counts).sum()) * lm_scoring.BITS_PER_ENTRY // 8).bit_length()
     part = np.frombuffer(lm_scoring.filter_part(grams, counts, size, lm_scoring.PROBES), np.uint8)[None, :]
     held = lm_scoring.LogFrequencyFilter(part, lm_scoring.PROBES)
     exact = lm_scoring.level_middle(lm_scoring.levels(counts))
