@@ -3,7 +3,8 @@
 Two zstandard dictionaries are trained, on good and on bad labelled text. A text is cut into pieces of
 ``PIECE`` bytes (all of them count; within a piece the dictionary matters more than the text's own history)
 and compressed with both. The normalised difference of the sizes and the ratios themselves go through a
-logistic calibration that is fitted on labelled rows the dictionaries have not seen.
+logistic calibration that is fitted on labelled rows the dictionaries have not seen. Lines that several
+training texts share are left out of the dictionaries.
 
 The fit uses at most ``SAMPLE`` rows of each class, those with the smallest id hash, of texts up to
 ``SAMPLE_BYTES``: every third trains the dictionaries, the others the calibration, weighted by the true
@@ -12,6 +13,7 @@ class counts.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,13 @@ def pieces(text: bytes) -> list[bytes]:
     return [text[at : at + PIECE] for at in range(0, len(text), PIECE)] or [b""]
 
 
+def without_shared_lines(by_class: dict[int, list[bytes]]) -> dict[int, list[bytes]]:
+    """The texts without lines that several of them have: those say where a text is from, not how good it is."""
+    held = Counter(line for texts in by_class.values() for text in texts for line in set(text.split(b"\n")))
+    out = {c: [b"\n".join(line for line in text.split(b"\n") if held[line] == 1) for text in texts] for c, texts in by_class.items()}
+    return {c: texts if any(texts) else by_class[c] for c, texts in out.items()}
+
+
 def train_dictionary(texts: list[bytes]) -> bytes:
     """A trained dictionary, or the end of the texts themselves where they are too few to train one."""
     samples = [piece for text in texts for piece in pieces(text) if piece]
@@ -77,7 +86,8 @@ def fit_quality(by_class: dict[int, list[bytes]], counts: dict[int, int]) -> dic
     known = sum(counts.values())
     if not by_class[0] or not by_class[1]:
         return {"good": b"", "bad": b"", "weights": None, "constant": float(counts.get(1, 0) / known if known else 0.5)}
-    good, bad = (train_dictionary(by_class[c][::3]) for c in (1, 0))
+    own = without_shared_lines(by_class)
+    good, bad = (train_dictionary(own[c][::3]) for c in (1, 0))
     compressors = Compressors(good, bad)
     sizes, y, weight = [], [], []
     for c, texts in by_class.items():
