@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as registered
 import oracle_check
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -16,13 +18,13 @@ def con():
     return oracle_check.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equal_to_sql(spark, con, name):
     df = registered.queries()[name](spark, SF)
     assert oracle_check.difference(df, con, registered.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries().keys() - registered.oracle_sql().keys()))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys()))
 def test_has_rows(spark, name):
     assert registered.queries()[name](spark, SF).count() > 0
 
