@@ -113,7 +113,8 @@ def remove_repeated(docs: DataFrame, least: int = MIN_WORDS, removed: str = "rem
 
     ``removed`` must not be a column of ``docs``.
     """
-    found = repeated_units(docs, least).distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(removed))
+    # A set, as rows that repeat a doc_id report the same spans again.
+    found = repeated_units(docs, least).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias(removed))
     found = found.withColumnRenamed("doc_id", "_owner")
     rows = docs.withColumn("text", F.col("text").cast("string"))
     rows = rows.join(found, F.col("doc_id").cast("long") == F.col("_owner"), "left").drop("_owner")
