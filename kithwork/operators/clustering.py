@@ -140,6 +140,11 @@ def cluster_samples(assigned: DataFrame, movies: DataFrame, per_cluster: int = S
     return spread_join(first, movies, "item_id").select("cluster", "item_id", "title", "genres")
 
 
+def sample_lines(samples: DataFrame) -> DataFrame:
+    """``(cluster, value)``: ``id,title,genres`` of the samples of every cluster."""
+    return samples.select("cluster", F.concat_ws(",", F.col("item_id").cast("string"), "title", "genres").alias("value"))
+
+
 def kmeans_mllib(
     vectors: DataFrame, k: int = CLUSTERS, iterations: int = ITERATIONS, seed: int = 11
 ) -> DataFrame:

@@ -124,16 +124,18 @@ def als_factors(
     user_splits, item_splits = (join_splits(ratings.sparkSession, hot) for hot in measure(ratings, "user_id", "item_id"))
     by_user = laid_out(ratings, "user_id", user_splits).persist(StorageLevel.MEMORY_AND_DISK)
     by_item = laid_out(ratings, "item_id", item_splits).persist(StorageLevel.MEMORY_AND_DISK)
-    users = start_factors(by_user.select("user_id").distinct(), "user_id", k, init, seed)
-    for number in range(1, rounds + 1):
-        sums = normal_sums(by_user, users, "user_id", "item_id", user_splits, k)
-        items = solve(sums, "item_id", k, regularisation)
-        if number == rounds:
-            items = cut_lineage(items)
-        sums = normal_sums(by_item, items, "item_id", "user_id", item_splits, k)
-        users = cut_lineage(solve(sums, "user_id", k, regularisation))
-    by_user.unpersist()
-    by_item.unpersist()
+    try:
+        users = start_factors(by_user.select("user_id").distinct(), "user_id", k, init, seed)
+        for number in range(1, rounds + 1):
+            sums = normal_sums(by_user, users, "user_id", "item_id", user_splits, k)
+            items = solve(sums, "item_id", k, regularisation)
+            if number == rounds:
+                items = cut_lineage(items)
+            sums = normal_sums(by_item, items, "item_id", "user_id", item_splits, k)
+            users = cut_lineage(solve(sums, "user_id", k, regularisation))
+    finally:
+        by_user.unpersist()
+        by_item.unpersist()
     return _as_vectors(users, "user_id", k), _as_vectors(items, "item_id", k)
 
 
@@ -161,6 +163,12 @@ def als_loss(
     return scored.agg(F.sum(error * error).alias("error")).select((F.col("error") + regularisation * sizes).alias("loss"))
 
 
+def factor_lookup(factors: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of a factor table for the given ids, once each; both have the same key column."""
+    key = factors.columns[0]
+    return factors.join(ids.select(key), key, "left_semi")
+
+
 def als_mllib(
     ratings: DataFrame, k: int = RANK, regularisation: float = REGULARISATION, rounds: int = ROUNDS, seed: int = 7
 ) -> tuple[DataFrame, DataFrame]:

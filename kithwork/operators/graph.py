@@ -123,14 +123,15 @@ def mutual_friend_profiles_list(edges: DataFrame, profiles: DataFrame, pairs: Da
     return found.select("u1", "u2", "part", F.array_join("items.text", ",").alias("profiles"))
 
 
-def friend_candidates(edges: DataFrame, targets: DataFrame) -> DataFrame:
+def friend_candidates(edges: DataFrame, targets: DataFrame, hot: list[HotKeys] | None = None) -> DataFrame:
     """``(target, candidate, n)``: everyone who shares ``n`` listing users with a target, but no friend of it.
 
     The two steps of a path run target <- via -> candidate: users that list the target, then everyone
-    in their lists. The work is the lists of the users next to the targets.
+    in their lists. The work is the lists of the users next to the targets. ``hot`` are the hot users and
+    friends of ``edges`` where they are measured already.
     """
     targets = targets.select("target").distinct()
-    hot_uid, hot_friend = measure(edges, "uid", "friend")
+    hot_uid, hot_friend = hot or measure(edges, "uid", "friend")
     incoming = edges.select(F.col("friend").alias("target"), F.col("uid").alias("via"))
     first = cut_lineage(spread_join(incoming, targets, "target", "left_semi", left_hot=hot_friend))
     hot_via = measure(first, "via")[0]
@@ -145,13 +146,13 @@ def friend_candidates(edges: DataFrame, targets: DataFrame) -> DataFrame:
     return counted.join(own, ["target", "candidate"], "left_anti")
 
 
-def recommend_friends(edges: DataFrame, targets: DataFrame, k: int = 10) -> DataFrame:
+def recommend_friends(edges: DataFrame, targets: DataFrame, k: int = 10, hot: list[HotKeys] | None = None) -> DataFrame:
     """``(target, rank, candidate, n)``: the ``k`` best candidates, most shared users first, then lower id.
 
     Every task keeps its own best ``k`` per target before the shuffle.
     """
     order = Window.partitionBy("target").orderBy(F.desc("n"), F.asc("candidate"))
-    ranked = friend_candidates(edges, targets).withColumn("rank", F.row_number().over(order))
+    ranked = friend_candidates(edges, targets, hot).withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("target", "rank", "candidate", "n")
 
 
@@ -160,28 +161,30 @@ def recommendation_list(edges: DataFrame, targets: DataFrame, k: int = 10) -> Da
 
     A target that appears in no edge has no row.
     """
-    best = recommend_friends(edges, targets, k)
+    hot = measure(edges, "uid", "friend")
+    best = recommend_friends(edges, targets, k, hot)
     items = F.sort_array(F.collect_list(F.struct("rank", F.col("candidate").cast("string").alias("id"))))
     lists = best.groupBy("target").agg(F.array_join(items["id"], ",").alias("candidates"))
-    return _known_targets(edges, targets).join(lists, "target", "left").select(
+    return _known_targets(edges, targets, hot).join(lists, "target", "left").select(
         "target", F.coalesce("candidates", F.lit("")).alias("candidates")
     )
 
 
 def candidate_list(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """``(target, part, candidates)``: every candidate of a target, comma-joined in id order."""
-    candidates = cut_lineage(friend_candidates(edges, targets).select("target", "candidate"))
+    hot = measure(edges, "uid", "friend")
+    candidates = cut_lineage(friend_candidates(edges, targets, hot).select("target", "candidate"))
     found = bags(candidates, ["target"], F.col("candidate"), "ids")
     lists = found.select("target", "part", F.array_join(F.col("ids").cast("array<string>"), ",").alias("candidates"))
-    return _known_targets(edges, targets).join(lists, "target", "left").select(
+    return _known_targets(edges, targets, hot).join(lists, "target", "left").select(
         "target", F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("candidates", F.lit("")).alias("candidates")
     )
 
 
-def _known_targets(edges: DataFrame, targets: DataFrame) -> DataFrame:
+def _known_targets(edges: DataFrame, targets: DataFrame, hot: list[HotKeys]) -> DataFrame:
     """The targets that have a list of their own or stand in somebody's list."""
     targets = targets.select("target").distinct()
-    hot_uid, hot_friend = measure(edges, "uid", "friend")
+    hot_uid, hot_friend = hot
     owners = edges.select(F.col("uid").alias("target"), F.col("friend").alias("by"))
     listed = edges.select(F.col("friend").alias("target"), F.col("uid").alias("by"))
     owners = spread_join(owners, targets, "target", "left_semi", left_hot=hot_uid)

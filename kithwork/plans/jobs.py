@@ -137,6 +137,17 @@ def classify_file(spark: SparkSession, labeled: str, method: str = "decision_tre
     return classify.accuracy({"decision_tree": classify.decision_tree, "naive_bayes": classify.naive_bayes}[method](rows))
 
 
+def cluster_listing(spark: SparkSession, movies: str, rated: str, sep: str = "::") -> DataFrame:
+    """The samples of every cluster as ``id,title,genres``."""
+    return clustering.sample_lines(cluster_movies(spark, movies, rated, sep))
+
+
+def tree_text(spark: SparkSession, labeled: str) -> DataFrame:
+    """``(n, line)``: the decision tree fitted on the training part of a file of labelled rows, as text."""
+    train, _ = classify.split_by_id(cut_lineage(sources.parse_labeled(sources.read_lines(spark, labeled))))
+    return classify.tree_lines(classify.fit_decision_tree(train, classify.class_values(train)), train)
+
+
 def predict_ratings(
     spark: SparkSession, rated: str, user_ids: list[int], item_ids: list[int], sep: str = "::", **options
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,6 +19,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -34,6 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
     if context.applicationId not in _own_folders:
         _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="kithwork-")
+        atexit.register(shutil.rmtree, _own_folders[context.applicationId], ignore_errors=True)
     return _own_folders[context.applicationId]
 
 

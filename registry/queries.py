@@ -401,8 +401,7 @@ def cluster_samples(spark, sf):
 @query
 def cluster_sample_lines(spark, sf):
     """The samples as comma-joined text of movie id, title and genres."""
-    rows = cluster_samples(spark, sf)
-    return rows.select("cluster", F.concat_ws(",", F.col("item_id").cast("string"), "title", "genres").alias("value"))
+    return clustering.sample_lines(cluster_samples(spark, sf))
 
 
 @query
@@ -475,7 +474,7 @@ def als_factor_lookup(spark, sf):
     """The factors of the users who rated a lowest-rated movie."""
     users, _ = factorize.als_factors(stored(spark, sf, "ratings"), rounds=1, init="constant")
     asked = raters_of_lowest_distinct(spark, sf)
-    return _wide(users.join(asked, "user_id", "left_semi"), "user_id", 6)
+    return _wide(factorize.factor_lookup(users, asked), "user_id", 6)
 
 
 @query
