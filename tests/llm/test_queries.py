@@ -7,7 +7,8 @@ import textwrap
 
 import pytest
 
-from kithwork.llm.queries import QUERIES
+import oracle_check
+from kithwork.llm.queries import ORACLES, QUERIES
 from kithwork.llm.tables import table
 
 SF = "/root/testdata/sf0.001"
@@ -34,6 +35,12 @@ def test_columns_and_rows(spark, name):
     assert found.count() == table(spark, SF, source).count()
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_equal_to_sql(spark, name):
+    assert oracle_check.difference(QUERIES[name](spark, SF), oracle_check.connect(SF), ORACLES[name]) is None
+
+
 def test_all_queries_have_a_number():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
 
