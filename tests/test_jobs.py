@@ -95,3 +95,21 @@ def test_model_jobs(spark, files):
     glass = files("glass", *(f"{n},{n % 2 * 5 + 1},{7 - n % 2 * 5},{n % 2 + 1}" for n in range(60)))
     for method in ("decision_tree", "naive_bayes"):
         assert jobs.classify_file(spark, glass, method).first().accuracy == 1.0
+
+
+def test_profiles_without_a_birth_date_keep_their_names(spark, files, tmp_path, caplog):
+    adjacency = files("adj2", "1\t3,4,5", "2\t3,4,5", "x\t9")
+    people = files("people2", *(f"{u},N{u},L{u},{u} Main,Town,TX,0{u}000,,,{dob}" for u, dob in ((3, "1/2/1990"), (4, "unknown"), (5, ""))))
+    out = str(tmp_path / "names")
+    with caplog.at_level("WARNING", logger="kithwork.jobs"):
+        jobs.mutual_friend_zip(spark, adjacency, people, out, 1, 2)
+    assert read(spark, out) == ["1,2\tN3 L3:03000,N4 L4:04000,N5 L5:05000"]
+    assert [r.args[0] for r in caplog.records] == [1, 2]
+
+
+def test_long_lists_are_written_in_marked_runs(spark, files, tmp_path, skewed):
+    friends = ",".join(map(str, range(100, 140)))
+    out = str(tmp_path / "runs")
+    jobs.mutual_friend(spark, files("adj3", f"1\t{friends}", f"2\t{friends}"), out, 1, 2)
+    runs = [range(100, 115), range(115, 130), range(130, 140)]
+    assert read(spark, out) == sorted(f"1,2{mark}\t{','.join(map(str, run))}" for mark, run in zip(("", "#1", "#2"), runs))
