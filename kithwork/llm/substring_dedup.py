@@ -115,9 +115,9 @@ def remove_repeated(docs: DataFrame, least: int = MIN_WORDS, removed: str = "rem
     """
     # A set, as rows that repeat a doc_id report the same spans again.
     found = repeated_units(docs, least).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias(removed))
-    found = found.withColumnRenamed("doc_id", "_owner")
+    found = found.withColumnRenamed("doc_id", "_kithwork_owner")
     rows = docs.withColumn("text", F.col("text").cast("string"))
-    rows = rows.join(found, F.col("doc_id").cast("long") == F.col("_owner"), "left").drop("_owner")
+    rows = rows.join(found, F.col("doc_id").cast("long") == F.col("_kithwork_owner"), "left").drop("_kithwork_owner")
     schema = rows.withColumn(removed, F.col(removed).cast(SPAN)).schema
     return rows.select(*docs.columns, F.col(removed).cast(SPAN).alias(removed)).mapInArrow(_cut(docs.columns.index("text")), schema)
 
