@@ -28,9 +28,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of lines and sentences are cut out of the texts; ``n_chars`` follows."""
-    cut = remove_repeated(docs, removed="_removed")
+    cut = remove_repeated(docs, removed="_kithwork_removed")
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.size("_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        cut = cut.withColumn("n_chars", F.when(F.size("_kithwork_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return cut.select(docs.columns)
 
 
@@ -45,8 +45,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    ids = rows.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+    ids = rows.select(F.col("doc_id").alias("_kithwork_id")).distinct()
+    return docs.join(ids, F.col("doc_id").cast("long") == F.col("_kithwork_id"), "left_anti")
 
 
 STAGES = [
