@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from kithwork.functions import number_list, split_fields
 from kithwork.session import cut_lineage
 
-from .skew import bags, measure, spread_join
+from .skew import bags, bags_in_parts, measure, spread_join
 
 # Fixed values of the original question: who rated the worst of which movies.
 GENRES = ("Action", "War")
@@ -89,7 +89,10 @@ def movie_rating_cogroup(ratings: DataFrame, movies: DataFrame, limit: int | Non
         first = F.broadcast(first)  # never more than ``limit`` rows
         ratings, movies = (df.join(first, "item_id", "left_semi") for df in (ratings, movies))
     left = bags(ratings, ["item_id"], rating_item, "ratings")
-    right = bags(movies, ["item_id"], movie_item, "movies").withColumnRenamed("part", "_movie_part")
+    right, whole = bags_in_parts(movies, ["item_id"], movie_item, "movies")
+    if whole:
+        return left.join(right.drop("part"), "item_id").select("item_id", "part", "ratings", "movies")
+    right = right.withColumnRenamed("part", "_movie_part")
     runs = right.groupBy("item_id").agg((F.max("_movie_part") + 1).alias("_runs"))
     part = (F.col("part") * F.col("_runs") + F.col("_movie_part")).cast("int")
     return left.join(right.join(runs, "item_id"), "item_id").select("item_id", part.alias("part"), "ratings", "movies")

@@ -12,6 +12,7 @@ Catalyst chooses by size between a broadcast and a shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -137,7 +138,12 @@ def spread_join(
     return left.join(right, on, how).drop("_ls", "_rs")
 
 
-def with_parts(df: DataFrame, keys: list[str], item: str) -> DataFrame:
+class Parts(NamedTuple):
+    rows: DataFrame
+    whole: bool  # every key has part 0 only
+
+
+def with_parts(df: DataFrame, keys: list[str], item: str) -> Parts:
     """Add ``part``: part p of a key is the p-th run of ``kithwork.bag.maxRows`` rows in order of ``item``.
 
     The sizes are exact counts and the positions follow the items, so the parts depend on the rows alone,
@@ -149,7 +155,7 @@ def with_parts(df: DataFrame, keys: list[str], item: str) -> DataFrame:
     large = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > longest))
     sizes = large.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if not sizes[0]:
-        return df.withColumn("part", F.lit(0))
+        return Parts(df.withColumn("part", F.lit(0)), True)
     small_list = is_small(spark, sizes[0])
     names = F.broadcast(large.drop("_n")) if small_list else large.drop("_n")
     tasks = max(_setting(spark, "spark.sql.shuffle.partitions", 200), -(-sizes[1] // longest))
@@ -162,7 +168,7 @@ def with_parts(df: DataFrame, keys: list[str], item: str) -> DataFrame:
     numbered = ranged.withColumn("_row", F.row_number().over(inside) - 1).join(ahead, [*keys, "_task"])
     part = F.floor((F.col("_ahead") + F.col("_row")) / longest).cast("int")
     numbered = numbered.withColumn("part", part).select(*df.columns, "part")
-    return df.join(names, keys, "left_anti").withColumn("part", F.lit(0)).unionByName(numbered)
+    return Parts(df.join(names, keys, "left_anti").withColumn("part", F.lit(0)).unionByName(numbered), False)
 
 
 def bags(df: DataFrame, keys: list[str], item: Column, name: str) -> DataFrame:
@@ -170,8 +176,16 @@ def bags(df: DataFrame, keys: list[str], item: Column, name: str) -> DataFrame:
 
     Part p is the p-th run of the sorted list, so the parts in order are the list.
     """
-    parts = with_parts(df.select(*keys, item.alias("_item")), keys, "_item")
-    return parts.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_item")).alias(name))
+    return bags_in_parts(df, keys, item, name).rows
+
+
+def bags_in_parts(df: DataFrame, keys: list[str], item: Column, name: str) -> Parts:
+    """``bags``, and whether every list is in one row."""
+    rows, whole = with_parts(df.select(*keys, item.alias("_item")), keys, "_item")
+    items = F.sort_array(F.collect_list("_item")).alias(name)
+    if whole:
+        return Parts(rows.groupBy(*keys).agg(items).select(*keys, F.lit(0).alias("part"), name), True)
+    return Parts(rows.groupBy(*keys, "part").agg(items), False)
 
 
 def laid_out(df: DataFrame, key: str, splits: dict) -> DataFrame:
