@@ -6,10 +6,13 @@
 2. The distinct streams of a host are aligned one after another to a union-free regular expression, the
    wrapper: what only one side has becomes an optional group, neighbouring repeats a repeated one, text a
    slot. A host with many streams is aligned in parts first; the parts' wrappers are aligned last.
-3. The slots of a wrapper are told apart: those under navigation, forms, adverts, comments and the like are
-   left out; of the others the article's are kept, where there is one, else those of the container with
-   the most text in repeated slots.
-4. Every page is read again with the slots of its host's wrapper, whole.
+3. Every page is read again, whole, and its slots are told apart: those under navigation, forms, adverts,
+   comments and the like are left out; of the others those in the page's own article or main elements are
+   kept, all of them, and all others where no such element has text. So a page's text never depends on
+   where other pages of its host keep theirs.
+
+The labels in streams and wrappers have only the class and id words that at least half of the pages of the
+host share; slugs, ids and categories of single pages do not make a template of their own.
 """
 
 from __future__ import annotations
@@ -59,7 +62,7 @@ TEXT = "#"
 class Tag:
     """What the reader needs to know of a tag, kept per distinct tag text."""
 
-    __slots__ = ("name", "closes", "label", "noise", "article", "void")
+    __slots__ = ("name", "closes", "words", "noise", "article", "void")
 
     def __init__(self, text: str):
         found = NAME.match(text)
@@ -71,17 +74,21 @@ class Tag:
             for kind, *values in ATTRIBUTE.findall(text):
                 own = [w.lower() for w in SPLIT_WORDS.split("".join(values)) if w]
                 (roles if kind.lower() == "role" else words).extend(own)
-        self.label = ".".join([self.name, *sorted(set(words))])
+        self.words = frozenset(words)
         self.article = self.name in ARTICLE or "main" in roles or "article" in roles
         noise = self.name in NOISE_TAG or not NOISE_ROLE.isdisjoint(roles) or not NOISE_WORD.isdisjoint(words) or bool(HIDDEN.search(text))
         self.noise = not self.closes and noise and self.name not in ("html", "body")
 
 
 class Reader:
-    """Walks over pages; gives the stream, the path of every text, and block borders."""
+    """Walks over pages; gives the stream, the path of every text, and block borders.
+
+    Labels have the class and id words in ``shared`` only.
+    """
 
     def __init__(self):
         self.known: dict[str, Tag] = {}
+        self.shared: frozenset[str] = frozenset()
 
     def tag(self, text: str) -> Tag:
         found = self.known.get(text)
@@ -91,6 +98,18 @@ class Reader:
             found = self.known[text] = Tag(text)
         return found
 
+    def label(self, tag: Tag) -> str:
+        own = tag.words & self.shared if tag.words else tag.words
+        return ".".join([tag.name, *sorted(own)]) if own else tag.name
+
+    def words(self, page: str) -> set[str]:
+        """Class and id words of the page."""
+        own: set[str] = set()
+        for found in TAG.finditer(page):
+            if "=" in found[0] and not found[1]:
+                own.update(self.tag(found[0]).words)
+        return own
+
     def events(self, page: str) -> Iterator[tuple[str, str, str]]:
         """(kind, label or text, path): kind is tag, block or text. A path joins the containers, noise marked by '!'."""
         stack: list[tuple[str, str]] = []  # name, path below it
@@ -108,6 +127,7 @@ class Reader:
             if not tag.name:
                 continue
             kind = "tag" if tag.name in INLINE else "block"
+            label = self.label(tag)
             if tag.closes:
                 depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == tag.name), -1)
                 if depth >= 0:
@@ -126,9 +146,9 @@ class Reader:
                 if not tag.void:
                     if tag.name in CONTAINER or tag.noise or tag.article:
                         mark = "!" if tag.noise else "*" if tag.article else ""
-                        path = f"{path}/{mark}{tag.label}"
+                        path = f"{path}/{mark}{label}"
                     stack.append((tag.name, path))
-            yield kind, ("/" if tag.closes else "") + tag.label, path
+            yield kind, ("/" if tag.closes else "") + label, path
         if at < len(page):
             yield TEXT, page[at:], path
 
@@ -155,19 +175,15 @@ def fold(items: list) -> list:
     return out
 
 
-def stream(reader: Reader, page: str) -> tuple[list, dict[str, int]]:
-    """The folded stream of a page and the characters of text under every path."""
-    items, mass = [], {}
+def stream(reader: Reader, page: str) -> list:
+    """The folded stream of a page."""
+    items: list = []
     for kind, value, path in reader.events(page):
-        if kind == TEXT:
-            n = len(value.strip())
-            if n:
-                mass[path] = mass.get(path, 0) + n
-                if not items or items[-1] != f"{TEXT}{path}":
-                    items.append(f"{TEXT}{path}")
-        else:
+        if kind != TEXT:
             items.append(value)
-    return fold(items), mass
+        elif value.strip() and (not items or items[-1] != f"{TEXT}{path}"):
+            items.append(f"{TEXT}{path}")
+    return fold(items)
 
 
 def align(a: list, b: list) -> list:
@@ -244,15 +260,6 @@ def _tidy(items: list) -> list:
     return out
 
 
-def slots(wrapper: list, repeated: bool = False) -> Iterator[tuple[str, bool]]:
-    """(path, in a repeated group) of the text slots."""
-    for item in wrapper:
-        if isinstance(item, tuple):
-            yield from slots(item[1], repeated or item[0] in "+*")
-        elif item.startswith(TEXT):
-            yield item[1:], repeated
-
-
 def wrapper_text(wrapper: list) -> str:
     """The wrapper written as a regular expression over tags and slots."""
     parts = []
@@ -271,63 +278,58 @@ def infer(streams: list[list]) -> list:
     return wrapper
 
 
-def content_paths(wrapper: list, mass: dict[str, int]) -> list[str]:
-    """Paths of the wrapper's slots that hold the article."""
-    found: dict[str, bool] = {}
-    for path, repeated in slots(wrapper):
-        found[path] = found.get(path, False) or repeated
-    clean = [p for p in found if "/!" not in p]
-    articles = [p for p in clean if "/*" in p]
-    if articles:
-        # The outermost article or main element of each slot; the one with the most text is the article.
-        roots = {p: p[: (p.index("/", p.index("/*") + 2) if "/" in p[p.index("/*") + 2 :] else len(p))] for p in articles}
-        total: dict[str, int] = {}
-        for p, root in roots.items():
-            total[root] = total.get(root, 0) + mass.get(p, 0)
-        best = max(sorted(total), key=lambda r: total[r])
-        return sorted(p for p, root in roots.items() if root == best)
-    weight = {p: mass.get(p, 0) * (2 if found[p] else 1) for p in clean}
-    if not weight:
-        return []
-    best = max(sorted(weight), key=lambda p: weight[p])
-    return sorted(p for p in clean if p == best or p.startswith(best + "/"))
-
-
-def main_text(reader: Reader, page: str, paths: frozenset[str]) -> str:
-    """Text under the paths: white space of a block as one blank, blocks in page order, one line each."""
-    blocks: list[str] = []
-    block: list[str] = []
+def main_text(reader: Reader, page: str) -> str:
+    """Text of the page's content: white space of a block as one blank, blocks in page order, one line each."""
+    blocks: list[tuple[str, str]] = []  # text in articles, text in all clean slots
+    block: list[tuple[bool, str]] = []
 
     def close():
-        text = SPACE.sub(" ", entities.unescape("".join(block))).strip()
-        if text:
-            blocks.append(text)
+        both = ["".join(v for article, v in block if article), "".join(v for _, v in block)]
+        both = [SPACE.sub(" ", entities.unescape(text)).strip() for text in both]
+        if both[1]:
+            blocks.append((both[0], both[1]))
         block.clear()
 
     for kind, value, path in reader.events(page):
         if kind == TEXT:
-            if path in paths:
-                block.append(value)
+            if "/!" not in path:
+                block.append(("/*" in path, value))
         elif kind == "block":
             close()
         elif value == "br":
-            block.append(" ")
+            block.extend(((True, " "), (False, " ")))
     close()
-    return "\n".join(blocks)
+    inside = [article for article, _ in blocks if article]
+    return "\n".join(inside or [clean for _, clean in blocks])
 
 
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _page_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = Reader()
     for batch in batches:
-        hosts, texts, paths, sizes = [], [], [], []
+        hosts, words = [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            items, mass = stream(reader, page)
-            shape = repr(items)
-            for path, n in mass.items():
-                hosts.append(host), texts.append(shape), paths.append(path), sizes.append(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(texts, pa.string()), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], names=["host", "stream", "path", "chars"]
-        )
+            # The empty word counts the pages.
+            own = ["", *reader.words(page)]
+            hosts.extend([host] * len(own)), words.extend(own)
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(words, pa.string())], names=["host", "word"])
+
+
+def shared_words(pages: DataFrame) -> DataFrame:
+    """(host, words): class and id words on at least half of the pages of the host, from a frame (host, html)."""
+    counted = stored(pages.mapInArrow(_page_words, "host string, word string").groupBy("host", "word").agg(F.count("*").alias("n")), "words")
+    total = counted.where("word = ''").select("host", F.col("n").alias("pages"))
+    word = F.when((F.col("word") != "") & (2 * F.col("n") >= F.col("pages")), F.col("word"))
+    return counted.join(total, "host").groupBy("host").agg(F.array_sort(F.collect_list(word)).alias("words"))
+
+
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    reader = Reader()
+    for batch in batches:
+        texts = []
+        for page, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            reader.shared = frozenset(words or ())
+            texts.append(repr(stream(reader, page)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["host", "stream"])
 
 
 def _wrappers(group: pa.Table) -> pa.Table:
@@ -340,34 +342,26 @@ def _parsed(shape: str) -> list:
     return ast.literal_eval(shape)
 
 
-def _rules(group: pa.Table) -> pa.Table:
+def _whole_wrapper(group: pa.Table) -> pa.Table:
     host = group["host"][0].as_py()
-    wrapper = infer([_parsed(s) for s in sorted({s for s in group["wrapper"].to_pylist() if s}, key=lambda s: (-len(s), s))])
-    mass = {p: n for p, n in zip(group["path"].to_pylist(), group["chars"].to_pylist()) if p is not None}
-    return pa.table(
-        {"host": pa.array([host], pa.string()), "wrapper": pa.array([wrapper_text(wrapper)], pa.string()), "paths": pa.array([content_paths(wrapper, mass)], pa.list_(pa.string()))}
-    )
+    wrapper = infer([_parsed(s) for s in sorted(set(group["wrapper"].to_pylist()), key=lambda s: (-len(s), s))])
+    return pa.table({"host": pa.array([host], pa.string()), "wrapper": pa.array([wrapper_text(wrapper)], pa.string())})
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, paths) from a frame (host, html)."""
-    streams = pages.mapInArrow(_streams, "host string, stream string, path string, chars long")
-    counted = stored(streams.groupBy("host", "stream", "path").agg(F.sum("chars").alias("chars")), "streams")
-    shapes = counted.select("host", "stream").distinct()
+    """(host, wrapper) from a frame (host, html)."""
+    known = pages.join(shared_words(pages), "host", "left").select("host", "html", "words")
+    shapes = stored(known.mapInArrow(_streams, "host string, stream string").distinct(), "streams")
     many = shapes.groupBy("host").agg(F.ceil(F.count("*") / PART_STREAMS).alias("parts"))
     shapes = shapes.join(many, "host").withColumn("part", F.pmod(F.xxhash64("stream"), F.col("parts")))
     wrappers = shapes.groupBy("host", "part").applyInArrow(_wrappers, "host string, wrapper string")
-    mass = counted.groupBy("host", "path").agg(F.sum("chars").alias("chars"))
-    both = wrappers.select("host", "wrapper", F.lit(None).cast("string").alias("path"), F.lit(None).cast("long").alias("chars")).unionByName(
-        mass.select("host", F.lit(None).cast("string").alias("wrapper"), "path", "chars")
-    )
-    return both.groupBy("host").applyInArrow(_rules, "host string, wrapper string, paths array<string>")
+    return wrappers.groupBy("host").applyInArrow(_whole_wrapper, "host string, wrapper string")
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = Reader()
     for batch in batches:
-        texts = [main_text(reader, page, frozenset(paths or ())) for page, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        texts = [main_text(reader, page) for page in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -383,7 +377,5 @@ def extract_text(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.lower(host).alias("host")
     )
-    rules = stored(host_wrappers(rows.select("host", "html")), "wrappers")
-    known = rows.join(rules.select("host", "paths"), "host", "left")
-    texts = known.select("page_id", "url", "html", "paths").mapInArrow(_texts, "page_id long, url string, text string")
+    texts = rows.select("page_id", "url", "html").mapInArrow(_texts, "page_id long, url string, text string")
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -157,6 +157,28 @@ def test_main_text_without_an_article_element(spark):
     assert found == {n: "\n".join(f"Text {k}" for k in range(n)) for n in range(1, 6)}
 
 
+def test_main_text_does_not_depend_on_where_other_pages_keep_theirs(spark):
+    rows, want = [], {}
+    for n in range(24):
+        kind = ("news", "sport", "money")[n % 3]
+        url = f"http://two.example/{n}" if n % 4 else None
+        if n % 2:
+            page = f"<body class='single category-{kind}'><div class='menu'>Home</div><article id='slug-{'abcdefghijklmnopqrstuvwxyz'[n]}'><h1>Head {n}</h1><p>{f'Story {n} ' * 40}</p></article></body>"
+            want[n] = f"Head {n}\n" + " ".join([f"Story {n}"] * 40)
+        else:
+            page = f"<body class='shop category-{kind}'><div class='part-one'><p>First {n} of the parts</p></div><div class='part-two'><p>Second {n}</p></div><div class='footer'>f</div></body>"
+            want[n] = f"First {n} of the parts\nSecond {n}"
+        rows.append((n, url, page))
+    found = {r["page_id"]: r["text"] for r in html_extraction.extract_text(pages(spark, rows)).collect()}
+    assert found == want
+
+
+def test_wrapper_labels_have_shared_words_only(spark):
+    rows = [("h", f"<body class='single c{'abcdefgh'[n]}x'><article id='{'klmnopqr'[n]}y'><p>t</p></article></body>") for n in range(8)]
+    wrapper = html_extraction.host_wrappers(spark.createDataFrame(rows, "host string, html string")).collect()
+    assert [r["wrapper"] for r in wrapper] == ["<body.single> <article> <p> # </p> </article> </body>"]
+
+
 def test_awkward_pages(spark):
     rows = [(1, None, None), (2, "no host", ""), (3, "http://x.example", "<p>a <b>b"), (3, "http://x.example", "<p>a <b>b"), (None, "http://x.example", "plain < text & more"),
             (4, "http://y.example", "<article><p>" + "long " * 50_000 + "</p><!-- open"), (5, "http://z.example", "<a href='x>y\" <<p>>q")]
