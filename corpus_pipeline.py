@@ -21,9 +21,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+# Five-word shingles; the registered op3_ query has a threshold of its own.
+NEAR_PERCENT = 80
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates the document with the smallest id stays."""
-    return _without(docs, minhash_dedup(docs).where("not kept"))
+    return _without(docs, minhash_dedup(docs, percent=NEAR_PERCENT).where("not kept"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@ A table key would need ``2 * HALF`` minhashes of its own. Here a document comput
 ``SIDE`` parts of ``HALF`` minhashes each, and the key of table (i, j) is the pair of part i of the first
 and part j of the second collection: SIDE * SIDE = 144 tables from 96 minhashes instead of 1152. A pair of
 similarity s shares a key with probability (1 - (1 - s**HALF)**SIDE)**2: 0.9997 at 0.85, 0.99999 at 0.9.
+Below 85 percent ``sides`` takes more parts, so that the probability at the threshold is 0.9997 again.
 
-1. One pass makes a sketch per document: set size, 128-bit digest of the set, the 24 parts.
+1. One pass makes a sketch per document: set size, 128-bit digest of the set, the parts.
 2. Documents with equal sets become one representative, the smallest id.
 3. Parts held by one representative only are dropped; the keys of the rest are built from pairs of parts.
 4. Every key links its representatives to the smallest one; the components of these links are clumps. Two
@@ -18,6 +19,7 @@ similarity s shares a key with probability (1 - (1 - s**HALF)**SIDE)**2: 0.9997
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,23 +37,38 @@ TILE_DOCS = 1024
 TILE_SHINGLES = 250_000
 
 SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, parts array<long>"
-_random = np.random.Generator(np.random.PCG64(20240229))
-TWISTS = _random.integers(1, 1 << 63, 2 * SIDE * HALF, dtype=np.uint64)
-FACTORS = _random.integers(1, 1 << 63, 2 * SIDE * HALF, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MISSED = 0.0003
 
 
-def minhashes(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(len(TWISTS), np.iinfo(np.uint64).max, np.uint64)
+def sides(percent: int) -> int:
+    """Parts of a collection: SIDE, or as many as miss a pair at the threshold with probability MISSED at most."""
+    if percent <= 0:
+        raise ValueError("percent must be positive")
+    side, s = SIDE, percent / 100
+    while percent < PERCENT and 1 - (1 - (1 - s**HALF) ** side) ** 2 > MISSED:
+        side += 1
+    return side
+
+
+@lru_cache
+def twists(n: int) -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.Generator(np.random.PCG64(20240229))
+    return random.integers(1, 1 << 63, n, dtype=np.uint64), random.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def minhashes(shingles: np.ndarray, n: int) -> np.ndarray:
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    twist, factor = twists(n)
     for at in range(0, len(shingles), 2048):
-        block = (shingles[None, at : at + 2048] ^ TWISTS[:, None]) * FACTORS[:, None]
+        block = (shingles[None, at : at + 2048] ^ twist[:, None]) * factor[:, None]
         np.minimum(least, block.min(axis=1), out=least)
     return least
 
 
-def banding_parts(shingles: np.ndarray) -> np.ndarray:
+def banding_parts(shingles: np.ndarray, side: int = SIDE) -> np.ndarray:
     """One value per part; its number is mixed in, so parts of different numbers never meet."""
-    least = minhashes(shingles).reshape(2 * SIDE, HALF)
-    value = np.arange(2 * SIDE, dtype=np.uint64)
+    least = minhashes(shingles, 2 * side * HALF).reshape(2 * side, HALF)
+    value = np.arange(2 * side, dtype=np.uint64)
     for k in range(HALF):
         value = mix(value + least[:, k])
     return value.view(np.int64)
@@ -62,7 +79,7 @@ def digest(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(int(x.sum(dtype=np.uint64).view(np.int64)) for x in both)
 
 
-def _sketches(size: int):
+def _sketches(size: int, side: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
@@ -72,7 +89,7 @@ def _sketches(size: int):
                 for shingles in shingle_hashes(hasher.words(raw, offsets[a : b + 1]), size):
                     d1, d2 = digest(shingles)
                     sizes.append(len(shingles)), firsts.append(d1), seconds.append(d2)
-                    parts.append(banding_parts(shingles) if len(shingles) else np.zeros(0, np.int64))
+                    parts.append(banding_parts(shingles, side) if len(shingles) else np.zeros(0, np.int64))
             ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
             flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -83,20 +100,20 @@ def _sketches(size: int):
     return run
 
 
-def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def sketches(docs: DataFrame, size: int = SHINGLE, side: int = SIDE) -> DataFrame:
     """One row per doc_id; of rows with the same id the one with the smallest sketch."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = rows.where(F.col("doc_id").isNotNull()).mapInArrow(_sketches(size), SKETCH)
+    made = rows.where(F.col("doc_id").isNotNull()).mapInArrow(_sketches(size, side), SKETCH)
     return made.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "d1", "d2", "parts")).alias("s")).select("doc_id", "s.*")
 
 
-def candidate_stars(reps: DataFrame) -> DataFrame:
+def candidate_stars(reps: DataFrame, side: int = SIDE) -> DataFrame:
     """(a, b): for every table key with several documents, each of them with the smallest."""
-    side = F.col("at") < SIDE
+    first_side = F.col("at") < side
     parts = reps.select("rep", F.posexplode("parts").alias("at", "part"))
     shared = parts.groupBy("part").count().where("count > 1").select("part")
     held = parts.join(shared, "part", "left_semi").groupBy("rep").agg(
-        F.collect_list(F.when(side, F.col("part"))).alias("us"), F.collect_list(F.when(~side, F.col("part"))).alias("vs")
+        F.collect_list(F.when(first_side, F.col("part"))).alias("us"), F.collect_list(F.when(~first_side, F.col("part"))).alias("vs")
     )
     keys = held.select("rep", "vs", F.explode("us").alias("u")).select("rep", "u", F.explode("vs").alias("v"))
     keys = stored(keys.select(F.xxhash64("u", "v").alias("key"), "rep"), "keys")
@@ -212,12 +229,13 @@ def minhash_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     has one. Ties: the smallest id of a component is kept. Other columns are not read. An empty table gives
     an empty result.
     """
-    sketch = stored(sketches(docs, size), "sketches")
+    side = sides(percent)
+    sketch = stored(sketches(docs, size, side), "sketches")
     reps = sketch.where("n_shingles > 0").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("parts").alias("parts")
     )
     reps = stored(reps, "sets")
-    clumps = components(candidate_stars(reps))
+    clumps = components(candidate_stars(reps, side))
     linked = components(confirmed_links(docs, reps, clumps, size, percent))
     classes = reps.select("d1", "d2", "rep").join(linked, F.col("rep") == F.col("id"), "left")
     classes = classes.select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))

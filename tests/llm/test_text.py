@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kithwork.llm import decontamination, html_extraction, packing, quality
+from kithwork.llm import decontamination, html_extraction, minhash_dedup, packing, quality
 from tables_for_tests import LABELS, awkward, documents, words
 from test_dedup import brute_minhash, brute_repeats
 
@@ -219,6 +219,22 @@ def corpus(spark, tmp_path_factory):
     return folder, item
 
 
+def test_near_duplicates_of_the_pipeline_share_four_fifths(spark):
+    own = [f"u{k}" for k in range(100)]
+    texts = {1: own, 2: [*own[:90], *(f"v{k}" for k in range(10))], 3: [f"x{k}" for k in range(100)], 4: [*(f"x{k}" for k in range(86)), *(f"y{k}" for k in range(14))]}
+    shingles = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in texts.items()}
+    alike = [len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b]) for a, b in ((1, 2), (3, 4))]
+    assert 0.81 < alike[0] < 0.84 and alike[1] < 0.8
+    docs = documents(spark, [(i, " ".join(w), "en") for i, w in texts.items()])
+    stage = dict(corpus_pipeline.STAGES)["minhash_dedup"]
+    assert {r["doc_id"] for r in stage(spark, docs, "").collect()} == {1, 3, 4}
+
+
+def test_banding_follows_the_threshold():
+    missed = {p: 1 - (1 - (1 - (p / 100) ** minhash_dedup.HALF) ** minhash_dedup.sides(p)) ** 2 for p in (60, 70, 80, 84)}
+    assert all(m <= 0.0003 for m in missed.values()) and minhash_dedup.sides(85) == minhash_dedup.SIDE
+
+
 def test_stages_on_all_rows_of_their_predecessors(spark, corpus):
     folder, item = corpus
     docs = spark.read.parquet(f"{folder}/documents.parquet")
