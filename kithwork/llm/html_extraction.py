@@ -6,7 +6,10 @@
 2. The distinct streams of a host are aligned one after another to a union-free regular expression, the
    wrapper: what only one side has becomes an optional group, neighbouring repeats a repeated one, text a
    slot. A host with many streams is aligned in parts first; the parts' wrappers are aligned last.
-3. Every page is read again, whole, and its slots are told apart: those under navigation, forms, adverts,
+   A block of text that at least ten different pages of the host and half of those with text in the same
+   place hold verbatim enters the stream with its key instead of a slot. Where the wrapper has it outside
+   repeated groups, it is template text and no page's own; inside it stays data.
+3. Every page is read again, whole, and its data slots are told apart: those under navigation, forms, adverts,
    comments and the like are left out; of the others those in the page's own article or main elements are
    kept, all of them, and all others where no such element has text. So a page's text never depends on
    where other pages of its host keep theirs.
@@ -18,6 +21,7 @@ host share; slugs, ids and categories of single pages do not make a template of
 from __future__ import annotations
 
 import ast
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -57,6 +61,10 @@ SPLIT_WORDS = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 MAX_FOLD = 16
 PART_STREAMS = 200
 TEXT = "#"
+SAME = "="
+WORDS = re.compile(r"\.[^/]*")
+# A text is compared as template text where so many different pages of the host hold it in one place.
+LEAST_SAME = 10
 
 
 class Tag:
@@ -175,14 +183,63 @@ def fold(items: list) -> list:
     return out
 
 
-def stream(reader: Reader, page: str) -> list:
-    """The folded stream of a page."""
+def joined(pieces: list[str]) -> str:
+    return SPACE.sub(" ", entities.unescape("".join(pieces))).strip()
+
+
+def block_key(path: str, text: str) -> str:
+    """A block's text and place: the containers without their class and id words."""
+    return hashlib.blake2b(f"{WORDS.sub('', path)}\n{text}".encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
+def clean_blocks(reader: Reader, page: str) -> Iterator[tuple[str, str, str]]:
+    """(path, text in articles, text) of the blocks outside navigation, adverts and the like."""
+    block: list[tuple[bool, str]] = []
+    at = ""
+    for kind, value, path in reader.events(page):
+        if kind == TEXT:
+            if "/!" not in path:
+                at = at if block else path
+                block.append(("/*" in path, value))
+        elif kind == "block":
+            if block and (text := joined([v for _, v in block])):
+                yield at, joined([v for article, v in block if article]), text
+            block.clear()
+        elif value == "br" and block:
+            block.append((block[-1][0], " "))
+    if block and (text := joined([v for _, v in block])):
+        yield at, joined([v for article, v in block if article]), text
+
+
+def stream(reader: Reader, page: str, same: frozenset[str] = frozenset()) -> list:
+    """The folded stream of a page; the slots of blocks in ``same`` hold their text's key."""
     items: list = []
+    block: list[str] = []
+    slots: list[int] = []
+    at = ""
+
+    def close():
+        if same and block and (key := block_key(at, joined(block))) in same:
+            for k in slots:
+                items[k] = f"{SAME}{key}"
+        block.clear(), slots.clear()
+
     for kind, value, path in reader.events(page):
+        if kind == "block":
+            close()
         if kind != TEXT:
             items.append(value)
-        elif value.strip() and (not items or items[-1] != f"{TEXT}{path}"):
+            if value == "br" and block:
+                block.append(" ")
+            continue
+        if "/!" not in path:
+            at = at if block else path
+            block.append(value)
+        if value.strip() and (not items or items[-1] != f"{TEXT}{path}"):
             items.append(f"{TEXT}{path}")
+            if "/!" not in path:
+                slots.append(len(items) - 1)
+    close()
     return fold(items)
 
 
@@ -267,10 +324,25 @@ def wrapper_text(wrapper: list) -> str:
         if isinstance(item, tuple):
             parts.append(f"({wrapper_text(list(item[1]))}){item[0]}")
         else:
-            parts.append(TEXT if item.startswith(TEXT) else f"<{item}>")
+            parts.append(TEXT if item.startswith(TEXT) else item if item.startswith(SAME) else f"<{item}>")
     return " ".join(parts)
 
 
+def template_texts(wrapper: list) -> list[str]:
+    """Keys of the texts that stand in the wrapper outside its repeated groups; in those they are data."""
+    found: dict[bool, set[str]] = {True: set(), False: set()}
+
+    def walk(items, repeated: bool):
+        for item in items:
+            if isinstance(item, tuple):
+                walk(item[1], repeated or item[0] in "+*")
+            elif item.startswith(SAME):
+                found[repeated].add(item[1:])
+
+    walk(wrapper, False)
+    return sorted(found[False] - found[True])
+
+
 def infer(streams: list[list]) -> list:
     wrapper: list = []
     for number, own in enumerate(streams):
@@ -278,57 +350,57 @@ def infer(streams: list[list]) -> list:
     return wrapper
 
 
-def main_text(reader: Reader, page: str) -> str:
-    """Text of the page's content: white space of a block as one blank, blocks in page order, one line each."""
-    blocks: list[tuple[str, str]] = []  # text in articles, text in all clean slots
-    block: list[tuple[bool, str]] = []
-
-    def close():
-        both = ["".join(v for article, v in block if article), "".join(v for _, v in block)]
-        both = [SPACE.sub(" ", entities.unescape(text)).strip() for text in both]
-        if both[1]:
-            blocks.append((both[0], both[1]))
-        block.clear()
+def main_text(reader: Reader, page: str, template: frozenset[str] = frozenset()) -> str:
+    """Text of the page's data slots: white space of a block as one blank, blocks in page order, one line each.
 
-    for kind, value, path in reader.events(page):
-        if kind == TEXT:
-            if "/!" not in path:
-                block.append(("/*" in path, value))
-        elif kind == "block":
-            close()
-        elif value == "br":
-            block.extend(((True, " "), (False, " ")))
-    close()
-    inside = [article for article, _ in blocks if article]
-    return "\n".join(inside or [clean for _, clean in blocks])
+    A page with more template text than text of its own is a near copy of others and stays whole.
+    """
+    blocks = list(clean_blocks(reader, page))
+    texts = [(path, article, text) for path, article, text in blocks if article] or [(path, text, text) for path, _, text in blocks]
+    own = [article for path, article, text in texts if not template or block_key(path, text) not in template]
+    if 2 * sum(map(len, own)) < sum(len(article) for _, article, _ in texts):
+        own = [article for _, article, _ in texts]
+    return "\n".join(own)
 
 
-def _page_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _page_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = Reader()
     for batch in batches:
-        hosts, words = [], []
+        rows: set[tuple[str, str, str, str]] = set()
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            # The empty word counts the pages.
-            own = ["", *reader.words(page)]
-            hosts.extend([host] * len(own)), words.extend(own)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(words, pa.string())], names=["host", "word"])
+            # The empty value counts the pages of the host and of the place.
+            whole = hashlib.blake2b(page.encode("utf-8", "replace"), digest_size=8).hexdigest()
+            rows.update((host, "", word, whole) for word in ("", *reader.words(page)))
+            blocks = [(WORDS.sub("", path), block_key(path, text)) for path, _, text in clean_blocks(reader, page)]
+            own = hashlib.blake2b("".join(key for _, key in blocks).encode(), digest_size=8).hexdigest()
+            rows.update((host, place, value, own) for place, key in blocks for value in ("", key))
+        names = ["host", "place", "value", "page"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(4)], names=names)
 
 
-def shared_words(pages: DataFrame) -> DataFrame:
-    """(host, words): class and id words on at least half of the pages of the host, from a frame (host, html)."""
-    counted = stored(pages.mapInArrow(_page_words, "host string, word string").groupBy("host", "word").agg(F.count("*").alias("n")), "words")
-    total = counted.where("word = ''").select("host", F.col("n").alias("pages"))
-    word = F.when((F.col("word") != "") & (2 * F.col("n") >= F.col("pages")), F.col("word"))
-    return counted.join(total, "host").groupBy("host").agg(F.array_sort(F.collect_list(word)).alias("words"))
+def host_marks(pages: DataFrame) -> DataFrame:
+    """(host, words, same) from a frame (host, html), repeated pages counted once.
+
+    ``words``: class and id words on at least half of the pages of the host. ``same``: keys of the texts on
+    LEAST_SAME different pages, and on half of those with text in the same place.
+    """
+    marks = pages.mapInArrow(_page_marks, "host string, place string, value string, page string").distinct()
+    counted = stored(marks.groupBy("host", "place", "value").agg(F.count("*").alias("n")), "marks")
+    total = counted.where("value = ''").select("host", "place", F.col("n").alias("pages"))
+    held = counted.where((F.col("place") == "") | (F.col("value") == "") | (F.col("n") >= LEAST_SAME)).join(total, ["host", "place"])
+    value = F.when((F.col("value") != "") & (2 * F.col("n") >= F.col("pages")), F.col("value"))
+    return held.groupBy("host").agg(
+        F.array_sort(F.collect_list(F.when(F.col("place") == "", value))).alias("words"), F.array_sort(F.collect_list(F.when(F.col("place") != "", value))).alias("same")
+    )
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = Reader()
     for batch in batches:
         texts = []
-        for page, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for page, words, same in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
             reader.shared = frozenset(words or ())
-            texts.append(repr(stream(reader, page)))
+            texts.append(repr(stream(reader, page, frozenset(same or ()))))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["host", "stream"])
 
 
@@ -345,23 +417,25 @@ def _parsed(shape: str) -> list:
 def _whole_wrapper(group: pa.Table) -> pa.Table:
     host = group["host"][0].as_py()
     wrapper = infer([_parsed(s) for s in sorted(set(group["wrapper"].to_pylist()), key=lambda s: (-len(s), s))])
-    return pa.table({"host": pa.array([host], pa.string()), "wrapper": pa.array([wrapper_text(wrapper)], pa.string())})
+    return pa.table(
+        {"host": pa.array([host], pa.string()), "wrapper": pa.array([wrapper_text(wrapper)], pa.string()), "template": pa.array([template_texts(wrapper)], pa.list_(pa.string()))}
+    )
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from a frame (host, html)."""
-    known = pages.join(shared_words(pages), "host", "left").select("host", "html", "words")
+    """(host, wrapper, template) from a frame (host, html); ``template`` has the keys of the template texts."""
+    known = pages.join(host_marks(pages), "host", "left").select("host", "html", "words", "same")
     shapes = stored(known.mapInArrow(_streams, "host string, stream string").distinct(), "streams")
     many = shapes.groupBy("host").agg(F.ceil(F.count("*") / PART_STREAMS).alias("parts"))
     shapes = shapes.join(many, "host").withColumn("part", F.pmod(F.xxhash64("stream"), F.col("parts")))
     wrappers = shapes.groupBy("host", "part").applyInArrow(_wrappers, "host string, wrapper string")
-    return wrappers.groupBy("host").applyInArrow(_whole_wrapper, "host string, wrapper string")
+    return wrappers.groupBy("host").applyInArrow(_whole_wrapper, "host string, wrapper string, template array<string>")
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = Reader()
     for batch in batches:
-        texts = [main_text(reader, page) for page in batch.column(2).to_pylist()]
+        texts = [main_text(reader, page, frozenset(template or ())) for page, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -377,5 +451,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.lower(host).alias("host")
     )
-    texts = rows.select("page_id", "url", "html").mapInArrow(_texts, "page_id long, url string, text string")
+    rules = stored(host_wrappers(rows.select("host", "html")), "wrappers")
+    known = rows.join(rules.select("host", "template"), "host", "left")
+    texts = known.select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string")
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -179,6 +179,16 @@ def test_wrapper_labels_have_shared_words_only(spark):
     assert [r["wrapper"] for r in wrapper] == ["<body.single> <article> <p> # </p> </article> </body>"]
 
 
+def test_text_that_all_pages_of_a_host_share_is_template(spark):
+    body = "<body><div class='top'><article><p>Own {0} text of this page</p><div>Read this again <b>and</b> again</div><p>More {0}</p></article></div></body>"
+    rows = [(n, "http://t.example/", body.format(n)) for n in range(12)]
+    rows += [(100 + n, "http://few.example/", body.format(n)) for n in range(5)] + [(200 + n, "http://copies.example/", body.format(7)) for n in range(12)]
+    found = {r["page_id"]: r["text"] for r in html_extraction.extract_text(pages(spark, rows)).collect()}
+    for i, text in found.items():
+        n = 7 if i >= 200 else i % 100
+        assert text.split("\n") == [f"Own {n} text of this page", *(["Read this again and again"] if i >= 100 else []), f"More {n}"]
+
+
 def test_awkward_pages(spark):
     rows = [(1, None, None), (2, "no host", ""), (3, "http://x.example", "<p>a <b>b"), (3, "http://x.example", "<p>a <b>b"), (None, "http://x.example", "plain < text & more"),
             (4, "http://y.example", "<article><p>" + "long " * 50_000 + "</p><!-- open"), (5, "http://z.example", "<a href='x>y\" <<p>>q")]
