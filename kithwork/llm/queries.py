@@ -11,7 +11,9 @@ from kithwork.llm.language_id import language_id
 from kithwork.llm.lm_scoring import lm_scores
 from kithwork.llm.minhash_dedup import minhash_dedup
 from kithwork.llm.packing import pack
+from kithwork.llm.periodic_runs import periodic_runs, planted, run_report
 from kithwork.llm.quality import quality
+from kithwork.llm.repeated_bytes import removal_report, remove_repeated_bytes
 from kithwork.llm.substring_dedup import substring_dedup
 from kithwork.llm.tables import table
 from kithwork.llm.toxicity import toxicity
@@ -59,6 +61,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(periodic_runs(planted(table(spark, sf_dir, "documents"))))
+
+
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_report(remove_repeated_bytes(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
@@ -70,6 +80,8 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"[^\x20\x09-\x0D]+"

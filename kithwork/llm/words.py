@@ -70,14 +70,15 @@ def powers(n: int, base: int) -> np.ndarray:
 class Hasher:
     """Keeps the powers between slices."""
 
-    def __init__(self):
+    def __init__(self, base: int = BASE):
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.zeros(0, np.uint64)
 
     def spans(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of each byte span; equal bytes give equal hashes wherever they stand."""
         if len(raw) > len(self.up):
             n = max(len(raw), SLICE_BYTES * 2)
-            self.up, self.down = powers(n, BASE), powers(n, INVERSE)
+            self.up, self.down = powers(n, self.base), powers(n, self.inverse)
         total = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.up[: len(raw)], out=total[1:])
         return mix((total[end] - total[start]) * self.down[start] + (end - start).astype(np.uint64))

@@ -23,6 +23,8 @@ CONTRACTS = {
     "op7_decontamination": ("documents", "doc_id contaminated item_id coverage n_items"),
     "op8_lm_scoring": ("documents", "doc_id held_out n_tokens n_known train_tokens base_score score"),
     "op10_language_id": ("documents", "doc_id held_out lang_pred score"),
+    "op12_periodic_runs": ("documents", "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256"),
+    "op13_suffix_array_dedup": ("documents", "doc_id n_bytes n_removed n_spans kept_sha256"),
 }
 
 
@@ -42,7 +44,7 @@ def test_equal_to_sql(spark, name):
 
 
 def test_all_queries_have_a_number():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_entry_works_without_the_subpackage():
