@@ -16,6 +16,7 @@ from kithwork.llm.quality import quality
 from kithwork.llm.repeated_bytes import removal_report, remove_repeated_bytes
 from kithwork.llm.substring_dedup import substring_dedup
 from kithwork.llm.tables import table
+from kithwork.llm.token_alignment import alignment_report, token_alignment
 from kithwork.llm.toxicity import toxicity
 
 
@@ -61,6 +62,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(token_alignment(table(spark, sf_dir, "documents")))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(periodic_runs(planted(table(spark, sf_dir, "documents"))))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
+    "op11_token_alignment": op11_token_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }

@@ -23,6 +23,7 @@ CONTRACTS = {
     "op7_decontamination": ("documents", "doc_id contaminated item_id coverage n_items"),
     "op8_lm_scoring": ("documents", "doc_id held_out n_tokens n_known train_tokens base_score score"),
     "op10_language_id": ("documents", "doc_id held_out lang_pred score"),
+    "op11_token_alignment": ("documents", "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256"),
     "op12_periodic_runs": ("documents", "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256"),
     "op13_suffix_array_dedup": ("documents", "doc_id n_bytes n_removed n_spans kept_sha256"),
 }
