@@ -14,8 +14,9 @@ No task sees the corpus as a whole, so equal windows of ``least`` bytes are firs
    bytes has the common prefix l unless it is known already. It stops at ``least``: borders still without a
    value have a common prefix of at least that, and the suffixes between other borders start with equal windows.
    The window with the smallest (doc_id, start) stays, the others are repeats.
-4. Keys with more than ``BLOCK_BYTES`` of different segments are too large for a task. Their windows are dealt
-   out one by one by a digest of two 64-bit hashes, partially aggregated, and the smallest place stays.
+4. Keys with more than ``BLOCK_BYTES`` of different segments are too large for a task. Their segments are cut again
+   by keys of strings that are only ``FINE`` bytes shorter than a window, and go through 2 and 3 once more. What is
+   too large even then is dealt out window by window by a digest of two 64-bit hashes, partially aggregated.
 
 Repeated windows are joined to spans per document, and one pass over the documents cuts them out.
 """
@@ -23,6 +24,7 @@ Repeated windows are joined to spans per document, and one pass over the documen
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,11 @@ from kithwork.llm.words import Hasher, column_bytes, slices
 
 LEAST_BYTES = 100
 GRAM = 24
+FINE = 12
 BLOCK_BYTES = 1 << 19
 SEGMENTS = "doc_id long, start int, mark int, n int, inner boolean, key long, digest long"
 PLACED = "doc_id long, start int, mark int, n int, key long, bytes binary"
+FINER = "doc_id long, start int, mark int, n int, inner boolean, key long, digest long, bytes binary"
 REPEATS = "doc_id long, start int, mark int, n int"
 WINDOWS = "doc_id long, start int, mark int, h1 long, h2 long"
 RESULT = "doc_id long, n_bytes long, removed array<struct<start: long, stop: long>>, kept binary"
@@ -57,8 +61,8 @@ def _sliding(values: np.ndarray, width: int, ufunc: np.ufunc) -> np.ndarray:
 class Segmenter:
     """Segments of texts: (text, start, windows, inner, key, digest)."""
 
-    def __init__(self, least: int):
-        self.least, self.gram = least, min(GRAM, least)
+    def __init__(self, least: int, gram: int = GRAM):
+        self.least, self.gram = least, min(gram, least)
         self.hasher = Hasher()
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -259,24 +263,43 @@ def _blocks(least: int, block: int):
     return run
 
 
+def _some(batch: pa.RecordBatch) -> Iterator[tuple[list[np.ndarray], list[bytes]]]:
+    """Places (doc_id, start, mark), windows and bytes of some rows of a batch at a time."""
+    columns = _columns(batch, "doc_id", "start", "mark", "n")
+    parts = batch.column(batch.schema.get_field_index("bytes")).to_pylist()
+    for k in range(0, len(parts), 1024):
+        yield [c[k : k + 1024] for c in columns], parts[k : k + 1024]
+
+
+def _finer(least: int):
+    """Segments with bytes to segments of longer keys, with bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = Segmenter(least, max(GRAM, least - FINE))
+        for (doc, start, mark, _), parts in (x for batch in batches for x in _some(batch)):
+            raw, offsets = np.frombuffer(b"".join(parts), np.uint8), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+            of, at, n, inner, key, digest = cut(raw, offsets)
+            pieces = [parts[k][a : a + m] for k, a, m in zip(of.tolist(), at.tolist(), (n + least - 1).tolist())]
+            columns = [pa.array(doc[of], pa.int64()), pa.array(start[of] + at, pa.int32()), pa.array(mark[of], pa.int32()), pa.array(n, pa.int32())]
+            columns += [pa.array(inner.astype(bool)), _signed(key), _signed(digest), pa.array(pieces, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "mark", "n", "inner", "key", "digest", "bytes"])
+
+    return run
+
+
 def _windows(least: int):
     """Segments with bytes to one row per window, with two hashes of its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashers = [Hasher(), Hasher(OTHER_BASE)]
-        for batch in batches:
-            doc, start, mark, n = _columns(batch, "doc_id", "start", "mark", "n")
-            parts = batch.column(batch.schema.get_field_index("bytes")).to_pylist()
-            for k in range(0, len(parts), 1024):
-                some = slice(k, k + 1024)
-                raw = np.frombuffer(b"".join(parts[some]), np.uint8)
-                count = n[some].astype(np.int64)
-                of = np.repeat(np.arange(len(count)), count)
-                offset = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-                at = np.repeat(np.cumsum(count + least - 1) - (count + least - 1), count) + offset
-                columns = [pa.array(doc[some][of], pa.int64()), pa.array(start[some][of] + offset, pa.int32()), pa.array(mark[some][of], pa.int32())]
-                columns += [_signed(h.spans(raw, at, at + least)) for h in hashers]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "mark", "h1", "h2"])
+        for (doc, start, mark, n), parts in (x for batch in batches for x in _some(batch)):
+            raw, count = np.frombuffer(b"".join(parts), np.uint8), n.astype(np.int64)
+            of = np.repeat(np.arange(len(count)), count)
+            offset = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            at = np.repeat(np.cumsum(count + least - 1) - (count + least - 1), count) + offset
+            columns = [pa.array(doc[of], pa.int64()), pa.array(start[of] + offset, pa.int32()), pa.array(mark[of], pa.int32())]
+            columns += [_signed(h.spans(raw, at, at + least)) for h in hashers]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "mark", "h1", "h2"])
 
     return run
 
@@ -301,19 +324,37 @@ def repeated_strings(docs: DataFrame, least: int = LEAST_BYTES, block: int = BLO
     distinct = stored(distinct, "distinct_segments")
     copies = later_copies(segments, ["key", "digest"], distinct.where("c > 1").select("key", "digest", "first"))
 
-    sizes = distinct.groupBy("key").agg(F.count("*").alias("c"), F.max("inner").alias("i"), F.sum(F.col("n").cast("long") + least - 1).alias("size"))
-    wanted = distinct.select("key", "first.*", "n").join(sizes.where("c > 1 or i").select("key", "size"), "key")
+    wanted = distinct.select("key", "first.*", "n").join(shared_keys(distinct, least), "key")
     # One list per text, of its own segments only.
     lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "n", "key")).alias("segments"))
-    with_bytes = stored(texts.join(lists, ["doc_id", "mark"]).select("doc_id", "mark", "text", "segments").mapInArrow(_with_bytes(least), PLACED), "segment_bytes")
-    large = stored(sizes.where((F.col("c") > 1) & (F.col("size") > block)).select("key"), "large_keys")
+    first = stored(texts.join(lists, ["doc_id", "mark"]).select("doc_id", "mark", "text", "segments").mapInArrow(_with_bytes(least), PLACED), "segment_bytes")
+    expanded, first = in_blocks(first, shared_keys(distinct, least), least, block)
 
-    small = with_bytes.join(large, "key", "left_anti").repartition("key").sortWithinPartitions("key")
-    expanded = small.mapInArrow(_blocks(least, block), REPEATS)
-    windows = stored(with_bytes.join(large, "key", "left_semi").mapInArrow(_windows(least), WINDOWS), "windows")
+    finer = stored(first.mapInArrow(_finer(least), FINER), "finer_segments")
+    apart = stored(finer.groupBy("key", "digest").agg(F.min(place).alias("first"), F.max("n").alias("n"), F.max("inner").alias("inner"), F.count("*").alias("c")), "distinct_finer")
+    finer_copies = later_copies(finer.drop("bytes"), ["key", "digest"], apart.where("c > 1").select("key", "digest", "first"))
+    ones = apart.select("key", "digest", "first.doc_id", "first.start", "first.mark").join(shared_keys(apart, least).select("key"), "key")
+    finer = finer.join(ones, ["key", "digest", "doc_id", "start", "mark"]).select("doc_id", "start", "mark", "n", "key", "bytes")
+    finer_expanded, finer = in_blocks(finer, shared_keys(apart, least), least, block)
+
+    windows = stored(finer.mapInArrow(_windows(least), WINDOWS), "windows")
     firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
-    dealt = later_copies(windows, ["h1", "h2"], firsts).select("doc_id", "start", "mark", F.lit(1).alias("n"))
-    return copies.select("doc_id", "start", "mark", "n").unionByName(expanded).unionByName(dealt)
+    dealt = later_copies(windows, ["h1", "h2"], firsts).withColumn("n", F.lit(1))
+    found = [x.select("doc_id", "start", "mark", "n") for x in (copies, finer_copies, expanded, finer_expanded, dealt)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def shared_keys(distinct: DataFrame, least: int) -> DataFrame:
+    """``(key, size)`` of the keys that can hold a repeated window, with the bytes of their different segments."""
+    sizes = distinct.groupBy("key").agg(F.count("*").alias("c"), F.max("inner").alias("i"), F.sum(F.col("n").cast("long") + least - 1).alias("size"))
+    return sizes.where("c > 1 or i").select("key", F.when(F.col("c") > 1, F.col("size")).otherwise(0).alias("size"))
+
+
+def in_blocks(rows: DataFrame, sizes: DataFrame, least: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Repeated windows of the keys that fit into a block, and the rows of the other keys."""
+    large = stored(sizes.where(F.col("size") > block).select("key"), "large_keys")
+    small = rows.join(large, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+    return small.mapInArrow(_blocks(least, block), REPEATS), rows.join(large, "key", "left_semi")
 
 
 def _cut(least: int):
