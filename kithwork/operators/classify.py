@@ -1,4 +1,8 @@
-"""Classification of labelled feature arrays: (id, label, features)."""
+"""Classification of labelled feature arrays: (id, label, features).
+
+``naive_bayes`` and ``decision_tree`` fit the models of ``bayes`` and ``tree``, which are tables. The functions
+with ``_mllib`` fit Spark's own models; these keep an entry per class on the driver, so they are for few classes.
+"""
 
 from __future__ import annotations
 
@@ -15,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kithwork.functions import spread_hash
 from kithwork.functions.columns import HASH_MODULUS
 
-# Fixed values of the original jobs: share of training rows, smoothing, tree depth and bins.
+from .bayes import SMOOTHING, fit_bayes, predict_bayes
+from .tree import MAX_BINS, MAX_DEPTH, fit_tree, predict_tree
+
+# Fixed value of the original jobs: share of training rows.
 TRAIN_SHARE = 0.6
-SMOOTHING = 1.0
-MAX_DEPTH = 5
-MAX_BINS = 32
 
 
 def split_by_id(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = 11) -> tuple[DataFrame, DataFrame]:
@@ -29,7 +33,7 @@ def split_by_id(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = 11) ->
 
 
 def class_values(rows: DataFrame) -> list[float]:
-    """The labels in ascending order; a class is its position. The models keep an entry per class too."""
+    """The labels in ascending order, for Spark's own models: a class is its position, and they hold an entry per class."""
     return [row["label"] for row in rows.select("label").distinct().orderBy("label").collect()]
 
 
@@ -75,13 +79,25 @@ def accuracy(predictions: DataFrame) -> DataFrame:
 def naive_bayes(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = 11) -> DataFrame:
     """Fit on the training part, predict the test part."""
     train, test = split_by_id(rows, share, seed)
-    classes = class_values(train)
-    return predict(fit_naive_bayes(train, classes), test, classes)
+    return predict_bayes(fit_bayes(train), test)
 
 
 def decision_tree(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = 11) -> DataFrame:
     """Fit on the training part, predict the test part."""
     train, test = split_by_id(rows, share, seed)
+    return predict_tree(fit_tree(train), test)
+
+
+def naive_bayes_mllib(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = 11) -> DataFrame:
+    """``naive_bayes`` with Spark's own model."""
+    train, test = split_by_id(rows, share, seed)
+    classes = class_values(train)
+    return predict(fit_naive_bayes(train, classes), test, classes)
+
+
+def decision_tree_mllib(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = 11) -> DataFrame:
+    """``decision_tree`` with Spark's own model, which cuts features at sampled values."""
+    train, test = split_by_id(rows, share, seed)
     classes = class_values(train)
     return predict(fit_decision_tree(train, classes, seed=seed), test, classes)
 

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kithwork import sources
-from kithwork.operators import classify, clustering, demographics, factorize, graph, ratings, words
+from kithwork.operators import classify, clustering, demographics, factorize, graph, ratings, tree, words
 from kithwork.operators.tables import keep_first
 from kithwork.session import cut_lineage, id_frame
 
@@ -145,7 +145,7 @@ def cluster_listing(spark: SparkSession, movies: str, rated: str, sep: str = "::
 def tree_text(spark: SparkSession, labeled: str) -> DataFrame:
     """``(n, line)``: the decision tree fitted on the training part of a file of labelled rows, as text."""
     train, _ = classify.split_by_id(cut_lineage(sources.parse_labeled(sources.read_lines(spark, labeled))))
-    return classify.tree_lines(classify.fit_decision_tree(train, classify.class_values(train)), train)
+    return tree.tree_text(tree.fit_tree(train))
 
 
 def predict_ratings(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from kithwork.functions.columns import HASH_MODULUS, HASH_MULTIPLIER
 from kithwork.operators.classify import TRAIN_SHARE
+from kithwork.operators.tree import LEAST_GAIN, MAX_BINS, MAX_DEPTH
 from kithwork.operators.clustering import CLUSTERS, DIGITS, ITERATIONS
 from kithwork.operators.factorize import RANK, ROUNDS
 
@@ -190,6 +191,55 @@ select id, cast(label as double) label, cast(guess as double) prediction
 from (select *, row_number() over (partition by id order by score desc, guess) k from scores) where k = 1""",
 }
 
+def _tree(body: str) -> str:
+    """Cuts from ranks of sorted values, then every level rated from scratch on its rows, by Gini impurity."""
+    ctes = {
+        "train": f"select * from glass_long where {SPLIT}",
+        "test": f"select * from glass_long where not ({SPLIT})",
+        "ranked": """
+select j, x, max(r) r, min(r) - 1 b, any_value(m) m, dense_rank() over (partition by j order by x) v
+from (select j, x, row_number() over (partition by j order by x) r, count(*) over (partition by j) m from train) group by j, x""",
+        "cuts": f"""
+select j, x t from (select *, max(v) over (partition by j) d from ranked)
+where r < m and (d <= {MAX_BINS} or r * {MAX_BINS} // m > b * {MAX_BINS} // m)""",
+        "n0": "select distinct id, label, 1::bigint node from train",
+        "w0": "select distinct id, 1::bigint node from test",
+    }
+    for d in range(MAX_DEPTH + 1):
+        ctes[f"c{d}"] = f"select node, label, count(*) n from n{d} group by 1, 2"
+        ctes[f"g{d}"] = f"select node, sum(n) n, sum(n*n) / sum(n)::double purity, arg_max(label, (n, -label)) label from c{d} group by 1"
+        if d == MAX_DEPTH:
+            break
+        ctes[f"s{d}"] = f"""
+select node, j, t, sum(l) nl, sum(l*l) / sum(l)::double + sum((n-l)*(n-l)) / sum(n-l)::double rating from (
+  select c.node, u.j, u.t, c.label, any_value(c.n) n, count(x.id) l from c{d} c cross join cuts u
+  left join (select r.node, r.label, r.id, a.j, a.x from n{d} r join train a using (id)) x
+    on x.node = c.node and x.label = c.label and x.j = u.j and x.x <= u.t group by 1, 2, 3, 4)
+group by 1, 2, 3 having sum(l) > 0 and sum(n-l) > 0"""
+        ctes[f"b{d}"] = f"""
+select node, j, t from (select *, row_number() over (partition by node order by rating desc, j, t) k
+  from s{d} join g{d} using (node) where rating - purity > {LEAST_GAIN!r}) where k = 1"""
+        for rows, kind, source in (("n", ", r.label", "train"), ("w", "", "test")):
+            ctes[f"{rows}{d+1}"] = f"""
+select r.id{kind}, r.node * 2 + (a.x > b.t)::int node
+from {rows}{d} r join b{d} b using (node) join {source} a on a.id = r.id and a.j = b.j"""
+    levels = range(MAX_DEPTH + 1)
+    ctes["nodes"] = " union all ".join(
+        f"select g.node, {d} depth, g.n, g.label, " + ("b.j, b.t" if d < MAX_DEPTH else "null j, null t") + f" from g{d} g" + (f" left join b{d} b using (node)" if d < MAX_DEPTH else "")
+        for d in levels)
+    ctes["walked"] = " union all ".join(f"select id, node from w{d}" for d in levels)
+    ctes["predicted"] = """
+select w.id, cast(e.label as double) label, cast(n.label as double) prediction
+from walked w join nodes n using (node) join (select distinct id, label from test) e on e.id = w.id where n.j is null"""
+    ctes["paths"] = "select *, substr(ltrim(bin(node), '0'), 2) path, repeat(' ', depth + 2) pad from nodes"
+    ctes["written"] = """
+select '' path, -1 kind, 'DecisionTreeModel classifier of depth ' || max(depth) || ' with ' || count(*) || ' nodes' line from nodes
+union all select path, 2, pad || 'If (feature ' || j || ' <= ' || t || ')' from paths where j is not null
+union all select path || '1', 0, pad || 'Else (feature ' || j || ' > ' || t || ')' from paths where j is not null
+union all select path, 2, pad || 'Predict: ' || cast(label as double) from paths where j is null"""
+    return _with(["glass_long"], ctes, body)
+
+
 # One round from a constant start: all factors of an id are equal.
 SCALAR = {
     "i": "select item_id, sum(rating*0.5e0)/(1+5*sum(0.25e0)) f from ratings group by 1",
@@ -291,6 +341,15 @@ from edges where uid % 11 = 0 or uid % 7 = 0"""),
     "naive_bayes": _with(["glass_long"], BAYES, "select id, label, prediction from bayes"),
     "naive_bayes_accuracy": _with(["glass_long"], BAYES, """
 select round(avg(cast(label = prediction as int)), 6) accuracy, count(*) n from bayes"""),
+    "naive_bayes_mllib": _with(["glass_long"], BAYES, "select id, label, prediction from bayes"),
+    "naive_bayes_tables": _with(["glass_long"], BAYES, "select id, label, prediction from bayes"),
+    "decision_tree": _tree("select id, label, prediction from predicted"),
+    "decision_tree_accuracy": _tree("select round(avg(cast(label = prediction as int)), 6) accuracy, count(*) n from predicted"),
+    "decision_tree_text": _tree("select cast(row_number() over (order by path, kind) - 1 as int) n, line from written"),
+    "decision_tree_nodes": _tree("""
+select node, depth, cast(n as bigint) n, cast(label as double) label, cast(j as int) feature, cast(t as double) threshold from nodes"""),
+    "decision_tree_mllib": f"""
+select distinct id, cast(label as double) label, true known from ({DUCKDB["glass_long"]}) where not ({SPLIT})""",
     "als_user_factors": _als(ROUNDS, _factors("user_id", "{users}")),
     "als_item_factors": _als(ROUNDS, _factors("item_id", "{items}")),
     "als_user_factors_constant": _with(["ratings"], SCALAR, SCALAR_BODY),

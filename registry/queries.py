@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kithwork import sources
-from kithwork.operators import classify, clustering, demographics, factorize, graph, ratings, words
+from kithwork.operators import bayes, classify, clustering, demographics, factorize, graph, ratings, tree, words
 from kithwork.operators.tables import keep_first as first_rows
 from kithwork.session import cut_lineage, shared_folder
 
@@ -430,6 +430,20 @@ def naive_bayes_accuracy(spark, sf):
     return classify.accuracy(classify.naive_bayes(glass(spark, sf))).select(_digits("accuracy"), "n")
 
 
+@query
+def naive_bayes_mllib(spark, sf):
+    return classify.naive_bayes_mllib(glass(spark, sf))
+
+
+@query
+def naive_bayes_tables(spark, sf):
+    """Predictions of a model of two tables after saving and loading them."""
+    train, test = classify.split_by_id(glass(spark, sf))
+    path = _folder(spark, "bayes_tables")
+    bayes.save_bayes(bayes.fit_bayes(train), path)
+    return bayes.predict_bayes(bayes.load_bayes(spark, path), test)
+
+
 @query
 def decision_tree(spark, sf):
     return classify.decision_tree(glass(spark, sf))
@@ -437,13 +451,31 @@ def decision_tree(spark, sf):
 
 @query
 def decision_tree_accuracy(spark, sf):
-    return classify.accuracy(classify.decision_tree(glass(spark, sf)))
+    return classify.accuracy(classify.decision_tree(glass(spark, sf))).select(_digits("accuracy"), "n")
 
 
 @query
 def decision_tree_text(spark, sf):
     train, _ = classify.split_by_id(glass(spark, sf))
-    return classify.tree_lines(classify.fit_decision_tree(train, classify.class_values(train)), train)
+    return tree.tree_text(tree.fit_tree(train))
+
+
+@query
+def decision_tree_nodes(spark, sf):
+    """The table of nodes after saving and loading it."""
+    train, _ = classify.split_by_id(glass(spark, sf))
+    path = _folder(spark, "tree")
+    tree.save_tree(tree.fit_tree(train), path)
+    return tree.load_tree(spark, path).nodes
+
+
+@query
+def decision_tree_mllib(spark, sf):
+    """The library model cuts features at values of a random sample; every row gets one of the known labels."""
+    rows = glass(spark, sf)
+    labels = rows.select(F.col("label").alias("prediction")).distinct().withColumn("known", F.lit(True))
+    found = classify.decision_tree_mllib(rows).join(labels, "prediction", "left")
+    return found.select("id", "label", F.coalesce("known", F.lit(False)).alias("known"))
 
 
 # ---- factorisation
