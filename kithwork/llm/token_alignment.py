@@ -12,6 +12,10 @@ A reads a blank and the text, B the text, to which it adds the blank itself; bot
 
 Byte offsets where tokens of both sides end cut them into groups; a link is a pair of tokens whose bytes overlap.
 
+Neither side has tokens across a single blank between two characters that are no white space: A splits texts there
+first, and no piece of B has a blank behind another character (checked when a model is loaded). So tokens of both
+sides end before each such blank, the stretches between them are aligned independently, and one that was seen before is not aligned again.
+
 How many documents hold an id pair linked is counted with partial sums. At most ``FREQUENT`` pairs can have more
 than that share of all rows; their counts are broadcast, the rest meets its counts in a join without hot keys.
 """
@@ -35,6 +39,10 @@ from kithwork.llm.words import column_bytes, slices
 
 # Pairs with at least this part of the rows have their counts broadcast: no more pairs than that exist.
 FREQUENT = 1 << 17
+# Stretches of a task that are kept, and the longest one kept, in bytes.
+KEPT, KEPT_BYTES = 500_000, 64
+# New stretches are aligned together in texts of about this size.
+CHUNK_BYTES = 1 << 14
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<struct<pair: long, links: int>>"
 # An id pair as one number: id of A times 2^32 plus id of B.
 SHIFT = 32
@@ -109,6 +117,8 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = self.model.get_piece_size()
         pieces = [self.model.id_to_piece(i) for i in range(n)]
+        if any("▁" in p.lstrip("▁") for p in pieces):
+            raise ValueError("a piece has a blank behind another character")
         self.vocabulary = Vocabulary.of([bytes([int(p[1:-1], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
 
     def __call__(self, texts: list[str]) -> Tokens:
@@ -152,12 +162,20 @@ def checked(tokens: Tokens, ends: np.ndarray, vocabulary: Vocabulary, raw: np.nd
     return good, np.where(wrong[text], exact, ends)
 
 
-def _only(tokens: Tokens, ends: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, ends, text of each, counts) of the tokens of good texts."""
-    counts = np.diff(tokens.first)
-    text = np.repeat(np.arange(len(counts)), counts)
-    keep = good[text]
-    return tokens.ids[keep], ends[keep], text[keep], np.where(good, counts, 0)
+def _only(tokens: Tokens, ends: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, ends) of the tokens of good texts."""
+    keep = np.repeat(good, np.diff(tokens.first))
+    return tokens.ids[keep], ends[keep]
+
+
+def summed(of: np.ndarray, pair: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(of, pair, links) with each pair of a text or stretch once, in ascending order."""
+    by = np.lexsort((pair, of))
+    of, pair, links = of[by], pair[by], links[by]
+    new = np.ones(len(pair), bool)
+    new[1:] = (of[1:] != of[:-1]) | (pair[1:] != pair[:-1])
+    head = np.flatnonzero(new)
+    return of[head], pair[head], np.add.reduceat(links, head) if len(head) else links
 
 
 class Aligner:
@@ -169,22 +187,40 @@ class Aligner:
 
     def __call__(self, texts: list[str]) -> tuple:
         """Per text n_a, n_b, n_groups, n_links, the groups as text, and (text, pair, links)."""
-        raw = np.frombuffer("".join(f" {t}" if t else "" for t in texts).encode(), np.uint8)
-        head = np.append((raw & 0xC0) != 0x80, True)
-        byte_of = np.flatnonzero(head)
-        chars = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
-        char_first = np.concatenate(([0], np.cumsum(chars)))
-        bounds = byte_of[char_first]
         # Empty texts have no tokens; A would see their blank.
         full = [k for k, t in enumerate(texts) if t]
-        own = [texts[k] for k in full]
-        starts, edges = char_first[full], np.append(bounds[full], bounds[-1])
+        sizes = np.array([len(texts[k].encode()) + 1 for k in full], np.int64)
+        *found, groups, of, pair, links = self._aligned([texts[k] for k in full], np.cumsum(sizes) - sizes)
+        counts = np.zeros((4, len(texts)), np.int64)
+        counts[:, full] = found
+        written = [""] * len(texts)
+        for k, g in zip(full, groups):
+            written[k] = g
+        return *counts, written, np.array(full, np.int64)[of], pair, links
+
+    def of_stretches(self, parts: list[bytes]) -> tuple:
+        """The same for stretches: a blank each, then no white space, which they do not end with either. They are
+        put together to texts of about ``CHUNK_BYTES``."""
+        sizes = np.array([len(x) for x in parts], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        chunk = np.flatnonzero(np.diff(starts // CHUNK_BYTES, prepend=-1)).tolist()
+        texts = [b"".join(parts[x:y])[1:].decode() for x, y in zip(chunk, [*chunk[1:], len(parts)])]
+        return self._aligned(texts, starts)
+
+    def _aligned(self, texts: list[str], units: np.ndarray) -> tuple:
+        """Results per unit; ``units`` are the bytes at which they start, in the texts with their blanks put together."""
+        raw = np.frombuffer("".join(f" {t}" for t in texts).encode(), np.uint8)
+        byte_of = np.flatnonzero(np.append((raw & 0xC0) != 0x80, True))
+        starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))).astype(np.int64)
+        edges = byte_of[starts]
         sides = []
         for side in (self.a, self.b):
-            tokens = side(own)
-            sides.append((tokens, *checked(tokens, cut(tokens, side.vocabulary, byte_of, starts), side.vocabulary, raw, edges)))
+            tokens = side(texts)
+            sides.append((tokens, *checked(tokens, cut(tokens, side.vocabulary, byte_of, starts[:-1]), side.vocabulary, raw, edges)))
         good = sides[0][1] & sides[1][1]
-        (ids_a, end_a, text_a, n_a), (ids_b, end_b, text_b, n_b) = (_only(tokens, ends, good) for tokens, _, ends in sides)
+        (ids_a, end_a), (ids_b, end_b) = (_only(tokens, ends, good) for tokens, _, ends in sides)
+        unit_a, unit_b = (np.searchsorted(units, end, side="left") - 1 for end in (end_a, end_b))
+        n_a, n_b = (np.bincount(unit, minlength=len(units)) for unit in (unit_a, unit_b))
 
         ends = np.zeros(len(raw) + 1, bool)
         ends[end_b] = True
@@ -192,32 +228,16 @@ class Aligner:
         ends[end_b] = False
         ends[end_a] = True
         closing_b = ends[end_b]
-        n_groups = np.bincount(text_a[closing_a], minlength=len(own))
-        low_a = np.concatenate(([0], end_a[:-1]))[: len(end_a)]
-        low_a = np.maximum(low_a, edges[text_a])
-        low_b = np.concatenate(([0], end_b[:-1]))[: len(end_b)]
-        low_b = np.maximum(low_b, edges[text_b])
+        n_groups = np.bincount(unit_a[closing_a], minlength=len(units))
+        low_a = np.maximum(np.concatenate(([0], end_a[:-1]))[: len(end_a)], units[unit_a])
+        low_b = np.maximum(np.concatenate(([0], end_b[:-1]))[: len(end_b)], units[unit_b])
         from_, to = np.searchsorted(end_b, low_a, side="right"), np.searchsorted(low_b, end_a, side="left")
         links = to - from_
         of = np.repeat(np.arange(len(ids_a)), links)
         other = np.arange(len(of)) - np.repeat(np.cumsum(links) - links - from_, links)
-        n_links = np.bincount(text_a[of], minlength=len(own))
-        text, pair = text_a[of], (ids_a[of] << SHIFT) | ids_b[other]
-        by = np.lexsort((pair, text))
-        text, pair = text[by], pair[by]
-        new = np.ones(len(text), bool)
-        new[1:] = (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])
-        head_ = np.flatnonzero(new)
-        each = np.diff(np.append(head_, len(text)))
-
-        groups = self._written(ids_a, closing_a, n_a, ids_b, closing_b, n_b)
-        out = [np.zeros(len(texts), np.int64) for _ in range(4)]
-        for column, values in zip(out, (n_a, n_b, n_groups, n_links)):
-            column[full] = values
-        written = [""] * len(texts)
-        for k, g in zip(full, groups):
-            written[k] = g
-        return *out, written, np.array(full, np.int64)[text[head_]], pair[head_], each
+        n_links = np.bincount(unit_a[of], minlength=len(units))
+        unit, pair, each = summed(unit_a[of], (ids_a[of] << SHIFT) | ids_b[other], np.ones(len(of), np.int64))
+        return n_a, n_b, n_groups, n_links, self._written(ids_a, closing_a, n_a, ids_b, closing_b, n_b), unit, pair, each
 
     def _written(self, ids_a, closing_a, n_a, ids_b, closing_b, n_b) -> list[str]:
         group_a, group_b = np.cumsum(closing_a) - closing_a, np.cumsum(closing_b) - closing_b
@@ -230,14 +250,114 @@ class Aligner:
         return ["".join(tokens[x:y])[:-1] for x, y in zip(edges[:-1], edges[1:])]
 
 
+def _wide_spaces(data: np.ndarray) -> np.ndarray:
+    """Last bytes of white space outside ASCII: U+0085, U+00A0, U+1680, U+2000 to U+205F, U+3000, and some signs."""
+    one, two = np.concatenate(([0], data[:-1])), np.concatenate(([0, 0], data[:-2]))[: len(data)]
+    found = (one == 0xC2) & ((data == 0x85) | (data == 0xA0))
+    return found | ((two == 0xE2) & ((one == 0x80) | (one == 0x81))) | ((two == 0xE1) & (one == 0x9A)) | ((two == 0xE3) & (one == 0x80) & (data == 0x80))
+
+
+def stretches(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts that are not empty, each with a blank in front, the borders of their stretches, and the
+    stretch at which each text begins; empty texts have none."""
+    sizes = np.diff(offsets)
+    data = np.insert(raw[offsets[0] : offsets[-1]], offsets[:-1][sizes > 0] - offsets[0], np.uint8(32))
+    starts = np.concatenate(([0], np.cumsum(sizes + (sizes > 0))))
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    if len(data) and data.max() > 127:
+        blank |= _wide_spaces(data)
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1 : len(data) - 1] = (data[1:-1] == 32) & ~blank[:-2] & ~blank[2:]
+    cut[starts] = True
+    borders = np.flatnonzero(cut)
+    return data, borders, np.searchsorted(borders, starts)
+
+
+class Kept:
+    """Alignments of texts, put together from those of their stretches."""
+
+    def __init__(self, align: Aligner):
+        self.align = align
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.counts = np.zeros((0, 4), np.int64)
+        self.groups: list[str] = []
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pair, self.links = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Align new stretches: ordinary ones many at a time, the others (and those not given back) one by one."""
+        simple = [len(x) > 1 and not x[1:2].isspace() and x[-1] < 128 and not x[-1:].isspace() for x in new]
+        some = [k for k, s in enumerate(simple) if s]
+        if some:
+            self._keep([new[k] for k in some], self.align.of_stretches([new[k] for k in some]))
+        rest = [x for x, s in zip(new, simple) if not s] + [x for x in (new[k] for k in some) if not self.counts[self.known[x], 0]]
+        if rest:
+            self._keep(rest, self.align([x[1:].decode() for x in rest]))
+
+    def _keep(self, new: list[bytes], found: tuple) -> None:
+        *counts, groups, of, pair, links = found
+        size = np.bincount(of, minlength=len(new))
+        self.first = np.concatenate((self.first, len(self.pair) + np.cumsum(size) - size))
+        self.size, self.counts = np.concatenate((self.size, size)), np.concatenate((self.counts, np.stack(counts, axis=1)))
+        self.pair, self.links = np.concatenate((self.pair, pair)), np.concatenate((self.links, links))
+        self.known.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
+        self.groups += groups
+
+    def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple:
+        """What ``Aligner`` gives for the texts between ``offsets``."""
+        n = len(offsets) - 1
+        data, borders, begins = stretches(raw, offsets)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(borders) - 1, [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(data)])
+        encoded = parts.dictionary_encode()
+        distinct = encoded.dictionary.to_pylist()
+        self._learn([x for x in distinct if x not in self.known])
+        slot = np.array([self.known[x] for x in distinct], np.int64)[encoded.indices.to_numpy(zero_copy_only=False)]
+        text = np.repeat(np.arange(n), np.diff(begins))
+        counts = np.stack([np.bincount(text, weights=self.counts[slot, k], minlength=n).astype(np.int64) for k in range(4)])
+        bad = np.bincount(text[self.counts[slot, 0] == 0], minlength=n) > 0
+        edges = begins.tolist()
+        slots = slot.tolist()
+        groups = [";".join([self.groups[k] for k in slots[x:y]]) for x, y in zip(edges[:-1], edges[1:])]
+
+        # A stretch that a text holds several times gives its links once, with that weight.
+        ours = ~bad[text]
+        key, weight = np.unique(text[ours] * len(self.groups) + slot[ours], return_counts=True)
+        own, kept = np.divmod(key, max(len(self.groups), 1))
+        size = self.size[kept]
+        of = np.repeat(np.arange(len(key)), size)
+        at = np.arange(len(of)) + np.repeat(self.first[kept] - (np.cumsum(size) - size), size)
+        of_text, pair, links = own[of], self.pair[at], self.links[at] * weight[of]
+        # Texts one of whose stretches is not given back are aligned as a whole.
+        if bad.any():
+            whole = np.flatnonzero(bad)
+            *more, written, of, pair_, links_ = self.align([raw[offsets[t] : offsets[t + 1]].tobytes().decode() for t in whole.tolist()])
+            counts[:, whole] = np.stack(more)
+            for t, g in zip(whole.tolist(), written):
+                groups[t] = g
+            of_text, pair, links = np.concatenate((of_text, whole[of])), np.concatenate((pair, pair_)), np.concatenate((links, links_))
+        if len(self.known) > KEPT or any(len(x) > KEPT_BYTES for x in distinct):
+            self._trim()
+        return *counts, groups, *summed(of_text, pair, links)
+
+    def _trim(self) -> None:
+        """Forget long stretches, or all when there are too many."""
+        if len(self.known) > KEPT:
+            self._forget()
+        else:
+            self.known = {x: k for x, k in self.known.items() if len(x) <= KEPT_BYTES}
+
+
 def _aligned(definition, model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = Aligner(definition.value, model.value)
+        align = Kept(Aligner(definition.value, model.value))
         for batch in batches:
-            _, offsets = column_bytes(batch.column(1))
+            raw, offsets = column_bytes(batch.column(1))
             for lo, hi in slices(offsets):
                 lo, hi = int(lo), int(hi)
-                *counts, groups, text, pair, links = align([t or "" for t in batch.column(1)[lo:hi].to_pylist()])
+                *counts, groups, text, pair, links = align(raw, offsets[lo : hi + 1])
                 pairs = pa.StructArray.from_arrays([pa.array(pair, pa.int64()), pa.array(links, pa.int32())], names=["pair", "links"])
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(hi - lo + 1)), pa.int32()), pairs)
                 columns = [batch.column(0)[lo:hi], *(pa.array(c, pa.int64()) for c in counts), pa.array(groups, pa.string()), lists]

@@ -4,11 +4,13 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from kithwork.llm.token_alignment import Aligner, alignment_report, byte_level_path, byte_of_character, piece_path, token_alignment
+from kithwork.llm.token_alignment import Aligner, Kept, alignment_report, byte_level_path, byte_of_character, piece_path, token_alignment
+from kithwork.llm.words import column_bytes
 from tables_for_tests import awkward, documents, words
 
 AWKWARD = [
@@ -72,6 +74,20 @@ def test_aligner_equals_brute_force(brute, texts):
     assert [len(x) for x in empty] == [0] * 8
 
 
+def test_texts_from_kept_stretches_equal_whole_texts():
+    r = random.Random(6)
+    signs = ["\u00a0", "\u2003", "\u3000", "\x85", "’", "é", "日", "鿃", "🙂", " ", "\n", "ab", "the ", "▁", "Ａ", "'s", "123", "  ", " x"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 30))) for _ in range(1500)] + [" ".join(words(k, 40)) for k in range(20)]
+    with open(byte_level_path()) as a, open(piece_path(), "rb") as b:
+        align = Aligner(a.read(), b.read())
+    kept = Kept(align)
+    for _ in range(2):
+        found, whole = kept(*column_bytes(pa.array(texts))), align(texts)
+        assert all(list(x) == list(y) for x, y in zip(found, whole))
+    empty = kept(*column_bytes(pa.array([None, ""], pa.string())))
+    assert [len(x) for x in empty] == [2] * 5 + [0] * 3 and empty[4] == ["", ""]
+
+
 def test_report_equals_brute_force(spark, brute, texts):
     rows = [(k, t, "en") for k, t in enumerate(texts)] + [(5, texts[0], "en"), (None, texts[0], "en")]
     found = alignment_report(token_alignment(documents(spark, rows))).collect()
