@@ -7,16 +7,18 @@ An item is a point with one coordinate per user. Neither points nor centres are
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from kithwork.functions import spread_hash
 from kithwork.session import cut_lineage, shared_folder
 
+from .ordering import numbered
 from .skew import bags, join_splits, laid_out, lookup, measure, spread_join
 
 # Fixed values of the original job: clusters, iterations, samples per cluster.
@@ -25,6 +27,9 @@ ITERATIONS = 20
 SAMPLES = 5
 # Distances are compared to this many digits, lower cluster first on a tie.
 DIGITS = 9
+# Distances are kept to DIGITS, so a bound is widened by more than that, and a clear lead is larger still.
+SLACK = 1e-8
+APART = 1e-6
 
 
 def _points(ratings: DataFrame) -> DataFrame:
@@ -38,50 +43,100 @@ def item_vectors(ratings: DataFrame, size: int | None = None, first_user: int =
     Users are numbered from ``first_user``; the size is their count up to the largest id unless given.
     The vector of an item with very many ratings comes in several parts with disjoint positions.
     """
-    points = _points(ratings)
     position = (F.col("user_id") - first_user).cast("bigint")
-    entry = F.struct(position.alias("i"), F.col("value").alias("x"))
     width = F.lit(size) if size is not None else ratings.agg(F.max("user_id") - first_user + 1).scalar()
+    return _vectors(_points(ratings).withColumn("position", position), width)
+
+
+def user_positions(ratings: DataFrame) -> DataFrame:
+    """``(user_id, position)``: the users numbered from 0 without gaps, in order of their ids."""
+    return numbered(ratings.select("user_id").where("user_id is not null").distinct(), "user_id", "position")
+
+
+def dense_item_vectors(ratings: DataFrame, positions: DataFrame | None = None) -> DataFrame:
+    """``item_vectors`` whose width is the number of users, however wide apart their ids are.
+
+    ``positions`` defaults to ``user_positions``; keep that table to read the vectors' positions as users.
+    """
+    positions = cut_lineage(user_positions(ratings)) if positions is None else positions
+    points = spread_join(_points(ratings), positions, "user_id", left_hot=measure(ratings, "user_id")[0])
+    return _vectors(points, positions.agg(F.count(F.lit(1))).scalar())
+
+
+def _vectors(points: DataFrame, width: Column) -> DataFrame:
+    entry = F.struct(F.col("position").alias("i"), F.col("value").alias("x"))
     return bags(points, ["item_id"], entry, "entries").select(
         "item_id", "part", width.cast("bigint").alias("size"), F.col("entries.i").alias("indices"), F.col("entries.x").alias("values")
     )
 
 
-def _cluster_sums(by_item: DataFrame, assigned: DataFrame, splits: dict, k: int) -> DataFrame:
-    """``(user_id, c0, c1, ...)``: per user the summed values of the items of every cluster."""
-    sums = [F.expr(f"coalesce(sum(case when cluster = {j} then value end), 0D) as c{j}") for j in range(k)]
-    return lookup(by_item, assigned, "item_id", splits).groupBy("user_id").agg(*sums)
+def _deltas(by_item: DataFrame, moved: DataFrame, splits: dict) -> DataFrame:
+    """``(user_id, cluster, x)``: the values of moved items, added to their new cluster and taken from the old one."""
+    came = F.struct("cluster", F.col("value").alias("x"))
+    left = F.struct(F.col("old").alias("cluster"), (-F.col("value")).alias("x"))
+    rows = lookup(by_item, moved, "item_id", splits)
+    return rows.select("user_id", F.inline(F.when(F.col("old").isNull(), F.array(came)).otherwise(F.array(came, left))))
+
 
+class Centres(NamedTuple):
+    """Sums of the items of a cluster per user, only where there are any; the driver holds k sizes and norms."""
 
-def _keep_empty(sums: DataFrame, old: DataFrame, counts: list[int]) -> DataFrame:
-    """The old sums for clusters without items, the new ones for the others."""
-    kept = old.select("user_id", *(F.col(f"c{j}").alias(f"old{j}") for j in range(len(counts))))
-    values = [f"c{j}" if count else f"old{j} as c{j}" for j, count in enumerate(counts)]
-    return sums.join(kept, "user_id").selectExpr("user_id", *values)
+    sums: DataFrame  # (user_id, cluster, s)
+    sizes: list[int]
+    norms: list[float]
+    shifts: list[float]  # how far each centre has moved at most
 
 
-def _nearest(by_user: DataFrame, sums: DataFrame, sizes: list[int], splits: dict) -> DataFrame:
-    """``(item_id, cluster, sq_dist)`` by |x|^2 - 2 x.c + |c|^2, all clusters in one pass.
+def _moved_centres(old: Centres | None, deltas: DataFrame, before: list[int], counts: list[int]) -> Centres:
+    """The centres after a move of items; ``before`` and ``counts`` are the items of every cluster.
 
-    A centre is the sums of its cluster over its size. The sizes and norms go in as array literals,
-    so that all iterations run the same generated code.
+    A cluster without items keeps its centre, and starts anew when items come to it.
     """
-    k = len(sizes)
-    squares = sums.agg(*(F.expr(f"sum(c{j} * c{j})") for j in range(k))).first()
-    twice = F.lit([2.0 / size for size in sizes])
-    norms = F.lit([square / size**2 for square, size in zip(squares, sizes)])
-    products = [F.expr(f"sum(value * c{j}) as p{j}") for j in range(k)]
-    per_item = lookup(by_user, sums, "user_id", splits).groupBy("item_id").agg(
-        F.expr("sum(value * value) as square"), *products
-    )
+    sizes = [count or size for count, size in zip(counts, old.sizes if old else counts)]
+    rows = deltas.withColumn("s", F.lit(0.0))
+    if old:
+        rows = rows.unionByName(old.sums.select("user_id", "cluster", F.lit(0.0).alias("x"), "s"))
+    kept = F.when(_of(before) > 0, F.col("s")).otherwise(0.0) + F.col("x")
+    new = F.when(_of(counts) > 0, kept).otherwise(F.col("s"))
+    sums = rows.groupBy("user_id", "cluster").agg(F.sum("s").alias("s"), F.sum("x").alias("x")).withColumn("new", new)
+    shift = F.col("new") / _of(sizes) - F.col("s") / _of(old.sizes if old else sizes)
+    sums = cut_lineage(sums.select("user_id", "cluster", F.col("new").alias("s"), (shift * shift).alias("shift")))
+    squares = {r["cluster"]: r for r in sums.groupBy("cluster").agg(F.sum(F.col("s") * F.col("s")).alias("n"), F.sum("shift").alias("shift")).collect()}
+    norms = [squares[j]["n"] / size**2 if j in squares else 0.0 for j, size in enumerate(sizes)]
+    shifts = [squares[j]["shift"] ** 0.5 * (1 + SLACK) + SLACK if j in squares else 0.0 for j in range(len(sizes))]
+    return Centres(sums.where("s <> 0").drop("shift"), sizes, norms, shifts)
+
+
+def _of(values: list, cluster: str = "cluster") -> Column:
+    """The value of a row's cluster, from a literal, so that all iterations run the same generated code."""
+    return F.get(F.lit(values), cluster)
+
+
+def _measured(points: DataFrame, centres: Centres, splits: dict) -> DataFrame:
+    """``(item_id, cluster, sq_dist, upper, lower)`` by |x|^2 - 2 x.c + |c|^2, all clusters in one pass.
+
+    ``points`` are laid out by user. ``upper`` is no less than the distance to the nearest centre, ``lower`` no
+    more than that to any other.
+    """
+    k = len(centres.sizes)
+    columns = [F.expr(f"coalesce(sum(case when cluster = {j} then s end), 0D) as c{j}") for j in range(k)]
+    wide = centres.sums.groupBy("user_id").agg(*columns)
+    products = [F.expr(f"sum(value * coalesce(c{j}, 0D)) as p{j}") for j in range(k)]
+    per_item = lookup(points, wide, "user_id", splits, "left").groupBy("item_id").agg(F.expr("sum(value * value) as square"), *products)
+    twice, norms = F.lit([2.0 / size for size in centres.sizes]), F.lit(centres.norms)
     distances = F.transform(
         F.array(*(f"p{j}" for j in range(k))),
         lambda p, j: F.struct(
             F.round(F.col("square") - p * F.get(twice, j) + F.get(norms, j), DIGITS).alias("d"), j.alias("j")
         ),
     )
-    best = per_item.select("item_id", F.array_min(distances).alias("best"))
-    return best.selectExpr("item_id", "best.j as cluster", "greatest(best.d, 0D) as sq_dist")
+    near = per_item.select("item_id", F.array_sort(distances).alias("near"))
+    best, second = F.get("near", F.lit(0))["d"], F.get("near", F.lit(1))["d"]
+    return near.select(
+        "item_id", F.get("near", F.lit(0))["j"].alias("cluster"), F.greatest(best, F.lit(0.0)).alias("sq_dist"),
+        F.sqrt(F.greatest(best, F.lit(0.0)) + SLACK).alias("upper"),
+        F.coalesce(F.sqrt(F.greatest(second - SLACK, F.lit(0.0))), F.lit(float("inf"))).alias("lower"),
+    )
 
 
 def kmeans_items(
@@ -90,8 +145,12 @@ def kmeans_items(
     """``(item_id, cluster, sq_dist)`` after the given iterations.
 
     The start centres are k items in pseudo-random order of their ids; a cluster that loses all its
-    items keeps its centre. The driver sees k counts and k norms per iteration, nothing that grows
+    items keeps its centre. The driver sees k counts, norms and shifts per iteration, nothing that grows
     with the data.
+
+    An iteration adds the values of the items that changed cluster to the sums, and measures only items that
+    may change: by the triangle inequality no centre can come nearer than the lower bound less its shift.
+    Where no item has changed the later iterations cannot differ and are left out.
     """
     points = cut_lineage(_points(ratings))
     user_splits, item_splits = (join_splits(points.sparkSession, hot) for hot in measure(points, "user_id", "item_id"))
@@ -106,22 +165,48 @@ def kmeans_items(
 
 def _iterate(by_user: DataFrame, by_item: DataFrame, user_splits: dict, item_splits: dict, k: int, iterations: int, seed: int) -> DataFrame:
     order = [spread_hash(F.col("item_id"), seed), F.col("item_id")]
-    items = by_item.select("item_id").distinct()
     # The window numbers the k start items only.
     number = F.row_number().over(Window.orderBy(*order)) - 1
-    seeds = cut_lineage(items.orderBy(*order).limit(k).select("item_id", number.alias("cluster")))
-    # All other items start without a cluster; their users are at 0 in all start centres.
-    assigned = items.join(F.broadcast(seeds), "item_id", "left")
-    sizes = counts = [1] * seeds.count()
-    sums = None
-    for _ in range(iterations):
-        new = _cluster_sums(by_item, assigned, item_splits, len(sizes))
-        sums = cut_lineage(new if all(counts) else _keep_empty(new, sums, counts))
-        assigned = cut_lineage(_nearest(by_user, sums, sizes, user_splits))
-        found = dict(assigned.groupBy("cluster").count().collect())
-        counts = [found.get(j, 0) for j in range(len(sizes))]
-        sizes = [count or size for count, size in zip(counts, sizes)]
-    return assigned
+    none = F.lit(None).cast("int")
+    seeds = by_item.select("item_id").distinct().orderBy(*order).limit(k)
+    assigned = cut_lineage(seeds.select("item_id", number.alias("cluster"), none.alias("old")))
+    n_seeds = assigned.count()
+    before, counts = [0] * n_seeds, [1] * n_seeds
+    if not n_seeds:
+        return assigned.select("item_id", "cluster", F.lit(0.0).alias("sq_dist"))
+    centres, items, moved = None, None, n_seeds
+    for number in range(1, iterations + 1):
+        changed = assigned.where("old is null or old <> cluster").select("item_id", "cluster", "old")
+        centres = _moved_centres(centres, _deltas(by_item, changed, item_splits), before, counts)
+        last = number == iterations or not moved
+        if last or items is None:
+            points, still = by_user, None
+        else:
+            assigned, n_active = _with_bounds(assigned, centres.shifts)
+            # Where most items must be measured, points that are laid out by user save a shuffle of points.
+            few = 2 * n_active < items
+            still = assigned.where("not active").select("item_id", "cluster", F.col("cluster").alias("old"), "upper", "lower") if few else None
+            points = lookup(by_item, assigned.where("active").select("item_id"), "item_id", item_splits) if few else by_user
+        found = _measured(points, centres, user_splits if points is by_user else {})
+        if last:
+            break
+        found = found.drop("sq_dist").join(assigned.select("item_id", F.col("cluster").alias("old")), "item_id", "left")
+        assigned = cut_lineage(found.unionByName(still) if still is not None else found)
+        changes = F.count_if(F.col("old").isNull() | (F.col("old") != F.col("cluster")))
+        sizes = {r["cluster"]: (r["n"], r["m"]) for r in assigned.groupBy("cluster").agg(F.count("*").alias("n"), changes.alias("m")).collect()}
+        before, counts = counts, [sizes.get(j, (0, 0))[0] for j in range(n_seeds)]
+        items, moved = sum(counts), sum(m for _, m in sizes.values())
+    return cut_lineage(found.select("item_id", "cluster", "sq_dist"))
+
+
+def _with_bounds(assigned: DataFrame, shifts: list[float]) -> tuple[DataFrame, int]:
+    """``assigned`` with bounds that hold for the moved centres and ``active`` where an item may change; their number."""
+    others = [max((s for i, s in enumerate(shifts) if i != j), default=0.0) for j in range(len(shifts))]
+    rows = assigned.withColumns({"upper": F.col("upper") + _of(shifts), "lower": F.greatest(F.col("lower") - _of(others), F.lit(0.0))})
+    # Squares further apart than rounding could hide.
+    safe = F.col("lower") * F.col("lower") - F.col("upper") * F.col("upper") > APART * (F.col("upper") * F.col("upper") + 1)
+    rows = rows.withColumn("active", ~safe)
+    return rows, rows.where("active").count()
 
 
 def kmeans_cost(assigned: DataFrame) -> DataFrame:

@@ -58,3 +58,9 @@ def top_friend_age(
     top = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     address = street_address(F.col("street"), F.col("city"), F.col("state")).alias("address")
     return profiles.join(F.broadcast(top), "uid").select("rank", "uid", address, "avg_age")
+
+
+def report_lines(top: DataFrame, rounded: bool = True) -> DataFrame:
+    """``(rank, uid, text)``: address and average age of ``top_friend_age`` as text, with two decimals if ``rounded``."""
+    age = F.format_string("%.2f", "avg_age") if rounded else F.col("avg_age").cast("string")
+    return top.select("rank", "uid", F.concat_ws(", ", "address", age).alias("text"))

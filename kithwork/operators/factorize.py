@@ -1,26 +1,28 @@
 """Rating prediction by alternating least squares on the explicit normal equations.
 
-Each half-round is one DataFrame plan: ratings join the factors of one side, the k x k sums are
-combined per task and shuffled once per id of the other side, and every id solves its own k x k
-system in its row. The ratings are cached in two layouts, by user and by item, so a round shuffles
-factors and sums only.
+The ratings are cached twice, in blocks of users and in blocks of items, with a table of which block needs whose
+factors. A half-round sends a factor once to every block that needs it, joins it there with the ratings, and sums
+the k x k products of an id within its block, so the sums are not shuffled: what is shuffled are the factors and
+their copies for the blocks. Every id then solves its own system in its row.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kithwork.functions import dot, spread_hash
 from kithwork.functions.columns import HASH_MODULUS
-from kithwork.session import cut_lineage
+from kithwork.session import cut_lineage, settings
 
-from .skew import join_splits, laid_out, lookup, measure, spread_join
+from .skew import join_splits, measure, spread_join, tag_hot
 
 # Fixed values of the original job: rank, regularisation, rounds, constant start value.
 RANK = 5
@@ -29,6 +31,8 @@ ROUNDS = 10
 CONSTANT_START = 0.5
 # Above this rank the solve moves from column expressions to batches of arrays.
 MAX_EXPRESSION_RANK = 8
+# A join by (block, id) may use rows that are partitioned by block alone.
+BY_BLOCK = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 
 def _names(k: int) -> list[str]:
@@ -46,11 +50,49 @@ def start_factors(ids: DataFrame, key: str, k: int = RANK, init: str = "hashed",
     return ids.select(key, *(v.alias(name) for v, name in zip(values, _names(k))))
 
 
-def normal_sums(ratings: DataFrame, factors: DataFrame, by: str, key: str, splits: dict, k: int) -> DataFrame:
-    """Sums of factor products (``a_i_j``, upper triangle) and of rating x factor (``b_i``) per ``key``."""
+class Blocks(NamedTuple):
+    """Ratings in blocks of one side, and which ids of the other side each block needs."""
+
+    ratings: DataFrame  # (block, key, by, rating), partitioned by block
+    routes: DataFrame  # (by, block), partitioned by the other side's id
+    key: str
+    by: str
+    split: list  # ids whose ratings are spread over several blocks
+
+
+def _block_numbers(spark: SparkSession, tasks: int) -> list[int]:
+    """One number for every task, such that partitioning by the number deals one block to each."""
+    numbers = spark.range(64 * tasks).groupBy(F.pmod(F.hash("id"), F.lit(tasks)).alias("task")).agg(F.min("id").alias("number"))
+    return [r["number"] for r in numbers.orderBy("task").collect()]
+
+
+def in_blocks(ratings: DataFrame, key: str, by: str, splits: dict, numbers: list[int]) -> Blocks:
+    """Blocks of about equal size: an id belongs to one, a hot one (``splits``) to several, by the rating's own hash."""
+    salted = tag_hot(ratings, key, splits, "_s") if splits else ratings.withColumn("_s", F.lit(0))
+    block = F.get(F.lit(numbers), F.pmod(F.hash(key, "_s"), F.lit(len(numbers))))
+    rows = salted.select(block.cast("bigint").alias("block"), key, by, "rating")
+    rows = rows.repartition(len(numbers), "block").sortWithinPartitions("block", by).persist(StorageLevel.MEMORY_AND_DISK)
+    routes = rows.select(by, "block").distinct().repartition(len(numbers), by).sortWithinPartitions(by)
+    return Blocks(rows, routes.persist(StorageLevel.MEMORY_AND_DISK), key, by, list(splits))
+
+
+def normal_sums(blocks: Blocks, factors: DataFrame, k: int) -> DataFrame:
+    """Sums of factor products (``a_i_j``, upper triangle) and of rating x factor (``b_i``) per id of the blocks.
+
+    Needs ``BY_BLOCK`` settings, so that the join by block and id, and the sums after it, stay in the block.
+    """
+    names = [f"a_{i}_{j}" for i in range(k) for j in range(i, k)] + [f"b_{i}" for i in range(k)]
     sums = [F.expr(f"sum(f{i} * f{j}) as a_{i}_{j}") for i in range(k) for j in range(i, k)]
     sums += [F.expr(f"sum(rating * f{i}) as b_{i}") for i in range(k)]
-    return lookup(ratings, factors, by, splits).groupBy(key).agg(*sums)
+    # Merged also where one side could be broadcast: that would lose the partitioning by block.
+    routed = blocks.routes.join(factors, blocks.by).hint("merge")
+    found = blocks.ratings.join(routed, ["block", blocks.by]).groupBy("block", blocks.key).agg(*sums).drop("block")
+    if not blocks.split:
+        return found
+    # Only ids spread over blocks (at most as many as the sketch lists) have sums to add up.
+    spread = F.col(blocks.key).isin(blocks.split)
+    added = found.where(spread).groupBy(blocks.key).agg(*(F.sum(n).alias(n) for n in names))
+    return found.where(~spread).unionByName(added)
 
 
 def solve(sums: DataFrame, key: str, k: int, regularisation: float) -> DataFrame:
@@ -121,21 +163,22 @@ def als_factors(
     if rounds < 1:
         raise ValueError("at least one round is needed")
     ratings = ratings.select("user_id", "item_id", F.col("rating").cast("double").alias("rating"))
-    user_splits, item_splits = (join_splits(ratings.sparkSession, hot) for hot in measure(ratings, "user_id", "item_id"))
-    by_user = laid_out(ratings, "user_id", user_splits).persist(StorageLevel.MEMORY_AND_DISK)
-    by_item = laid_out(ratings, "item_id", item_splits).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = ratings.sparkSession
+    user_splits, item_splits = (join_splits(spark, hot) for hot in measure(ratings, "user_id", "item_id"))
+    numbers = _block_numbers(spark, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    of_items = in_blocks(ratings, "item_id", "user_id", item_splits, numbers)
+    of_users = in_blocks(ratings, "user_id", "item_id", user_splits, numbers)
     try:
-        users = start_factors(by_user.select("user_id").distinct(), "user_id", k, init, seed)
-        for number in range(1, rounds + 1):
-            sums = normal_sums(by_user, users, "user_id", "item_id", user_splits, k)
-            items = solve(sums, "item_id", k, regularisation)
-            if number == rounds:
-                items = cut_lineage(items)
-            sums = normal_sums(by_item, items, "item_id", "user_id", item_splits, k)
-            users = cut_lineage(solve(sums, "user_id", k, regularisation))
+        with settings(spark, BY_BLOCK):
+            users = start_factors(of_items.routes.select("user_id").distinct(), "user_id", k, init, seed)
+            for number in range(1, rounds + 1):
+                items = solve(normal_sums(of_items, users, k), "item_id", k, regularisation)
+                if number == rounds:
+                    items = cut_lineage(items)
+                users = cut_lineage(solve(normal_sums(of_users, items, k), "user_id", k, regularisation))
     finally:
-        by_user.unpersist()
-        by_item.unpersist()
+        for frame in (of_items.ratings, of_items.routes, of_users.ratings, of_users.routes):
+            frame.unpersist()
     return _as_vectors(users, "user_id", k), _as_vectors(items, "item_id", k)
 
 
@@ -163,16 +206,65 @@ def als_loss(
     return scored.agg(F.sum(error * error).alias("error")).select((F.col("error") + regularisation * sizes).alias("loss"))
 
 
-def factor_lookup(factors: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of a factor table for the given ids, once each; both have the same key column."""
+def factor_lookup(factors: DataFrame, ids: DataFrame | list[int]) -> DataFrame:
+    """The rows of a factor table for the given ids, once each; a frame of ids has the same key column.
+
+    Of stored factors a list of ids reads the buckets they fall into, a frame of ids is dealt to the buckets.
+    """
     key = factors.columns[0]
+    if isinstance(ids, list):
+        return factors.where(F.col(key).isin(ids))
     return factors.join(ids.select(key), key, "left_semi")
 
 
+class FactorStore(NamedTuple):
+    """Where factors are stored: files in buckets of the id, sorted by it."""
+
+    path: str
+    key: str
+    buckets: int
+
+
+def save_factors(factors: DataFrame, path: str, buckets: int | None = None) -> FactorStore:
+    """Store a factor table in buckets by its id, sorted inside; an older one is replaced.
+
+    ``buckets`` defaults to the number of shuffle partitions. A description is stored next to the buckets.
+    """
+    spark, key = factors.sparkSession, factors.columns[0]
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    name = _table_name()
+    try:
+        rows = factors.select(key, "factors").repartition(buckets, key)
+        rows.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").option("path", f"{path}/factors").saveAsTable(name)
+    finally:
+        spark.sql(f"drop table if exists {name}")
+    about = spark.range(1).select(F.lit(key).alias("key"), F.lit(factors.schema[key].dataType.simpleString()).alias("kind"), F.lit(buckets).alias("buckets"))
+    about.coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+    return FactorStore(path, key, buckets)
+
+
+def load_factors(spark: SparkSession, path: str) -> DataFrame:
+    """A stored factor table. Joins by id read its buckets in place, a filter on ids reads only their buckets."""
+    about = spark.read.parquet(f"{path}/about").first()
+    key, name = about["key"], _table_name()
+    spark.sql(
+        f"create table {name} (`{key}` {about['kind']}, factors array<double>) using parquet "
+        f"clustered by (`{key}`) sorted by (`{key}`) into {about['buckets']} buckets location '{path}/factors'"
+    )
+    return spark.table(name)
+
+
+def _table_name() -> str:
+    return f"kithwork_factors_{uuid.uuid4().hex}"
+
+
 def als_mllib(
     ratings: DataFrame, k: int = RANK, regularisation: float = REGULARISATION, rounds: int = ROUNDS, seed: int = 7
 ) -> tuple[DataFrame, DataFrame]:
-    """The factor tables of Spark's own ALS, which scales the regularisation by the number of ratings."""
+    """The factor tables of Spark's own ALS, which scales the regularisation by the number of ratings.
+
+    It takes 32-bit ids only; wider ids are for ``als_factors``.
+    """
     model = ALS(
         rank=k, maxIter=rounds, regParam=regularisation, seed=seed,
         userCol="user_id", itemCol="item_id", ratingCol="rating",

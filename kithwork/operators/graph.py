@@ -11,8 +11,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kithwork.functions import full_name
 from kithwork.session import cut_lineage
 
+from .bitmaps import DENSE, common_ids
 from .skew import HotKeys, bags, copy_hot, is_small, join_splits, measure, spread_join, tag_hot
 
+# Pairs whose shorter list has at least this many entries may be compared by bitmaps; session setting.
+HUB_ROWS_SETTING = "kithwork.graph.hubRows"
+HUB_ROWS_DEFAULT = 100_000
+
 
 def simple_edges(edges: DataFrame) -> DataFrame:
     """Drop repeated edges and self-loops."""
@@ -34,7 +39,8 @@ def mutual_friends(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """``(u1, u2, friend)``: the friends both users of a pair have.
 
     Only the shorter of the two lists is read out per pair and looked up in the longer one, so a
-    pair with a hub costs what its other user costs.
+    pair with a hub costs what its other user costs. Where both lists are very long, and dense enough
+    for it, their bitmaps are compared instead (``kithwork.graph.hubRows``).
     """
     pairs = pairs.select("u1", "u2").distinct()
     hot_u1, hot_u2 = measure(pairs, "u1", "u2")
@@ -55,7 +61,14 @@ def mutual_friends(edges: DataFrame, pairs: DataFrame) -> DataFrame:
             F.least("n1", "n2").alias("n"),
         )
     )
-    to_look_up = ordered.agg(F.sum("n")).first()[0] or 0
+    hub_rows = _hub_rows(edges)
+    row = ordered.agg(F.sum(F.when(F.col("n") < hub_rows, F.col("n"))), F.count_if(F.col("n") >= hub_rows)).first()
+    if row[1]:
+        hub_rows = max(hub_rows, _dense_rows(edges))
+        row = ordered.agg(F.sum(F.when(F.col("n") < hub_rows, F.col("n"))), F.count_if(F.col("n") >= hub_rows)).first()
+    to_look_up, hub_pairs = row[0] or 0, ordered.where(F.col("n") >= hub_rows)
+    if row[1]:
+        ordered = ordered.where(F.col("n") < hub_rows)
     listed = spread_join(
         edges.select("uid", "friend"), ordered.drop("n"), "uid", left_hot=hot_uid, right_hot=hot_asked
     )
@@ -65,7 +78,18 @@ def mutual_friends(edges: DataFrame, pairs: DataFrame) -> DataFrame:
         found = known.join(F.broadcast(listed), ["other", "friend"])
     else:
         found = _where_known(listed, known, hot_asked, hot_friend)
-    return found.select("u1", "u2", "friend")
+    found = found.select("u1", "u2", "friend")
+    return found.unionByName(common_ids(edges, hub_pairs.select("u1", "u2"), hot_uid)) if row[1] else found
+
+
+def _hub_rows(edges: DataFrame) -> int:
+    return int(edges.sparkSession.conf.get(HUB_ROWS_SETTING, str(HUB_ROWS_DEFAULT)))
+
+
+def _dense_rows(edges: DataFrame) -> int:
+    """From how many entries on the bitmap of a list takes no more room than its ids."""
+    low, high = edges.agg(F.min("friend"), F.max("friend")).first()
+    return (high - low + 1) // DENSE
 
 
 def _where_known(listed: DataFrame, known: DataFrame, hot_other: HotKeys, hot_friend: HotKeys) -> DataFrame:

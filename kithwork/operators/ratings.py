@@ -18,6 +18,9 @@ GENDER = "F"
 AGES = (20, 35)
 ZIP_PATTERN = "1.*"
 
+# 2^14 registers of a sketch, a few kilobytes.
+SKETCH_BITS = 14
+
 
 def select_users(
     users: DataFrame, gender: str = GENDER, ages: tuple[int, int] = AGES, zip_pattern: str = ZIP_PATTERN
@@ -105,8 +108,32 @@ def format_genres(movies: DataFrame, tag: str = "", exact: bool = False) -> Data
 
 
 def rating_stats(ratings: DataFrame) -> DataFrame:
-    """``(users, items, n)``: distinct users, distinct items and rows, in one row."""
-    per_user = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    items = ratings.select("item_id").distinct().agg(F.count("item_id"))
-    totals = per_user.agg(F.count("user_id").alias("users"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return totals.select("users", items.scalar().alias("items"), "n")
+    """``(users, items, n)``: distinct users, distinct items and rows, in one row.
+
+    One scan: each row counts for its user and for its item, both are combined in every task, and what is
+    shuffled is a row per user and one per item of a task.
+    """
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("user_id").cast("bigint").alias("id")), F.struct(F.lit(1).alias("side"), F.col("item_id").cast("bigint").alias("id")))
+    each = ratings.select(F.inline(sides)).groupBy("side", "id").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("id").isNotNull()
+    return each.agg(
+        F.count_if((F.col("side") == 0) & known).alias("users"),
+        F.count_if((F.col("side") == 1) & known).alias("items"),
+        F.coalesce(F.sum(F.when(F.col("side") == 0, F.col("n"))), F.lit(0)).alias("n"),
+    )
+
+
+def rating_sketches(ratings: DataFrame, *groups: str) -> DataFrame:
+    """``(groups.., users, items, n)`` with HyperLogLog sketches of the users and items of every group.
+
+    Sketches of any groups, days or tables can be merged (``merged_stats``), so new ratings need no old ones.
+    """
+    sketches = [F.hll_sketch_agg(F.col(c).cast("bigint"), F.lit(SKETCH_BITS)).alias(name) for c, name in (("user_id", "users"), ("item_id", "items"))]
+    return ratings.groupBy(*groups).agg(*sketches, F.count(F.lit(1)).alias("n"))
+
+
+def merged_stats(sketches: DataFrame) -> DataFrame:
+    """``(users, items, n)`` of all groups of ``rating_sketches`` together: the distinct counts are estimates with a
+    standard error of 1.04 / sqrt(2^SKETCH_BITS), 0.8 %."""
+    estimates = [F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name) for name in ("users", "items")]
+    return sketches.agg(*estimates, F.coalesce(F.sum("n"), F.lit(0)).alias("n"))

@@ -22,6 +22,8 @@ MAX_HOT = 1024
 # The sketch lists twice that many, so that its counting error cannot push out a truly hot key.
 LISTED = 2 * MAX_HOT
 SKETCH_ITEMS = 16 * MAX_HOT
+# Buckets in which keys are counted together: no more numbers than that are shuffled by a task or collected.
+BUCKETS = 1 << 16
 # A key with fewer rows than this is never split; session setting, read at call time.
 MIN_ROWS_SETTING = "kithwork.skew.minRows"
 MIN_ROWS_DEFAULT = 200_000
@@ -143,16 +145,31 @@ class Parts(NamedTuple):
     whole: bool  # every key has part 0 only
 
 
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _crowded_buckets(df: DataFrame, keys: list[str], longest: int) -> list[int]:
+    """Hash buckets of keys with more than ``longest`` rows: a scan of the keys that shuffles a count per bucket."""
+    counts = df.groupBy(_bucket(keys).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return [row["b"] for row in counts.where(F.col("n") > longest).collect()]
+
+
 def with_parts(df: DataFrame, keys: list[str], item: str) -> Parts:
     """Add ``part``: part p of a key is the p-th run of ``kithwork.bag.maxRows`` rows in order of ``item``.
 
-    The sizes are exact counts and the positions follow the items, so the parts depend on the rows alone,
-    not on how they are partitioned. Keys up to that size have part 0 only. The rows of larger keys are
+    A key cannot have more rows than its hash bucket, so only keys in buckets above the limit are counted, and
+    most often there are none. The sizes of large keys are exact and the positions follow the items, so the
+    parts depend on the rows alone, not on how they are partitioned. Keys up to that size have part 0 only. The rows of larger keys are
     ordered by range partitions, so no task holds a whole key.
     """
     spark = df.sparkSession
     longest = _setting(spark, BAG_ROWS_SETTING, BAG_ROWS_DEFAULT)
-    large = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > longest))
+    crowded = _crowded_buckets(df, keys, longest)
+    if not crowded:
+        return Parts(df.withColumn("part", F.lit(0)), True)
+    suspects = df.where(_bucket(keys).isin(crowded))
+    large = cut_lineage(suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > longest))
     sizes = large.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if not sizes[0]:
         return Parts(df.withColumn("part", F.lit(0)), True)
@@ -200,8 +217,8 @@ def laid_out(df: DataFrame, key: str, splits: dict) -> DataFrame:
     return tag_hot(df, key, splits, "_s").repartition(tasks, key, "_s").sortWithinPartitions(key, "_s")
 
 
-def lookup(df: DataFrame, table: DataFrame, key: str, splits: dict) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, key: str, splits: dict, how: str = "inner") -> DataFrame:
     """Join rows made by ``laid_out`` with a table of one row per key."""
     if not splits:
-        return df.join(table, key)
-    return df.join(copy_hot(table, key, splits, "_s"), [key, "_s"])
+        return df.join(table, key, how)
+    return df.join(copy_hot(table, key, splits, "_s"), [key, "_s"], how)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from kithwork import sources
 from kithwork.operators import classify, clustering, demographics, factorize, graph, ratings, tree, words
@@ -15,11 +16,14 @@ from kithwork.session import cut_lineage, id_frame
 LOG = logging.getLogger("kithwork.jobs")
 
 
-def _log_rejects(rejected: DataFrame, path: str) -> None:
-    """Say how many lines of an input could not be read in full; costs a scan of it."""
-    n = rejected.count()
+def _stored(spark: SparkSession, path: str, read: Callable[[Observation], DataFrame]) -> DataFrame:
+    """An input parsed and stored in one scan, which also counts the lines that lost a value; every step reads it."""
+    rejects = Observation()
+    rows = cut_lineage(read(rejects))
+    n = rejects.get[sources.REJECTED]
     if n:
         LOG.warning("%d lines of %s could not be read in full", n, path)
+    return rows
 
 
 def _key(key: Column) -> Column:
@@ -28,16 +32,23 @@ def _key(key: Column) -> Column:
 
 
 def _edges(spark: SparkSession, adjacency: str) -> DataFrame:
-    """The friend graph of a file of lists, cleaned once; every step after it reads this table."""
+    """The friend graph of a file of lists, cleaned."""
     lines = sources.read_lines(spark, adjacency)
-    _log_rejects(sources.rejected_lines(lines, "adjacency"), adjacency)
-    return cut_lineage(graph.simple_edges(sources.adjacency_edges(lines)))
+    return _stored(spark, adjacency, lambda rejects: graph.simple_edges(sources.adjacency_edges(lines, rejects)))
 
 
 def _profiles(spark: SparkSession, profiles: str) -> DataFrame:
     lines = sources.read_lines(spark, profiles)
-    _log_rejects(sources.rejected_lines(lines, "profiles"), profiles)
-    return keep_first(sources.parse_profiles(lines), "uid")
+    return _stored(spark, profiles, lambda rejects: keep_first(sources.parse_profiles(lines, rejects), "uid"))
+
+
+def _labeled(spark: SparkSession, labeled: str) -> DataFrame:
+    lines = sources.read_lines(spark, labeled)
+    return _stored(spark, labeled, lambda rejects: sources.parse_labeled(lines, rejects))
+
+
+def _table(spark: SparkSession, path: str, layout: str, sep: str) -> DataFrame:
+    return _stored(spark, path, lambda rejects: sources.read_table(spark, path, layout, sep, rejects))
 
 
 def word_count(spark: SparkSession, source: str, out: str, mode: str = "errorifexists", style: str = "plain") -> None:
@@ -84,56 +95,39 @@ def top_average_age(
     n: int = demographics.TOP_USERS,
 ) -> None:
     """``uid<TAB>street, city, state, age`` of the users with the oldest friends, oldest first."""
-    people = cut_lineage(_profiles(spark, profiles))
+    people = _profiles(spark, profiles)
     top = demographics.top_friend_age(_edges(spark, adjacency), people, as_of, unit, n, rank_on)
-    age = F.format_string("%.2f", "avg_age") if rank_on == "rounded" else F.col("avg_age").cast("string")
     # The report has n rows, so one file in rank order.
-    report = top.orderBy("rank").select("uid", F.concat_ws(", ", "address", age).alias("text"))
+    report = demographics.report_lines(top, rank_on == "rounded").orderBy("rank").select("uid", "text")
     sources.write_text(report.coalesce(1), out)
 
 
-def _movie_tables(spark: SparkSession, movies: str, rated: str, sep: str) -> tuple[DataFrame, DataFrame]:
-    known = sources.read_delimited(spark, movies, sources.MOVIES, sep)
-    _log_rejects(known.where(F.col("item_id").isNull()), movies)
-    return known.where(F.col("item_id").isNotNull()), _ratings(spark, rated, sep)
-
-
-def _ratings(spark: SparkSession, rated: str, sep: str) -> DataFrame:
-    given = sources.read_delimited(spark, rated, sources.RATINGS, sep)
-    whole = F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("rating").isNotNull()
-    _log_rejects(given.where(~whole), rated)
-    return given.where(whole)
-
-
 def lowest_rated(
     spark: SparkSession, movies: str, rated: str, users: str, sep: str = ":", distinct: bool = False
 ) -> DataFrame:
     """Who, of the selected users, rated a lowest-rated movie of the selected ones."""
-    known, given = _movie_tables(spark, movies, rated, sep)
-    people = sources.read_delimited(spark, users, sources.USERS, sep)
+    known, given, people = (_table(spark, *table, sep) for table in ((movies, "movies"), (rated, "ratings"), (users, "users")))
     return ratings.raters_of_lowest(given, ratings.select_movies(known), ratings.select_users(people), distinct)
 
 
 def movies_with_ratings(spark: SparkSession, movies: str, rated: str, sep: str = ":", limit: int | None = 5) -> DataFrame:
-    known, given = _movie_tables(spark, movies, rated, sep)
+    known, given = _table(spark, movies, "movies", sep), _table(spark, rated, "ratings", sep)
     return ratings.movie_rating_cogroup(given, known, limit)
 
 
 def numbered_genres(spark: SparkSession, movies: str, tag: str, sep: str = ":") -> DataFrame:
-    return ratings.format_genres(sources.read_delimited(spark, movies, sources.MOVIES, sep), tag)
+    return ratings.format_genres(_table(spark, movies, "movies", sep), tag)
 
 
 def cluster_movies(spark: SparkSession, movies: str, rated: str, sep: str = "::") -> DataFrame:
     """Sample movies of every cluster."""
-    known, given = _movie_tables(spark, movies, rated, sep)
+    known, given = _table(spark, movies, "movies", sep), _table(spark, rated, "ratings", sep)
     return clustering.cluster_samples(clustering.kmeans_items(given), known)
 
 
 def classify_file(spark: SparkSession, labeled: str, method: str = "decision_tree") -> DataFrame:
     """Accuracy on the test part of a file of labelled rows."""
-    lines = sources.read_lines(spark, labeled)
-    _log_rejects(sources.rejected_lines(lines, "labeled"), labeled)
-    rows = cut_lineage(sources.parse_labeled(lines))
+    rows = _labeled(spark, labeled)
     return classify.accuracy({"decision_tree": classify.decision_tree, "naive_bayes": classify.naive_bayes}[method](rows))
 
 
@@ -144,7 +138,7 @@ def cluster_listing(spark: SparkSession, movies: str, rated: str, sep: str = "::
 
 def tree_text(spark: SparkSession, labeled: str) -> DataFrame:
     """``(n, line)``: the decision tree fitted on the training part of a file of labelled rows, as text."""
-    train, _ = classify.split_by_id(cut_lineage(sources.parse_labeled(sources.read_lines(spark, labeled))))
+    train, _ = classify.split_by_id(_labeled(spark, labeled))
     return tree.tree_text(tree.fit_tree(train))
 
 
@@ -152,5 +146,5 @@ def predict_ratings(
     spark: SparkSession, rated: str, user_ids: list[int], item_ids: list[int], sep: str = "::", **options
 ) -> DataFrame:
     """Predicted ratings of the pairs (user_ids[i], item_ids[i])."""
-    users, items = factorize.als_factors(_ratings(spark, rated, sep), **options)
+    users, items = factorize.als_factors(_table(spark, rated, "ratings", sep), **options)
     return factorize.als_predict(id_frame(spark, user_id=user_ids, item_id=item_ids), users, items)

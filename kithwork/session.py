@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -49,6 +51,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """SQL settings for the plans that are made and run inside."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def id_frame(spark: SparkSession, **columns: list[int]) -> DataFrame:
     """A small frame of ids given as job arguments; Catalyst knows that it is small."""
     names = list(columns)

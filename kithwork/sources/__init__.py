@@ -1,5 +1,7 @@
 from .lines import (
+    REJECTED,
     adjacency_edges,
+    count_rejects,
     parse_labeled,
     parse_movies,
     parse_profiles,
@@ -9,15 +11,17 @@ from .lines import (
     rejected_lines,
     spread_splits,
 )
-from .delimited import MOVIES, RATINGS, USERS, read_delimited
+from .delimited import MOVIES, RATINGS, USERS, read_delimited, read_table
 from .sinks import as_lines, write_text
 
 __all__ = [
     "MOVIES",
     "RATINGS",
+    "REJECTED",
     "USERS",
     "adjacency_edges",
     "as_lines",
+    "count_rejects",
     "parse_labeled",
     "parse_movies",
     "parse_profiles",
@@ -25,6 +29,7 @@ __all__ = [
     "parse_users",
     "read_delimited",
     "read_lines",
+    "read_table",
     "rejected_lines",
     "spread_splits",
     "write_text",

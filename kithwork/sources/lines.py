@@ -1,16 +1,31 @@
 """Line scans and the parsers that turn lines into typed rows.
 
-Every parser takes a frame with a ``value`` column. Fields that fail to convert are never an
-error: the row is left out of the result and ``rejected_lines`` returns it instead.
+Every parser takes a frame with a ``value`` column. Fields that fail to convert are never an error: a row without
+the values its layout needs is left out, one that lost another value (a birth date, one friend of a list) is kept
+without it. ``rejected_lines`` returns the lines of both kinds. A parser that is given ``rejects`` counts them as
+its rows pass by, in the scan that the job does anyway.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from kithwork.functions import split_fields
 
 
+# Name of the observed count.
+REJECTED = "rejected"
+# The columns a row of a layout cannot do without, and those whose loss is reported.
+NEEDED = {
+    "profiles": ["uid"],
+    "labeled": ["id", "label", "features"],
+    "movies": ["item_id"],
+    "ratings": ["user_id", "item_id", "rating"],
+    "users": ["user_id"],
+}
+REPORTED = {**NEEDED, "profiles": ["uid", "birth_month", "birth_year"]}
+
+
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return spread_splits(spark.read.text(list(paths)))
 
@@ -41,14 +56,25 @@ def _adjacency(lines: DataFrame) -> DataFrame:
     )
 
 
-def adjacency_edges(lines: DataFrame) -> DataFrame:
+def count_rejects(rows: DataFrame, bad: Column, rejects: Observation | None) -> DataFrame:
+    """``rows``; the number of those that are ``bad`` is in ``rejects`` once a job has read them all."""
+    return rows if rejects is None else rows.observe(rejects, F.count_if(bad).alias(REJECTED))
+
+
+def adjacency_edges(lines: DataFrame, rejects: Observation | None = None) -> DataFrame:
     """``uid<TAB>f1,f2,...`` -> one row per listed friend. Repeats and self-loops are kept."""
-    rows = _adjacency(lines).where(F.col("uid").isNotNull())
+    rows = _adjacency(lines)
+    rows = count_rejects(rows, _bad_adjacency(), rejects).where(F.col("uid").isNotNull())
     return rows.select("uid", F.explode("friends").alias("friend")).where(
         F.col("friend").isNotNull()
     )
 
 
+def _bad_adjacency() -> Column:
+    bad_friend = F.exists("friends", lambda friend: friend.isNull())
+    return F.col("uid").isNull() | F.coalesce(bad_friend, F.lit(False))
+
+
 def _profiles(lines: DataFrame) -> DataFrame:
     parts = lines.select("value", split_fields(F.col("value"), ",").alias("parts"))
     named = parts.select(
@@ -76,9 +102,14 @@ def with_birth_date(profiles: DataFrame) -> DataFrame:
     )
 
 
-def parse_profiles(lines: DataFrame) -> DataFrame:
+def _kept(rows: DataFrame, layout: str, rejects: Observation | None) -> DataFrame:
+    rows = count_rejects(rows, ~_complete(REPORTED[layout]), rejects)
+    return rows.where(_complete(NEEDED[layout])).drop("value")
+
+
+def parse_profiles(lines: DataFrame, rejects: Observation | None = None) -> DataFrame:
     """Profiles with an id; one whose birth date cannot be read has a null birth month or year."""
-    return _profiles(lines).where(_complete(["uid"])).drop("value")
+    return _kept(_profiles(lines), "profiles", rejects)
 
 
 def _labeled(lines: DataFrame) -> DataFrame:
@@ -96,9 +127,9 @@ def _labeled(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_labeled(lines: DataFrame) -> DataFrame:
+def parse_labeled(lines: DataFrame, rejects: Observation | None = None) -> DataFrame:
     """``id,x1,...,xn,label`` -> id, label and the features between them."""
-    return _labeled(lines).where(_complete(["id", "label", "features"])).drop("value")
+    return _kept(_labeled(lines), "labeled", rejects)
 
 
 def _table(lines: DataFrame, sep: str, columns: list[tuple[str, str]]) -> DataFrame:
@@ -116,8 +147,8 @@ def _movies(lines: DataFrame, sep: str) -> DataFrame:
     return _table(lines, sep, [("item_id", "bigint"), ("title", "string"), ("genres", "string")])
 
 
-def parse_movies(lines: DataFrame, sep: str = "::") -> DataFrame:
-    return _movies(lines, sep).where(_complete(["item_id"])).drop("value")
+def parse_movies(lines: DataFrame, sep: str = "::", rejects: Observation | None = None) -> DataFrame:
+    return _kept(_movies(lines, sep), "movies", rejects)
 
 
 def _ratings(lines: DataFrame, sep: str) -> DataFrame:
@@ -125,8 +156,8 @@ def _ratings(lines: DataFrame, sep: str) -> DataFrame:
     return _table(lines, sep, columns)
 
 
-def parse_ratings(lines: DataFrame, sep: str = "::") -> DataFrame:
-    return _ratings(lines, sep).where(_complete(["user_id", "item_id", "rating"])).drop("value")
+def parse_ratings(lines: DataFrame, sep: str = "::", rejects: Observation | None = None) -> DataFrame:
+    return _kept(_ratings(lines, sep), "ratings", rejects)
 
 
 def _users(lines: DataFrame, sep: str) -> DataFrame:
@@ -136,8 +167,8 @@ def _users(lines: DataFrame, sep: str) -> DataFrame:
     return _table(lines, sep, columns)
 
 
-def parse_users(lines: DataFrame, sep: str = "::") -> DataFrame:
-    return _users(lines, sep).where(_complete(["user_id"])).drop("value")
+def parse_users(lines: DataFrame, sep: str = "::", rejects: Observation | None = None) -> DataFrame:
+    return _kept(_users(lines, sep), "users", rejects)
 
 
 def _complete(columns: list[str]) -> Column:
@@ -148,21 +179,13 @@ def _complete(columns: list[str]) -> Column:
 
 
 def rejected_lines(lines: DataFrame, layout: str, sep: str = "::") -> DataFrame:
-    """The lines of which a parser left out at least one value; count it to report the loss."""
+    """The lines that lost a value: those a parser left out, and those it kept without a reported value."""
     if layout == "adjacency":
-        rows = _adjacency(lines)
-        bad_friend = F.exists("friends", lambda friend: friend.isNull())
-        bad = F.col("uid").isNull() | F.coalesce(bad_friend, F.lit(False))
-    elif layout == "profiles":
-        rows, bad = _profiles(lines), ~_complete(["uid", "birth_month", "birth_year"])
-    elif layout == "labeled":
-        rows, bad = _labeled(lines), ~_complete(["id", "label", "features"])
-    elif layout == "movies":
-        rows, bad = _movies(lines, sep), ~_complete(["item_id"])
-    elif layout == "ratings":
-        rows, bad = _ratings(lines, sep), ~_complete(["user_id", "item_id", "rating"])
-    elif layout == "users":
-        rows, bad = _users(lines, sep), ~_complete(["user_id"])
-    else:
+        return _adjacency(lines).where(_bad_adjacency()).select("value")
+    if layout not in REPORTED:
         raise ValueError(f"unknown layout {layout!r}")
-    return rows.where(bad).select("value")
+    rows = {
+        "profiles": _profiles, "labeled": _labeled, "movies": lambda x: _movies(x, sep),
+        "ratings": lambda x: _ratings(x, sep), "users": lambda x: _users(x, sep),
+    }[layout](lines)
+    return rows.where(~_complete(REPORTED[layout])).select("value")

@@ -255,13 +255,18 @@ ORACLES: dict[str, str] = {
     "simple_edges": _view("listed", "select distinct uid, friend from listed where uid <> friend"),
     "edges_adjacency": _view("edges", """
 select uid, 0 part, cast(count(*) as int) n, string_agg(friend, ',' order by friend) friends from edges group by uid"""),
-    "parse_profiles": _view("profiles", """
-select *, cast(split_part(dob,'/',1) as int) birth_month, cast(split_part(dob,'/',3) as int) birth_year from profiles"""),
+    "parse_profiles": _view("people", """
+select *, cast(split_part(dob,'/',1) as int) birth_month, cast(split_part(dob,'/',3) as int) birth_year from people"""),
     "parse_movies": _view("movies", "select item_id, title, genres from movies"),
     "parse_ratings": _view("ratings", "select user_id, item_id, rating, '0' rated_at from ratings"),
     "parse_users": _view("users", "select user_id, gender, age, occupation, zip from users"),
     "parse_labeled": _view("glass_long", "select id, cast(label as double) label, cast(j as int) j, x from glass_long"),
     "mutual_friends": _with(["edges"], PAIRS, "select u1, u2, friend from mutual"),
+    "mutual_friends_hubs": _with(["edges"], {
+        "ids": "select distinct uid friend from edges",
+        "whole": "select uid, friend from edges union all select -1, friend from ids where friend % 3 <> 0 union all select -2, friend from ids where friend % 5 <> 0",
+        "asked": "select -1::bigint u1, -2::bigint u2 union all select distinct -2, friend from edges where uid < friend and uid % 50 = 0",
+    }, "select p.u1, p.u2, a.friend from asked p join whole a on a.uid = p.u1 join whole b on b.uid = p.u2 and b.friend = a.friend"),
     "mutual_friends_list": _with(["edges"], PAIRS, """
 select u1, u2, 0 part, coalesce(string_agg(friend, ',' order by friend), '') friends
 from pairs left join mutual using (u1, u2) group by 1, 2"""),
@@ -280,14 +285,16 @@ select target, cast(rank as int) rank, candidate, n from ranked where rank <= 10
     "recommendation_list": _with(["edges", "profiles"], CANDIDATES, """
 select target, coalesce(string_agg(candidate, ',' order by rank), '') candidates
 from targets left join (select * from ranked where rank <= 10) using (target) group by 1"""),
-    "profile_age": _view("profiles", """
+    "profile_age": _view("people", """
 select uid, round(((2016 - cast(split_part(dob,'/',3) as bigint)) * 12 + 2 - cast(split_part(dob,'/',1) as bigint)) / 12.0e0, 6) age
-from profiles"""),
+from people"""),
     "friend_age_avg": _with(["edges", "profiles"], {"averages": _averages("month")},
                             "select uid, round(avg_age, 6) avg_age, n from averages"),
     "top_friend_age": _with(["edges", "profiles"], _top("month"), TOP_BODY),
     "top_friend_age_year": _with(["edges", "profiles"], _top("year"), TOP_BODY),
     "top_friend_age_rounded": _with(["edges", "profiles"], _top("year", rounded=True), TOP_BODY),
+    "age_report_lines": _with(["edges", "profiles"], _top("month"), """
+select cast(rank as int) rank, uid, address || ', ' || printf('%.2f', avg_age) as text from report"""),
     "select_users": _view("users", f"select * from users where {ASKED_USERS}"),
     "select_movies": _view("movies", f"select * from movies where {ASKED_MOVIES}"),
     "movie_avg_rating": _with(["ratings", "movies"], AVERAGES, "select item_id, round(avg_rating, 6) avg_rating from averages"),
@@ -302,13 +309,20 @@ select item_id, round(avg_rating, 6) avg_rating from averages order by averages.
     "format_genres_exact": _view("movies", _genres(" ")),
     "rating_stats": _view("ratings", """
 select count(distinct user_id) users, count(distinct item_id) items, count(*) n from ratings"""),
+    "rating_stats_merged": _view("ratings", "select true users, true items, count(*) n from ratings"),
+    "user_positions": _view("ratings", """
+select distinct user_id * 300000000000000 user_id, dense_rank() over (order by user_id) - 1 as position from ratings"""),
+    "dense_item_vectors": _with(["ratings"], {"p": "select *, dense_rank() over (order by user_id) - 1 i from ratings"}, """
+select item_id, 0 part, (select count(distinct user_id) from ratings) size, string_agg(i || ':' || rating, ',' order by i) entries
+from p group by item_id"""),
+    "kmeans_mllib_dense": _view("ratings", "select distinct item_id, true in_range from ratings"),
     "item_vectors": _view("ratings", """
 select item_id, 0 part, (select cast(max(user_id) + 1 as int) from ratings) size,
   string_agg(user_id || ':' || rating, ',' order by user_id) entries from ratings group by item_id"""),
     "kmeans_items": _kmeans("select item_id, cast(cluster as int) cluster, round(greatest(d, 0), 6) sq_dist from {last}", ["ratings"]),
     "kmeans_cost": _kmeans("select round(sum(greatest(d, 0)), 4) cost from {last}", ["ratings"]),
-    "keep_first": _view("profiles", """
-select city, zip, uid, street from (select *, row_number() over (partition by city order by zip, uid) k from profiles)
+    "keep_first": _view("people", """
+select city, zip, uid, street from (select *, row_number() over (partition by city order by zip, uid) k from people)
 where k = 1"""),
     "cluster_sample_lines": _kmeans("""
 select cast(cluster as int) cluster, item_id || ',' || title || ',' || genres as value
@@ -323,10 +337,15 @@ select vec_id id, cast(label as double) label, case when {_hash('vec_id', 11)} <
   then 'train' else 'test' end side from embeddings""",
     "kmeans_mllib": _view("ratings", "select distinct item_id, true in_range from ratings"),
     "als_mllib": _view("ratings", f"select distinct user_id, cast({RANK} as int) k from ratings"),
-    "rejected_profiles": _view("profiles", """
+    "rejected_profiles": _view("people", """
 select concat_ws(',', case when uid % 11 = 0 then 'x' || uid else cast(uid as varchar) end, first_name, last_name, street, city,
   state, zip, '', '', case when uid % 7 = 0 then 'unknown' else dob end) as value
-from profiles where uid % 11 = 0 or uid % 7 = 0"""),
+from people where uid % 11 = 0 or uid % 7 = 0"""),
+    "counted_profiles": _view("people", "select count(*) filter (uid % 11 <> 0) as rows, count(*) filter (uid % 11 = 0 or uid % 7 = 0) as rejected from people"),
+    "counted_ratings": _view("ratings", """
+select count(*) filter (not bad) as rows, count(*) filter (bad) as rejected from (select user_id % 11 = 0 or user_id % 7 = 0 bad from ratings)"""),
+    "counted_adjacency": _view("edges", """
+select count(*) filter (not bad) as rows, count(*) filter (bad) as rejected from (select uid % 11 = 0 or uid % 7 = 0 bad from edges)"""),
     "rejected_ratings": _view("ratings", """
 select concat_ws('::', case when user_id % 11 = 0 then 'x' || user_id else cast(user_id as varchar) end, item_id,
   case when user_id % 7 = 0 then 'unknown' else cast(rating as varchar) end) as value
@@ -355,6 +374,10 @@ select distinct id, cast(label as double) label, true known from ({DUCKDB["glass
     "als_user_factors_constant": _with(["ratings"], SCALAR, SCALAR_BODY),
     "als_factor_lookup": _with(["ratings", "movies", "users"], {**RATERS, **SCALAR},
                                SCALAR_BODY + " where user_id in (select user_id from raters)"),
+    "als_stored_lookup": _with(["ratings", "movies", "users"], {**RATERS, **SCALAR},
+                               SCALAR_BODY + " where user_id in (select user_id from raters)"),
+    "als_stored_predict": _with(["ratings"], {**SCALAR, "v": "select r.item_id, sum(rating*0.5e0)/(1+5*sum(0.25e0)) f from ratings r group by 1"}, """
+select r.user_id, r.item_id, round(5 * u.f * v.f, 6) score from ratings r join u using (user_id) join v using (item_id)"""),
     "als_predict": _als(ROUNDS, f"""
 select r.user_id, r.item_id, round({_score()}, 4) score
 from ratings r join {{users}} u on u.user_id = r.user_id join {{items}} i on i.item_id = r.item_id"""),
@@ -363,5 +386,6 @@ select round((select sum((rating - ({_score()}))^2)
   from ratings r join {{users}} u on u.user_id = r.user_id join {{items}} i on i.item_id = r.item_id)
   + (select sum({_score('u', 'u')}) from {{users}} u) + (select sum({_score('i', 'i')}) from {{items}} i), 3) loss"""),
 }
+ORACLES["refused_overwrite"] = ORACLES["word_count_lines"]
 ORACLES["text_round_trip"] = ORACLES["word_count_lines"]
 ORACLES["tuple_round_trip"] = ORACLES["word_count_tuples"]

@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from kithwork import sources
 from kithwork.operators import bayes, classify, clustering, demographics, factorize, graph, ratings, tree, words
 from kithwork.operators.tables import keep_first as first_rows
-from kithwork.session import cut_lineage, shared_folder
+from kithwork.session import cut_lineage, id_frame, settings, shared_folder
 
 from .views import glass, stored, view
 
@@ -76,7 +77,7 @@ def _lines(df: DataFrame, sep: str, *fields: Column) -> DataFrame:
 def parse_profiles(spark, sf):
     names = ["uid", "first_name", "last_name", "street", "city", "state", "zip"]
     fields = [F.col(n).cast("string") for n in names]
-    lines = _lines(view(spark, sf, "profiles"), ",", *fields, F.lit(""), F.lit(""), F.col("dob"))
+    lines = _lines(view(spark, sf, "people"), ",", *fields, F.lit(""), F.lit(""), F.col("dob"))
     return sources.parse_profiles(lines)
 
 
@@ -120,7 +121,7 @@ def _planted(spark, sf, name: str, *fields: str) -> tuple[Column, list[Column],
 @query
 def rejected_profiles(spark, sf):
     names = ["uid", "first_name", "last_name", "street", "city", "state", "zip", "dob"]
-    first, inner, end, rows = _planted(spark, sf, "profiles", *names)
+    first, inner, end, rows = _planted(spark, sf, "people", *names)
     return sources.rejected_lines(_lines(rows, ",", first, *inner, F.lit(""), F.lit(""), end), "profiles")
 
 
@@ -158,6 +159,48 @@ def tuple_round_trip(spark, sf):
     return sources.read_lines(spark, path)
 
 
+@query
+def refused_overwrite(spark, sf):
+    """Counted words as text; writing once more to the same folder is refused and leaves it alone."""
+    path = _folder(spark, "kept")
+    sources.write_text(words.word_count(view(spark, sf, "lines")), path, "errorifexists")
+    try:
+        sources.write_text(view(spark, sf, "lines").select("value"), path, "errorifexists")
+    except AnalysisException as refused:
+        if refused.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return sources.read_lines(spark, path)
+    raise RuntimeError("an existing folder was written to")
+
+
+def _counted(spark, lines: DataFrame, path: str, parse: Callable) -> DataFrame:
+    """How many rows were read and how many lines lost a value, both from one scan of a file."""
+    lines.write.text(path)
+    rejects = Observation()
+    rows = cut_lineage(parse(sources.read_lines(spark, path), rejects))
+    return rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("rejected", F.lit(rejects.get[sources.REJECTED]))
+
+
+@query
+def counted_profiles(spark, sf):
+    names = ["uid", "first_name", "last_name", "street", "city", "state", "zip", "dob"]
+    first, inner, end, rows = _planted(spark, sf, "people", *names)
+    lines = _lines(rows, ",", first, *inner, F.lit(""), F.lit(""), end)
+    return _counted(spark, lines, _folder(spark, "people"), lambda x, r: sources.parse_profiles(x, r))
+
+
+@query
+def counted_ratings(spark, sf):
+    first, inner, end, rows = _planted(spark, sf, "ratings", "user_id", "item_id", "rating")
+    return _counted(spark, _lines(rows, "::", first, *inner, end), _folder(spark, "rated"), lambda x, r: sources.parse_ratings(x, rejects=r))
+
+
+@query
+def counted_adjacency(spark, sf):
+    first, _, end, rows = _planted(spark, sf, "edges", "uid", "friend")
+    return _counted(spark, _lines(rows, "\t", first, end), _folder(spark, "lists"), lambda x, r: sources.adjacency_edges(x, r))
+
+
 def _delimited(spark, sf, name: str, schema: str, sep: str) -> DataFrame:
     path = _folder(spark, name)
     sources.as_lines(view(spark, sf, name), sep).write.text(path)
@@ -199,6 +242,23 @@ def mutual_friends(spark, sf):
     return graph.mutual_friends(stored(spark, sf, "edges"), _friend_pairs(spark, sf))
 
 
+def _hub_graph(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The graph with two users more, who are friends of all others but every third and every fifth, and their pair."""
+    edges = stored(spark, sf, "edges")
+    users = edges.select(F.col("uid").alias("friend")).distinct()
+    hubs = [users.where(F.col("friend") % skipped != 0).select(F.lit(hub).cast("bigint").alias("uid"), "friend") for hub, skipped in ((-1, 3), (-2, 5))]
+    pairs = id_frame(spark, u1=[-1], u2=[-2]).unionByName(_friend_pairs(spark, sf).where("u1 % 50 = 0").select(F.lit(-2).cast("bigint").alias("u1"), F.col("u2")).distinct())
+    return edges.unionByName(hubs[0]).unionByName(hubs[1]), pairs
+
+
+@query
+def mutual_friends_hubs(spark, sf):
+    """Two hubs, whose lists are compared as bitmaps, and pairs of one of them with ordinary users."""
+    edges, pairs = _hub_graph(spark, sf)
+    with settings(spark, {graph.HUB_ROWS_SETTING: "500"}):
+        return graph.mutual_friends(edges, pairs)
+
+
 @query
 def mutual_friends_list(spark, sf):
     return graph.mutual_friends_list(stored(spark, sf, "edges"), _friend_pairs(spark, sf))
@@ -254,13 +314,13 @@ def recommendation_list(spark, sf):
 
 @query
 def profile_age(spark, sf):
-    return demographics.profile_age(view(spark, sf, "profiles")).select("uid", _digits("age"))
+    return demographics.profile_age(view(spark, sf, "people")).select("uid", _digits("age"))
 
 
 @query
 def keep_first(spark, sf):
     """The first profile of every city."""
-    people = view(spark, sf, "profiles").select("city", "zip", "uid", "street")
+    people = view(spark, sf, "people").select("city", "zip", "uid", "street")
     return first_rows(people, "city", "zip", "uid")
 
 
@@ -285,6 +345,13 @@ def top_friend_age_year(spark, sf):
     return _top(spark, sf, unit="year")
 
 
+@query
+def age_report_lines(spark, sf):
+    """The report as text, with averages to two decimals."""
+    top = demographics.top_friend_age(stored(spark, sf, "edges"), view(spark, sf, "profiles"))
+    return demographics.report_lines(top)
+
+
 @query
 def top_friend_age_rounded(spark, sf):
     return _top(spark, sf, unit="year", rank_on="rounded")
@@ -366,6 +433,16 @@ def rating_stats(spark, sf):
     return ratings.rating_stats(stored(spark, sf, "ratings"))
 
 
+@query
+def rating_stats_merged(spark, sf):
+    """Distinct counts from sketches of every rating value, merged: within 4 % of the exact ones, and the rows."""
+    rated = stored(spark, sf, "ratings")
+    found = ratings.merged_stats(cut_lineage(ratings.rating_sketches(rated, "rating")))
+    exact = ratings.rating_stats(rated).select(F.col("users").alias("u"), F.col("items").alias("i"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * 0.04
+    return found.join(F.broadcast(exact)).select(near("users", "u").alias("users"), near("items", "i").alias("items"), "n")
+
+
 # ---- clustering
 
 
@@ -379,6 +456,33 @@ def item_vectors(spark, sf):
     return vectors.select("item_id", "part", F.col("size").cast("int").alias("size"), F.array_join(entries, ",").alias("entries"))
 
 
+def _wide_ids(spark, sf) -> DataFrame:
+    """The ratings with user ids far apart, up to 2^62."""
+    return stored(spark, sf, "ratings").withColumn("user_id", F.col("user_id") * 300_000_000_000_000)
+
+
+@query
+def dense_item_vectors(spark, sf):
+    vectors = clustering.dense_item_vectors(_wide_ids(spark, sf))
+    entries = F.transform(
+        F.arrays_zip("indices", "values"),
+        lambda e: F.concat_ws(":", e["indices"].cast("string"), e["values"].cast("int").cast("string")),
+    )
+    return vectors.select("item_id", "part", "size", F.array_join(entries, ",").alias("entries"))
+
+
+@query
+def user_positions(spark, sf):
+    return clustering.user_positions(_wide_ids(spark, sf))
+
+
+@query
+def kmeans_mllib_dense(spark, sf):
+    """The library model over dense vectors: its 32-bit positions do not limit the ids."""
+    found = clustering.kmeans_mllib(clustering.dense_item_vectors(_wide_ids(spark, sf)))
+    return found.select("item_id", F.col("cluster").between(0, clustering.CLUSTERS - 1).alias("in_range"))
+
+
 def _clusters(spark, sf) -> DataFrame:
     return clustering.kmeans_items(stored(spark, sf, "ratings"))
 
@@ -509,6 +613,25 @@ def als_factor_lookup(spark, sf):
     return _wide(factorize.factor_lookup(users, asked), "user_id", 6)
 
 
+def _stored_factors(spark, sf) -> tuple[DataFrame, DataFrame]:
+    found = factorize.als_factors(stored(spark, sf, "ratings"), rounds=1, init="constant")
+    stores = [factorize.save_factors(f, _folder(spark, "factors")) for f in found]
+    return tuple(factorize.load_factors(spark, s.path) for s in stores)
+
+
+@query
+def als_stored_lookup(spark, sf):
+    """``als_factor_lookup`` from factors stored in buckets."""
+    users, _ = _stored_factors(spark, sf)
+    return _wide(factorize.factor_lookup(users, raters_of_lowest_distinct(spark, sf)), "user_id", 6)
+
+
+@query
+def als_stored_predict(spark, sf):
+    rated = stored(spark, sf, "ratings")
+    return factorize.als_predict(rated, *_stored_factors(spark, sf)).select("user_id", "item_id", _digits("score", 6))
+
+
 @query
 def als_predict(spark, sf):
     rated = stored(spark, sf, "ratings")

@@ -19,13 +19,17 @@ select a uid, b friend from e2 union select b uid, a friend from e2
 # Listed friends as they come: with repeats, self-loops, one direction only.
 LISTED = "select o_custkey uid, (o_orderkey*7+3) % (select count(*) from customer) friend from orders"
 
-PROFILES = """
+PEOPLE = """
 select c_custkey uid, split_part(c_name,'#',1) first_name, split_part(c_name,'#',2) last_name,
   concat(cast(c_custkey as string),' ',c_mktsegment) street, n_name city, r_name state,
   lpad(cast((c_custkey*37)%100000 as string),5,'0') zip,
   concat(cast((c_custkey*5)%12+1 as string),'/',cast((c_custkey*3)%28+1 as string),'/',
          cast(1940+(c_custkey*13)%60 as string)) dob
 from customer join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey
+"""
+
+# Friends without a profile: every 97th customer has none.
+PROFILES = f"""{PEOPLE.rstrip()}
 where c_custkey%97<>0
 """
 
@@ -61,13 +65,14 @@ select vec_id id, label, j-1 j, cast(floor(abs(x)*100) as double) x
 from (select vec_id, label, unnest(embedding) as x, generate_subscripts(embedding,1) as j from embeddings)
 """
 
-COMMON = {"edges": EDGES, "listed": LISTED, "profiles": PROFILES, "movies": MOVIES, "ratings": RATINGS, "users": USERS}
+COMMON = {"edges": EDGES, "listed": LISTED, "people": PEOPLE, "profiles": PROFILES, "movies": MOVIES, "ratings": RATINGS, "users": USERS}
 SPARK = {**COMMON, "lines": LINES_SPARK, "glass_long": GLASS_SPARK}
 DUCKDB = {**COMMON, "lines": LINES_DUCKDB, "glass_long": GLASS_DUCKDB}
 
 TABLES = {
     "edges": ["orders", "customer"],
     "listed": ["orders", "customer"],
+    "people": ["customer", "nation", "region"],
     "profiles": ["customer", "nation", "region"],
     "movies": ["part"],
     "ratings": ["orders", "lineitem"],
@@ -89,7 +94,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for t in tables:
         text = text.replace(f"from {t}", f"from {{{t}}}").replace(f"join {t}", f"join {{{t}}}")
     df = spark.sql(text, **tables)
-    return with_birth_date(df) if name == "profiles" else df
+    return with_birth_date(df) if name in ("people", "profiles") else df
 
 
 def glass(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,3 +113,33 @@ def test_long_lists_are_written_in_marked_runs(spark, files, tmp_path, skewed):
     jobs.mutual_friend(spark, files("adj3", f"1\t{friends}", f"2\t{friends}"), out, 1, 2)
     runs = [range(100, 115), range(115, 130), range(130, 140)]
     assert read(spark, out) == sorted(f"1,2{mark}\t{','.join(map(str, run))}" for mark, run in zip(("", "#1", "#2"), runs))
+
+
+def test_every_job_reports_what_it_could_not_read(spark, files, caplog):
+    movies = files("movies4", "1:One:Action|War", "2:Two:War", "bad:row")
+    rated = files("rated4", "10:1:1:0", "11:2:1:0", "x:2:1:0", "12:2:y:0")
+    users = files("users4", "10:F:25:1:10001", "z:F:35:1:10001")
+    glass = files("glass4", *(f"{n},{n % 2 * 5 + 1},{7 - n % 2 * 5},{n % 2 + 1}" for n in range(60)), "x,1,2,3", "")
+    with caplog.at_level("WARNING", logger="kithwork.jobs"):
+        jobs.numbered_genres(spark, movies, "me")
+        assert [r.args for r in caplog.records] == [(1, movies)]
+        caplog.clear()
+        jobs.lowest_rated(spark, movies, rated, users)
+        assert [r.args for r in caplog.records] == [(1, movies), (2, rated), (1, users)]
+        caplog.clear()
+        assert jobs.tree_text(spark, glass).count() > 1
+        assert [r.args for r in caplog.records] == [(2, glass)]
+        caplog.clear()
+        assert jobs.tree_text(spark, files("none4")).count() == 1
+        assert not caplog.records
+
+
+def test_an_input_is_scanned_once(spark, files, tmp_path, monkeypatch):
+    """Steps that measure, count and join read the stored rows, not the file."""
+    plans, cut = [], jobs.cut_lineage
+    monkeypatch.setattr(jobs, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    adjacency = files("adj5", "1\t2,3,4", "2\t1,3,5", "x\t1")
+    people = files("people5", *(f"{u},N,L,{u} Main,Town,TX,0{u}000,,,{u}/1/{1950 + u}" for u in (1, 2, 3, 4, 5)))
+    out = str(tmp_path / "once")
+    jobs.top_average_age(spark, adjacency, people, out)
+    assert [p.count("FileScan text") for p in plans] == [1, 1] and all("CollectMetrics" in p for p in plans)
