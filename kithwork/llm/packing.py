@@ -34,7 +34,7 @@ DEPTH = 3
 END_ID = 1
 SHARD_PIECES = 50_000
 CACHE_WORDS = 200_000
-ENCODE_WORDS = 2000
+ENCODE_WORDS = 500
 # Kinds of bytes for cutting words: ASCII letters, ASCII signs, and what keeps a word whole: digits, the
 # apostrophe (contractions), "<" (special tokens) and all other bytes but the letters of two bytes 0xC3 ...
 LETTER, SIGN, WHOLE = 0, 1, 2
@@ -60,29 +60,36 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self):
-        self.known: dict[int, int] = {}
-        self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
-
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        at = len(self.known)
-        while at + len(words) > len(self.first):
-            self.first, self.count = np.resize(self.first, 2 * len(self.first)), np.resize(self.count, 2 * len(self.count))
-        plain = [w.isascii() and w.isalpha() for w in words]
-        model = self.tokenizer.model
-        other = [w for w, p in zip(words, plain) if not p]
-        full = iter([e.ids for k in range(0, len(other), ENCODE_WORDS) for e in self.tokenizer.encode_batch_fast(other[k : k + ENCODE_WORDS], add_special_tokens=False)])
-        # Lower-case ASCII letters pass normalisation and splitting unchanged: the model alone gives the ids.
-        encoded = [np.array([t.id for t in model.tokenize(w)] if p else next(full), np.uint32) for w, p in zip(words, plain)]
-        ids = np.concatenate(encoded)
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * len(self.pool))
-        self.pool[self.used : self.used + len(ids)] = ids
-        sizes = np.array([len(e) for e in encoded], np.int64)
-        self.count[at : at + len(words)] = sizes
-        self.first[at : at + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.used += len(ids)
-        self.known.update(zip(hashes, range(at, at + len(words))))
+        # Hashes in ascending order, each with the slot of its ids.
+        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Tokenise words new to the task. Lower-case ASCII letters pass normalisation and splitting unchanged, so
+        the model alone gives their ids; the others go many in one text: no token joins across the blanks between."""
+        plain = np.array([w.isascii() and w.isalpha() for w in words], bool)
+        model, ids, sizes = self.tokenizer.model, [], []
+        for w, p in zip(words, plain.tolist()):
+            if p:
+                own = [t.id for t in model.tokenize(w)]
+                ids += own
+                sizes.append(len(own))
+        pool, count = [self.pool, np.array(ids, np.uint32)], [self.count, np.array(sizes, np.int64)]
+        others = [w for w, p in zip(words, plain.tolist()) if not p]
+        texts = [others[k : k + ENCODE_WORDS] for k in range(0, len(others), ENCODE_WORDS)]
+        for own, encoded in zip(texts, self.tokenizer.encode_batch([" ".join(t) for t in texts], add_special_tokens=False)):
+            starts = np.cumsum([0] + [len(w) + 1 for w in own])[:-1]
+            places = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded))
+            count.append(np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(own)))
+            pool.append(np.array(encoded.ids, np.uint32))
+        hashes = np.concatenate((hashes[plain], hashes[~plain]))
+        by = np.argsort(hashes)
+        slots = np.arange(len(self.count), len(self.count) + len(words))
+        self.pool, self.count = np.concatenate(pool), np.concatenate(count)
+        self.first = np.cumsum(self.count) - self.count
+        at = np.searchsorted(self.known, hashes[by])
+        self.known, self.slot = np.insert(self.known, at, hashes[by]), np.insert(self.slot, at, slots[by])
 
     def _runs(self, words: Words) -> Words:
         """Words cut into runs of letters and runs of signs where they hold nothing else."""
@@ -96,7 +103,7 @@ class WordTokenizer:
         # Word of every byte (0: none), to cut only inside simple words.
         inside = np.zeros(len(data) + 1, np.int32)
         inside[words.start[simple]] += 1
-        np.subtract.at(inside, words.end[simple], 1)
+        inside[words.end[simple]] -= 1
         inside = np.cumsum(inside[:-1]) > 0
         cut = np.flatnonzero(inside[1:] & inside[:-1] & (kind[1:] != kind[:-1])) + 1
         cut = cut[~np.isin(cut, words.start)]
@@ -110,12 +117,14 @@ class WordTokenizer:
             self._forget()
         words = self._runs(self.hasher.words(raw, offsets))
         own, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        keys = own.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.known]
-        if new:
+        at = np.searchsorted(self.known, own)
+        known = at < len(self.known)
+        known[known] = self.known[at[known]] == own[known]
+        new = np.flatnonzero(~known)
+        if len(new):
             data = words.data
-            self._learn([keys[k] for k in new], [data[words.start[i] : words.end[i]].tobytes().decode("utf-8", "replace") for i in first[new]])
-        slot = np.array([self.known[h] for h in keys], np.int64)[inverse] if keys else np.zeros(0, np.int64)
+            self._learn(own[new], [data[words.start[i] : words.end[i]].tobytes().decode("utf-8", "replace") for i in first[new].tolist()])
+        slot = self.slot[np.searchsorted(self.known, own)][inverse]
         counts = self.count[slot]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
@@ -125,6 +134,18 @@ class WordTokenizer:
         return ids, starts + np.arange(len(starts))
 
 
+# Words of all kinds: letters, signs, digits, contractions, letters outside ASCII, several blanks.
+PROBE = "The quick, brown-fox's (jumps) 12 times; don't!  ÉTÉ straße naïve\n日本語 a_b x=y... ü~ö\tend"
+
+
+def check_tokenizer(definition: str) -> None:
+    """Refuse a tokenizer whose ids of a text are not those of its words."""
+    raw, offsets = column_bytes(pa.array([PROBE]))
+    found = WordTokenizer(definition).ids(raw, offsets)[0].tolist()
+    if found != [*Tokenizer.from_str(definition).encode(PROBE, add_special_tokens=False).ids, END_ID]:
+        raise ValueError("packing needs a tokenizer that drops white space and splits words at signs")
+
+
 def _pieces(definition, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(definition.value)
@@ -231,17 +252,20 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, width:
 
     A document is the ids of its whole text, without special tokens, and one END_ID; a null or empty text is
     the END_ID alone. Every id lies in exactly one piece; full windows are sequences of their own, rests
-    share one. ``path`` names the tokenizer file, read on the driver and sent to the tasks. Rows with a null
-    doc_id and repeated rows are packed like any other. Ties between pieces of a bin go by id and start. An
-    empty table gives an empty result; other columns are not read.
+    share one. ``path`` names the tokenizer file, read on the driver and sent to the tasks; one that joins across
+    white space, or across letters and signs, is refused. Rows with a null doc_id and repeated rows are packed
+    like any other. Ties between pieces of a bin go by id and start within a shard of pieces. An empty table
+    gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     with open(path or tokenizer_path(), encoding="utf-8") as file:
         definition = spark.sparkContext.broadcast(file.read())
+    check_tokenizer(definition.value)
     bins = window // width
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = rows.mapInArrow(_pieces(definition, window), PIECES).withColumn("bin", F.ceil(F.col("length") / width).cast("int"))
-    pieces = stored(pieces, "pieces")
+    # Pieces are dealt out by a number of their own, so that no id, or row without one, is a hot shard.
+    pieces = stored(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces")
     histogram = {r["bin"]: r["count"] for r in pieces.groupBy("bin").count().collect()}
     shards = 1 + sum(histogram.values()) // SHARD_PIECES
     places, base = [], 0
@@ -252,10 +276,10 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, width:
             filled[b] += n
         base += n
     places = spark.createDataFrame(places, "bin int, lo long, hi long, base long, position int")
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start"), F.lit(shards)).cast("int"))
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("piece"), F.lit(shards)).cast("int"))
     before = Window.partitionBy("bin").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     ahead = pieces.groupBy("bin", "shard").count().select("bin", "shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("ahead"))
-    own = Window.partitionBy("bin", "shard").orderBy("doc_id", "start", "length", "ids_crc32")
+    own = Window.partitionBy("bin", "shard").orderBy("doc_id", "start", "length", "ids_crc32", "piece")
     numbered = pieces.withColumn("row", F.row_number().over(own) - 1).join(ahead, ["bin", "shard"]).withColumn("number", F.col("ahead") + F.col("row"))
     inside = (numbered["bin"] == places["bin"]) & (numbered["number"] >= places["lo"]) & (numbered["number"] < places["hi"])
     placed = numbered.join(F.broadcast(places), inside)

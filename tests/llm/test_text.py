@@ -87,6 +87,27 @@ def test_decontamination_of_awkward_tables(spark):
     assert decontamination.decontaminate(table.limit(0), items).count() == 0
 
 
+def test_packing_refuses_tokenizers_that_join_words(spark):
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        packing.pack(documents(spark, [(1, "a b", "en")]), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_packing_deals_rows_without_id_to_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 10)
+    rows = packing.pack(documents(spark, [(None, "one two three", "en")] * 60 + [(1, "one two three", "en")] * 60)).collect()
+    assert len(rows) == 120
+    taken = {}
+    for r in rows:
+        taken.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in taken.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+
+
 def test_packing_round_trip(spark):
     table = awkward(spark).unionByName(documents(spark, [(100 + i, " ".join(words(i, 30 * i)) + " Don't <|endoftext|> naïve café 12.5!", "en") for i in range(60)]))
     rows = packing.pack(table).collect()
