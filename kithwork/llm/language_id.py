@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kithwork.llm.tables import fold, hash_sample
+from kithwork.llm.tables import excerpt, fold, hash_sample
 from kithwork.llm.words import Hasher, column_bytes, slices
 
 GRAMS = (2, 3, 4)
@@ -273,12 +273,13 @@ def _labels(shared):
 
 
 def training_sample(docs: DataFrame, modulus: int, held_out: int) -> list[tuple[str, str]]:
-    """(lang, text) of the sampled rows; only the sampled ids are broadcast."""
+    """(lang, text) of the sampled rows, long texts as excerpts; only the sampled ids are broadcast."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     own = own.where(F.col("lang").isNotNull() & (fold("doc_id", modulus) != held_out)).groupBy("doc_id").agg(F.min("lang").alias("lang"))
     sample = hash_sample(own, SAMPLE, "lang", "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(sample), "doc_id").collect()
+    texts = texts.where("text is not null").join(F.broadcast(sample), "doc_id")
+    rows = texts.withColumn("text", excerpt("text", "doc_id", SAMPLE_BYTES)).collect()
     return [(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))]
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from kithwork.session import shared_folder
 
+# Rows of a group beyond twice those wanted that pass the first cut of a sample.
+SPARE = 100
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -56,10 +59,23 @@ def fold(doc_id: Column | str, modulus: int) -> Column:
 def hash_sample(df: DataFrame, per_group: int, group: str, key: str) -> DataFrame:
     """At most ``per_group`` rows of each group, those with the smallest hash of ``key``.
 
-    Every task keeps its own smallest rows before the shuffle (``WindowGroupLimit``).
+    A group is first cut to the hashes below twice the share it needs, so that the rows that are ranked are few
+    however large it is. There is a count per group, and a model holds an entry per group: they are broadcast.
     """
-    order = Window.partitionBy(group).orderBy(F.xxhash64(F.col(key).cast("string")), key)
-    return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_group).drop("_rank")
+    counts = df.groupBy(group).agg(F.count("*").alias("_rows"))
+    place = F.xxhash64(F.col(key).cast("string"))
+    share = (2.0 * per_group + SPARE) / F.col("_rows")
+    near = df.join(F.broadcast(counts), group).where(place / F.lit(2.0**64) + 0.5 < share).drop("_rows")
+    order = Window.partitionBy(group).orderBy(place, key)
+    return near.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_group).drop("_rank").select(*df.columns)
+
+
+def excerpt(text: str, key: str, max_bytes: int) -> Column:
+    """A text of at most ``max_bytes`` as it is, of a longer one ``max_bytes`` / 4 characters from a place that
+    follows from its key."""
+    size = max_bytes // 4
+    start = F.pmod(F.xxhash64(key), F.length(text) - size + 1).cast("int") + 1
+    return F.when(F.octet_length(text) <= max_bytes, F.col(text)).otherwise(F.when(F.length(text) > size, F.substring(F.col(text), start, F.lit(size))).otherwise(F.col(text)))
 
 
 def labelled_sample(
@@ -68,7 +84,8 @@ def labelled_sample(
     """Texts of a bounded sample of labelled rows per class (0 and 1), and the class counts of all of them.
 
     Rows with ``crc32(doc_id) % modulus == held_out`` are left out. A class gives at most ``per_class`` rows,
-    those with the smallest id hash, without texts above ``max_bytes``. Only the sampled ids are broadcast.
+    those with the smallest id hash; of texts above ``max_bytes`` it gives an excerpt. Only the sampled ids are
+    broadcast.
     """
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     own = own.where(F.col("label").isin(0, 1) & (fold("doc_id", modulus) != held_out))
@@ -76,6 +93,6 @@ def labelled_sample(
     counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
     sample = hash_sample(own, per_class, "label", "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.where(F.octet_length("text") <= max_bytes).join(F.broadcast(sample), "doc_id").collect()
+    rows = texts.join(F.broadcast(sample), "doc_id").withColumn("text", excerpt("text", "doc_id", max_bytes)).collect()
     rows = sorted((r["doc_id"], r["text"], r["label"]) for r in rows)
     return {c: [text.encode() for _, text, k in rows if k == c] for c in (1, 0)}, {c: counts.get(c, 0) for c in (1, 0)}
