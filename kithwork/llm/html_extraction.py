@@ -6,13 +6,14 @@
 2. The distinct streams of a host are aligned one after another to a union-free regular expression, the
    wrapper: what only one side has becomes an optional group, neighbouring repeats a repeated one, text a
    slot. A host with many streams is aligned in parts first; the parts' wrappers are aligned last.
-   A block of text that at least ten different pages of the host and half of those with text in the same
-   place hold verbatim enters the stream with its key instead of a slot. Where the wrapper has it outside
-   repeated groups, it is template text and no page's own; inside it stays data.
-3. Every page is read again, whole, and its data slots are told apart: those under navigation, forms, adverts,
-   comments and the like are left out; of the others those in the page's own article or main elements are
-   kept, all of them, and all others where no such element has text. So a page's text never depends on
-   where other pages of its host keep theirs.
+   A block of text that at least three different pages of the host and half of those with text in the same
+   place hold verbatim, headings apart, enters the stream with its key instead of a slot. Where the wrapper
+   has it outside repeated groups, it is template text and no page's own; inside it stays data.
+3. Every page is read again, whole, and its data slots are told apart: those under navigation, adverts, comments
+   and the like are left out. Parts that only a class or id name, a form or a header marks are kept where an
+   article is in them, or nearly all text of the page. Of what is left the page's own article or main elements
+   are kept, and all of it where they have little or no text. So a page's text never depends on where other
+   pages of its host keep theirs.
 
 The labels in streams and wrappers have only the class and id words that at least half of the pages of the
 host share; slugs, ids and categories of single pages do not make a template of their own.
@@ -26,6 +27,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -48,14 +50,28 @@ CONTAINER = frozenset("html body main article section div nav header footer asid
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 )
-NOISE_TAG = frozenset("head nav header footer aside form button select dialog menu object audio video canvas".split())
+NOISE_TAG = frozenset("head nav footer aside button select dialog menu object audio video canvas".split())
+# Forms and headers of a page: they give way to an article in them, or to the bulk of the text.
+WEAK_TAG = frozenset("header form".split())
 NOISE_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
-# Whole words of class and id names that mark parts outside the article.
-NOISE_WORD = frozenset(
+# Words of class and id names that mark parts outside the article; those of reader comments and links to other
+# articles hide an article in them too.
+FOREIGN_WORD = frozenset("related recommended comment comments reply replies discussion disqus".split())
+NOISE_WORD = FOREIGN_WORD | frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay"
     " newsletter subscribe subscription signup login menu menus nav navbar navigation breadcrumb breadcrumbs pagination sidebar sidebars aside widget widgets"
-    " related recommended share sharing social comment comments reply replies discussion disqus footer header masthead toolbar skip".split()
+    " share sharing social footer header masthead toolbar skip".split()
 )
+# Words that leave a name what it is: "cookie-bar" is a notice, "has-sidebar" and "related-work" are not what they name.
+LAYOUT_WORD = frozenset(
+    "area bar block body bottom box button buttons column container content form global group icon icons inner item items link links list main mobile outer panel"
+    " placeholder primary right left row secondary section site slot thread top unit user wrap wrapper".split()
+)
+ARTICLE_WORD = frozenset("article articles entry post posts story stories page".split())
+HEADER_WORD = frozenset("header masthead footer".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6 dt th caption figcaption legend summary".split())
+# Blocks are not broken by these, but their text is left out.
+INLINE_NOISE = frozenset("button select object audio video canvas".split())
 ARTICLE = frozenset("article main".split())
 SPLIT_WORDS = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 MAX_FOLD = 16
@@ -64,7 +80,23 @@ TEXT = "#"
 SAME = "="
 WORDS = re.compile(r"\.[^/]*")
 # A text is compared as template text where so many different pages of the host hold it in one place.
-LEAST_SAME = 10
+LEAST_SAME = 3
+# What is hidden for its name only is shown where it is so many times the text that is left, and the text outside
+# the articles of a page where that is so many times theirs.
+BULK = 4
+
+
+def noise_kind(name: str) -> str:
+    """"!" for a class or id name of parts foreign to the page's article, "~" for other parts outside it, else "".
+
+    All words of the name must be noise or layout; words of articles may stand by any noise but headers.
+    """
+    words = [w.lower() for w in SPLIT_WORDS.split(name) if w]
+    noise = NOISE_WORD.intersection(words)
+    others = [w for w in words if w not in NOISE_WORD and w not in LAYOUT_WORD and len(w) > 2]
+    if not noise or any(w not in ARTICLE_WORD for w in others) or others and noise <= HEADER_WORD:
+        return ""
+    return "!" if noise & FOREIGN_WORD else "~"
 
 
 class Tag:
@@ -77,15 +109,23 @@ class Tag:
         self.name = found[1].lower() if found else ""
         self.closes = text.startswith("</")
         self.void = self.name in VOID or text.endswith("/>") and self.name not in CONTAINER
-        words, roles = [], []
+        words, roles, marks = [], [], ""
         if not self.closes and "=" in text:
             for kind, *values in ATTRIBUTE.findall(text):
-                own = [w.lower() for w in SPLIT_WORDS.split("".join(values)) if w]
-                (roles if kind.lower() == "role" else words).extend(own)
+                for name in "".join(values).split():
+                    own = [w.lower() for w in SPLIT_WORDS.split(name) if w]
+                    (roles if kind.lower() == "role" else words).extend(own)
+                    marks += noise_kind(name) if kind.lower() != "role" else ""
         self.words = frozenset(words)
         self.article = self.name in ARTICLE or "main" in roles or "article" in roles
-        noise = self.name in NOISE_TAG or not NOISE_ROLE.isdisjoint(roles) or not NOISE_WORD.isdisjoint(words) or bool(HIDDEN.search(text))
-        self.noise = not self.closes and noise and self.name not in ("html", "body")
+        self.noise = ""  # "!": left out; "~": left out unless the article or the bulk of the text is in it
+        if not self.closes and self.name not in ("html", "body"):
+            if self.name in NOISE_TAG or not NOISE_ROLE.isdisjoint(roles) or "!" in marks or HIDDEN.search(text):
+                self.noise = "!"
+            elif self.name in WEAK_TAG or marks:
+                self.noise = "~"
+        if self.article and self.noise == "~":
+            self.noise = ""
 
 
 class Reader:
@@ -119,7 +159,8 @@ class Reader:
         return own
 
     def events(self, page: str) -> Iterator[tuple[str, str, str]]:
-        """(kind, label or text, path): kind is tag, block or text. A path joins the containers, noise marked by '!'."""
+        """(kind, label or text, path): kind is tag, block or text. A path joins the containers, noise marked by '!' or
+        '~', articles by '*'."""
         stack: list[tuple[str, str]] = []  # name, path below it
         path, at = "", 0
         for found in TAG.finditer(page):
@@ -134,7 +175,7 @@ class Reader:
             tag = self.tag(content)
             if not tag.name:
                 continue
-            kind = "tag" if tag.name in INLINE else "block"
+            kind = "tag" if tag.name in INLINE or tag.name in INLINE_NOISE else "block"
             label = self.label(tag)
             if tag.closes:
                 depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == tag.name), -1)
@@ -153,7 +194,8 @@ class Reader:
                 path = stack[-1][1] if stack else ""
                 if not tag.void:
                     if tag.name in CONTAINER or tag.noise or tag.article:
-                        mark = "!" if tag.noise else "*" if tag.article else ""
+                        noise = "" if tag.name == "header" and tag.noise == "~" and "/*" in path else tag.noise
+                        mark = noise or ("*" if tag.article else "")
                         path = f"{path}/{mark}{label}"
                     stack.append((tag.name, path))
             yield kind, ("/" if tag.closes else "") + label, path
@@ -192,23 +234,56 @@ def block_key(path: str, text: str) -> str:
     return hashlib.blake2b(f"{WORDS.sub('', path)}\n{text}".encode("utf-8", "replace"), digest_size=8).hexdigest()
 
 
-def clean_blocks(reader: Reader, page: str) -> Iterator[tuple[str, str, str]]:
-    """(path, text in articles, text) of the blocks outside navigation, adverts and the like."""
+def _hidden_by(path: str, opened: set[str]) -> str:
+    """"!", or the path of the outermost container that hides this one for its name only, or "" if it is shown."""
+    if "/!" in path:
+        return "!"
+    at = path.find("/~", max(path.rfind("/*"), 0))
+    while at >= 0:
+        end = path.find("/", at + 1)
+        whole = path if end < 0 else path[:end]
+        if whole not in opened:
+            return whole
+        at = path.find("/~", at + 1)
+    return ""
+
+
+def shown_paths(events: list[tuple[str, str, str]]) -> set[str]:
+    """The paths whose text belongs to the page."""
+    sizes: dict[str, int] = {}
+    for kind, value, path in events:
+        if kind == TEXT:
+            sizes[path] = sizes.get(path, 0) + len(value.strip())
+    opened: set[str] = set()
+    while True:
+        by: dict[str, int] = {}
+        for path, size in sizes.items():
+            by[hider] = by.get(hider := _hidden_by(path, opened), 0) + size
+        weak = max((h for h in by if h not in ("", "!")), key=lambda h: (by[h], h), default=None)
+        if weak is None or by[weak] <= BULK * by.get("", 0):
+            return {path for path in sizes if not _hidden_by(path, opened)}
+        opened.add(weak)
+
+
+def clean_blocks(events: list[tuple[str, str, str]]) -> Iterator[tuple[str, str, str, bool]]:
+    """(path, text in articles, text, whether it is a heading) of the blocks of the page's own parts."""
+    shown = shown_paths(events)
     block: list[tuple[bool, str]] = []
-    at = ""
-    for kind, value, path in reader.events(page):
+    at, heading = "", False
+    for kind, value, path in events:
         if kind == TEXT:
-            if "/!" not in path:
+            if path in shown:
                 at = at if block else path
                 block.append(("/*" in path, value))
         elif kind == "block":
             if block and (text := joined([v for _, v in block])):
-                yield at, joined([v for article, v in block if article]), text
+                yield at, joined([v for article, v in block if article]), text, heading
             block.clear()
+            heading = value.split(".")[0] in HEADING
         elif value == "br" and block:
             block.append((block[-1][0], " "))
     if block and (text := joined([v for _, v in block])):
-        yield at, joined([v for article, v in block if article]), text
+        yield at, joined([v for article, v in block if article]), text, heading
 
 
 def stream(reader: Reader, page: str, same: frozenset[str] = frozenset()) -> list:
@@ -224,7 +299,9 @@ def stream(reader: Reader, page: str, same: frozenset[str] = frozenset()) -> lis
                 items[k] = f"{SAME}{key}"
         block.clear(), slots.clear()
 
-    for kind, value, path in reader.events(page):
+    events = list(reader.events(page))
+    shown = shown_paths(events)
+    for kind, value, path in events:
         if kind == "block":
             close()
         if kind != TEXT:
@@ -232,12 +309,12 @@ def stream(reader: Reader, page: str, same: frozenset[str] = frozenset()) -> lis
             if value == "br" and block:
                 block.append(" ")
             continue
-        if "/!" not in path:
+        if path in shown:
             at = at if block else path
             block.append(value)
         if value.strip() and (not items or items[-1] != f"{TEXT}{path}"):
             items.append(f"{TEXT}{path}")
-            if "/!" not in path:
+            if path in shown:
                 slots.append(len(items) - 1)
     close()
     return fold(items)
@@ -248,11 +325,7 @@ def align(a: list, b: list) -> list:
     bodies = sorted({item[1] for item in (*a, *b) if isinstance(item, tuple) and len(item[1]) > 1}, key=lambda x: (-len(x), repr(x)))
     a, b = _wrapped(a, bodies), _wrapped(b, bodies)
     n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(m - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if _same(a[i], b[j]) else max(below[j], row[j + 1])
+    best = CommonItems(a, b)
     out, i, j = [], 0, 0
     left: list = []
     right: list = []
@@ -267,7 +340,7 @@ def align(a: list, b: list) -> list:
             close()
             out.append(_joined(a[i], b[j]))
             i, j = i + 1, j + 1
-        elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
+        elif j >= m or i < n and best.row(i + 1)[j] >= best.row(i)[j + 1]:
             left.append(a[i])
             i += 1
         else:
@@ -277,6 +350,43 @@ def align(a: list, b: list) -> list:
     return _tidy(out)
 
 
+class CommonItems:
+    """How many items the rest of two streams have in common in order, row by row from the first stream's end.
+
+    Only every ``step``-th row is kept, about the square root of their number; the rows between two of those are
+    made again when the alignment comes to them, so memory grows with the 1.5th power of a stream's length.
+    """
+
+    def __init__(self, a: list, b: list):
+        number: dict[tuple, int] = {}
+        self.a, self.b = (np.array([number.setdefault(_body(x), len(number)) for x in items], np.int64) for items in (a, b))
+        self.step = max(1, int(len(a) ** 0.5))
+        self.kept = {len(a): np.zeros(len(b) + 1, np.int32)}
+        below = self.kept[len(a)]
+        for i in range(len(a) - 1, -1, -1):
+            below = self._above(i, below)
+            if i % self.step == 0:
+                self.kept[i] = below
+        self.some: dict[int, np.ndarray] = {}
+
+    def _above(self, i: int, below: np.ndarray) -> np.ndarray:
+        row = below.copy()
+        row[:-1] = np.where(self.b == self.a[i], below[1:] + 1, below[:-1])
+        return np.maximum.accumulate(row[::-1])[::-1]
+
+    def row(self, i: int) -> np.ndarray:
+        if i in self.kept:
+            return self.kept[i]
+        if i not in self.some:
+            low = i - i % self.step
+            high = min(low + self.step, len(self.a))
+            below = self.kept[high]
+            self.some = {}
+            for k in range(high - 1, low, -1):
+                below = self.some[k] = self._above(k, below)
+        return self.some[i]
+
+
 def _wrapped(items: list, bodies: list[tuple]) -> list:
     """Single runs of what is repeated elsewhere as repeated groups, so that they meet those."""
     for body in bodies:
@@ -355,8 +465,10 @@ def main_text(reader: Reader, page: str, template: frozenset[str] = frozenset())
 
     A page with more template text than text of its own is a near copy of others and stays whole.
     """
-    blocks = list(clean_blocks(reader, page))
-    texts = [(path, article, text) for path, article, text in blocks if article] or [(path, text, text) for path, _, text in blocks]
+    blocks = list(clean_blocks(list(reader.events(page))))
+    texts = [(path, article, text) for path, article, text, _ in blocks if article]
+    if BULK * sum(len(article) for _, article, _ in texts) < sum(len(text) - len(article) for _, article, text, _ in blocks):
+        texts = [(path, text, text) for path, _, text, _ in blocks]
     own = [article for path, article, text in texts if not template or block_key(path, text) not in template]
     if 2 * sum(map(len, own)) < sum(len(article) for _, article, _ in texts):
         own = [article for _, article, _ in texts]
@@ -371,9 +483,10 @@ def _page_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # The empty value counts the pages of the host and of the place.
             whole = hashlib.blake2b(page.encode("utf-8", "replace"), digest_size=8).hexdigest()
             rows.update((host, "", word, whole) for word in ("", *reader.words(page)))
-            blocks = [(WORDS.sub("", path), block_key(path, text)) for path, _, text in clean_blocks(reader, page)]
-            own = hashlib.blake2b("".join(key for _, key in blocks).encode(), digest_size=8).hexdigest()
-            rows.update((host, place, value, own) for place, key in blocks for value in ("", key))
+            blocks = [(WORDS.sub("", path), block_key(path, text), heading) for path, _, text, heading in clean_blocks(list(reader.events(page)))]
+            own = hashlib.blake2b("".join(key for _, key, _ in blocks).encode(), digest_size=8).hexdigest()
+            # A heading is the article's own, also where all articles have it.
+            rows.update((host, place, value, own) for place, key, heading in blocks if not heading for value in ("", key))
         names = ["host", "place", "value", "page"]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(4)], names=names)
 
@@ -382,7 +495,7 @@ def host_marks(pages: DataFrame) -> DataFrame:
     """(host, words, same) from a frame (host, html), repeated pages counted once.
 
     ``words``: class and id words on at least half of the pages of the host. ``same``: keys of the texts on
-    LEAST_SAME different pages, and on half of those with text in the same place.
+    LEAST_SAME different pages, and on half of those with text in the same place; headings are left out.
     """
     marks = pages.mapInArrow(_page_marks, "host string, place string, value string, page string").distinct()
     counted = stored(marks.groupBy("host", "place", "value").agg(F.count("*").alias("n")), "marks")

@@ -207,7 +207,75 @@ def test_text_that_all_pages_of_a_host_share_is_template(spark):
     found = {r["page_id"]: r["text"] for r in html_extraction.extract_text(pages(spark, rows)).collect()}
     for i, text in found.items():
         n = 7 if i >= 200 else i % 100
-        assert text.split("\n") == [f"Own {n} text of this page", *(["Read this again and again"] if i >= 100 else []), f"More {n}"]
+        assert text.split("\n") == [f"Own {n} text of this page", *(["Read this again and again"] if i >= 200 else []), f"More {n}"]
+
+
+def test_hosts_of_few_and_many_pages_agree(spark):
+    """A heading that all articles share stays, a notice in a plain element goes, by the wrapper alone."""
+    body = "<body><article><h1>Dish {0}</h1><p>Take {0} eggs</p><h2>Ingredients</h2><p>Salt {0}</p><div>Join our club today</div></article></body>"
+    for n_pages in (3, 9, 12):
+        rows = [(n, "http://r.example/", body.format(n)) for n in range(n_pages)]
+        found = {r["page_id"]: r["text"] for r in html_extraction.extract_text(pages(spark, rows)).collect()}
+        assert found == {n: f"Dish {n}\nTake {n} eggs\nIngredients\nSalt {n}" for n in range(n_pages)}
+    reader = html_extraction.Reader()
+    assert html_extraction.main_text(reader, body.format(1)).endswith("Join our club today")
+
+
+def plain_alignment(a, b):
+    """The same recurrence with a whole table."""
+    same = lambda x, y: html_extraction._same(x, y)
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if same(a[i], b[j]) else max(best[i + 1][j], best[i][j + 1])
+    return best
+
+
+def test_alignment_rows_equal_a_whole_table():
+    r = random.Random(8)
+    for _ in range(60):
+        a, b = ([r.choice(["p", "/p", "b", ("+", ("p", "/p")), ("?", ("b",)), "i"]) for _ in range(r.randint(0, 30))] for _ in range(2))
+        rows, whole = html_extraction.CommonItems(a, b), plain_alignment(a, b)
+        for i in [*range(len(a) + 1), *(r.randrange(len(a) + 1) for _ in range(9))]:
+            assert rows.row(i).tolist() == whole[i]
+
+
+def test_alignment_of_very_long_streams_takes_little_memory():
+    r = random.Random(9)
+    tags = [f"t{k}" for k in range(400)]
+    a = [r.choice(tags) for _ in range(20_000)]
+    b = [x for x in a if r.random() < 0.9]
+    rows = html_extraction.CommonItems(a, b)
+    held = sum(x.nbytes for x in rows.kept.values())
+    assert rows.row(0)[0] == len(b) and held < 20_000_000
+
+
+STORY = "<p>The story {0} goes on here for a while</p>"
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div class='layout has-sidebar'><article>{0}</article></div></body>",
+    "<body><main class='no-sidebar'>{0}</main></body>",
+    "<body><article class='post comments-open'>{0}</article><div class='post-comments'><article class='x'>Reader</article></div></body>",
+    "<body><form id='aspnetForm'><div class='nav'>Home</div><div>{0}</div></form></body>",
+    "<body><article><section class='social-history'>{0}</section></article></body>",
+    "<body><article><div id='related-work'>{0}</div><div class='related-articles'>Other</div></article></body>",
+    "<body><article><div class='lead ad-free'>{0}</div><div class='ad-slot'>Buy</div></article></body>",
+    "<body><div class='site-header'>Site</div><article><div class='article-header'>{0}</div><div class='share-buttons'>Send</div></article></body>",
+    "<body><header><h2>Site</h2></header><article><header>{0}</header></article></body>",
+    "<body><div class='sidebar'><div class='box'>{0}</div></div></body>",
+    "<body><div class='teasers'><article>T</article></div><div class='text'>{0}{0}{0}</div></body>",
+    "<body><div class='cookie-bar'>We use cookies</div><div class='main-nav'>A</div><div id='newsletter_signup'>Mail</div>{0}</body>",
+])
+def test_names_do_not_hide_the_article(page):
+    own = html_extraction.main_text(html_extraction.Reader(), page.format(STORY.format(1)))
+    line = "The story 1 goes on here for a while"
+    assert own in (line, "T\n" + "\n".join([line] * 3))
+
+
+def test_a_button_does_not_break_its_paragraph():
+    page = "<article><p>Before <button>Copy</button> and after</p><p>Next<select><option>1</select></p></article>"
+    assert html_extraction.main_text(html_extraction.Reader(), page) == "Before and after\nNext"
 
 
 def test_awkward_pages(spark):
