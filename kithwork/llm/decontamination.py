@@ -29,6 +29,8 @@ from kithwork.llm.words import BASE, Hasher, column_bytes, mix, slices
 MIN_MATCH = 5
 THRESHOLD = 0.5
 BLOCK_TOKENS = 2_000_000
+# Pairs of places with the same seed looked at together.
+SEED_PAIRS = 1 << 20
 
 # Token characters: ASCII letters and digits, and every byte of a longer UTF-8 sequence.
 SEPARATOR = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
@@ -43,28 +45,16 @@ def seed_hashes(tokens: np.ndarray, length: int) -> np.ndarray:
     return mix(rolled)
 
 
-def tiles(pattern: np.ndarray, text: np.ndarray, pairs: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+def tiles(n_pattern: int, n_text: int, runs: list[tuple[int, int, int]], least: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (pattern start, text start, length) of the tiles.
 
-    ``pairs`` are the positions where ``least`` tokens of both agree. Matches are taken longest first, ties
-    by pattern start, then text start; a match that is partly marked meanwhile is cut to what is free.
+    ``runs`` are the maximal matches (length, pattern start, text start). Matches are taken longest first, ties
+    by pattern start, then text start; a match that is partly marked meanwhile is cut to what is free. It ends
+    where no ``least`` tokens of the pattern in a row are free.
     """
-    diagonals: dict[int, list[int]] = {}
-    for p, t in pairs:
-        diagonals.setdefault(t - p, []).append(p)
-    runs = []
-    for shift, starts in diagonals.items():
-        starts.sort()
-        first = last = starts[0]
-        for p in [*starts[1:], None]:
-            if p is not None and p == last + 1:
-                last = p
-                continue
-            runs.append((last - first + least, first, first + shift))
-            first = last = p
-    free_p, free_t = np.ones(len(pattern), bool), np.ones(len(text), bool)
+    free_p, free_t = np.ones(n_pattern, bool), np.ones(n_text, bool)
     out = []
-    while runs:
+    while runs and _longest_true(free_p) >= least:
         longest = max(r[0] for r in runs)
         rest = []
         for length, p, t in sorted(runs, key=lambda r: (-r[0], r[1], r[2])):
@@ -75,6 +65,8 @@ def tiles(pattern: np.ndarray, text: np.ndarray, pairs: list[tuple[int, int]], l
             if free.all():
                 free_p[p : p + length] = free_t[t : t + length] = False
                 out.append((p, t, length))
+                if _longest_true(free_p) < least:
+                    break
                 continue
             edges = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
             rest += [(int(b - a), p + int(a), t + int(a)) for a, b in zip(edges[::2], edges[1::2]) if b - a >= least]
@@ -82,46 +74,87 @@ def tiles(pattern: np.ndarray, text: np.ndarray, pairs: list[tuple[int, int]], l
     return out
 
 
+def _longest_true(flags: np.ndarray) -> int:
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.view(np.int8), [0]))))
+    return int((edges[1::2] - edges[::2]).max()) if len(edges) else 0
+
+
 class Index:
-    """Tokens and seeds of a block of benchmark items."""
+    """Tokens and seeds of a block of benchmark items, as arrays."""
 
     def __init__(self, items: list[tuple[int, str]], least: int):
         raw, offsets = column_bytes(pa.array([text for _, text in items], pa.string()))
         words = Hasher().words(raw, offsets, np.arange(256, dtype=np.uint8), SEPARATOR)
         self.ids = [item for item, _ in items]
-        self.tokens = [words.hashes[a:b] for a, b in zip(words.first, words.first[1:])]
-        found = []
-        for number, tokens in enumerate(self.tokens):
-            seeds = seed_hashes(tokens, min(least, max(len(tokens), 1)))
-            found += [(seed, number, at) for at, seed in enumerate(seeds.tolist())]
-        found.sort()
-        self.seeds = np.array([f[0] for f in found], np.uint64)
-        self.where = [f[1:] for f in found]
-        self.lengths = sorted({min(least, len(t)) for t in self.tokens if len(t)})
+        self.tokens, self.first, self.size = words.hashes, words.first[:-1], np.diff(words.first)
+        self.least = np.minimum(self.size, least)  # tokens of a seed of the item
+        seeds, item, at = [], [], []
+        for number, (start, n, length) in enumerate(zip(self.first.tolist(), self.size.tolist(), self.least.tolist())):
+            own = seed_hashes(self.tokens[start : start + n], max(length, 1))
+            seeds.append(own)
+            item.append(np.full(len(own), number, np.int32))
+            at.append(np.arange(len(own), dtype=np.int32))
+        seeds, item, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (seeds, item, at))
+        order = np.lexsort((at, item, seeds))
+        self.seeds, self.item, self.at = seeds[order].astype(np.uint64), item[order], at[order]
+        self.lengths = sorted(set(self.least[self.least > 0].tolist()))
+
+    def runs(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start in it, start in ``tokens``, length) of the maximal matches of at least a seed.
+
+        Shared seeds are looked at ``SEED_PAIRS`` at a time, and only those that begin a match are kept: where the
+        tokens before are equal too, the match began earlier.
+        """
+        found = [np.zeros((3, 0), np.int64)]
+        for length in self.lengths:
+            seeds = seed_hashes(tokens, length)
+            low = np.searchsorted(self.seeds, seeds)
+            hit = np.flatnonzero(self.seeds[np.minimum(low, len(self.seeds) - 1)] == seeds)
+            if not len(hit):
+                continue
+            low = low[hit]
+            count = np.searchsorted(self.seeds, seeds[hit], side="right") - low
+            total = np.cumsum(count)
+            while len(hit):
+                some = max(1, int(np.searchsorted(total, SEED_PAIRS, side="right")))
+                n = count[:some]
+                t = np.repeat(hit[:some], n)
+                k = np.arange(len(t)) + np.repeat(low[:some] - (np.cumsum(n) - n), n)
+                hit, low, count, total = hit[some:], low[some:], count[some:], total[some:] - total[some - 1]
+                item, p = self.item[k].astype(np.int64), self.at[k].astype(np.int64)
+                inner = (p > 0) & (t > 0)
+                before = self.tokens[self.first[item] + p - inner] == tokens[t - inner]
+                begins = (self.least[item] == length) & ~(inner & before)
+                found.append(np.stack((item[begins], p[begins], t[begins])))
+        item, p, t = np.concatenate(found, axis=1)
+        n = self.least[item].astype(np.int64)
+        growing = np.arange(len(item))
+        while len(growing):
+            i, at, to = item[growing], p[growing] + n[growing], t[growing] + n[growing]
+            inside = (at < self.size[i]) & (to < len(tokens))
+            growing, i, at, to = growing[inside], i[inside], at[inside], to[inside]
+            growing = growing[self.tokens[self.first[i] + at] == tokens[to]]
+            n[growing] += 1
+        return item, p, t, n
 
 
 def _covered(index: Index, least: int, threshold: float):
     def document(tokens: np.ndarray) -> list[tuple[int, float, int]]:
-        pairs: dict[int, list[tuple[int, int]]] = {}
-        for length in index.lengths:
-            seeds = seed_hashes(tokens, length)
-            left = np.searchsorted(index.seeds, seeds)
-            hit = np.flatnonzero(index.seeds[np.minimum(left, len(index.seeds) - 1)] == seeds) if len(seeds) else []
-            for at in hit:
-                k = left[at]
-                while k < len(index.seeds) and index.seeds[k] == seeds[at]:
-                    item, p = index.where[k]
-                    if min(least, len(index.tokens[item])) == length:
-                        pairs.setdefault(item, []).append((p, int(at)))
-                    k += 1
+        item, p, t, n = index.runs(tokens)
+        order = np.argsort(item, kind="stable")
         out = []
-        for item, own in pairs.items():
-            pattern = index.tokens[item]
-            if len({p + k for p, _ in own for k in range(least)} & set(range(len(pattern)))) < threshold * len(pattern):
+        for own in np.split(order, np.flatnonzero(np.diff(item[order])) + 1) if len(order) else []:
+            i = int(item[own[0]])
+            size = int(index.size[i])
+            change = np.zeros(size + 1, np.int64)
+            np.add.at(change, p[own], 1)
+            np.add.at(change, p[own] + n[own], -1)
+            if np.count_nonzero(np.cumsum(change[:-1])) < threshold * size:
                 continue  # even all matches together leave too much uncovered
-            covered = sum(length for _, _, length in tiles(pattern, tokens, own, min(least, len(pattern))))
-            if covered >= threshold * len(pattern):
-                out.append((index.ids[item], covered / len(pattern), covered))
+            runs = list(zip(n[own].tolist(), p[own].tolist(), t[own].tolist()))
+            covered = sum(length for _, _, length in tiles(size, len(tokens), runs, int(index.least[i])))
+            if covered >= threshold * size:
+                out.append((index.ids[i], covered / size, covered))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +195,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH
 
     Tokens are runs of letters, digits and non-ASCII characters of the lower-cased text; an item of fewer
     than ``least`` tokens must match as a whole. Items without tokens match nothing. Null and empty texts
-    have no row. Repeated rows give repeated rows. Other columns are not read.
+    have no row. Repeated rows give repeated rows. Other columns are not read. A very long text is read whole; what
+    is held of it are its tokens and the matches with the items, each of which is one entry however long it is.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
     texts = texts.where(F.col("text") != "")

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -87,6 +88,21 @@ def test_decontamination_of_awkward_tables(spark):
     assert decontamination.decontaminate(table.limit(0), items).count() == 0
 
 
+def test_a_word_fifty_thousand_times():
+    """Every place of the item shares its seeds with every place of the text; a match is one entry."""
+    import tracemalloc
+
+    index = decontamination.Index([(1, "so " * 206), (2, "so " * 100 + " ".join(words(1, 100)))], 5)
+    text = decontamination.Index([(0, "so " * 50_000)], 5).tokens
+    tracemalloc.start()
+    found = decontamination._covered(index, 5, 0.5)
+    rows = [tuple(r.values()) for batch in found(iter([pa.record_batch([pa.array([7]), pa.array(["so " * 50_000])], names=["doc_id", "text"])])) for r in batch.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == [(7, 1, 1.0, 206), (7, 2, 0.5, 100)] and len(text) == 50_000
+    assert peak < 100 << 20
+
+
 def test_packing_refuses_tokenizers_that_join_words(spark):
     import public_tokenizers
 
