@@ -21,11 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/kithwork-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/kithwork-llm/{spark.sparkContext.applicationId}"
+
+
+def remove_stored(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this application, through the file system of the shared folder; whether
+    there were any. To be called when the results have been written: until then they read these tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str) -> Iterator[None]:
     """SQL settings (dots as double underscores) for what is run inside."""

@@ -1,10 +1,12 @@
-"""Samples for the classifier fits: bounded before they are ranked, and with excerpts of long texts."""
+"""Shared helpers: samples for the classifier fits, bounded before they are ranked and with excerpts of long texts,
+and stored intermediate tables."""
 
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from kithwork.llm.language_id import language_id
+from kithwork.llm import tables
 from kithwork.llm.tables import excerpt, hash_sample, labelled_sample
 from kithwork.llm.toxicity import toxicity
 from tables_for_tests import LABELS, documents, words
@@ -57,3 +59,11 @@ def test_a_language_of_long_texts_only_is_learned(spark):
     rows = [(i, " ".join(words(i, 6000, 30)), "ww") for i in range(12)] + [(100 + i, " ".join(f"der{w}" for w in words(i, 40, 30)), "de") for i in range(12)]
     found = {r["doc_id"]: r["lang_pred"] for r in language_id(documents(spark, rows)).collect()}
     assert [found[i] for i in (0, 5, 11, 100, 111)] == ["ww"] * 3 + ["de"] * 2
+
+
+def test_stored_tables_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "shared_folder", lambda _: str(tmp_path))
+    kept = tables.stored(spark.range(5), "numbers")
+    assert kept.count() == 5 and len(list(tmp_path.rglob("numbers-*"))) == 1
+    assert tables.remove_stored(spark) and not list(tmp_path.rglob("numbers-*"))
+    assert not tables.remove_stored(spark)
