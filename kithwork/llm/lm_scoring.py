@@ -11,8 +11,9 @@
    is the estimate. P(w | h) = (est(h, w) + MU * p(w)) / (est(h) + MU), where p(w) is the exact add-one
    probability of the token, so unseen pairs fall back to it.
 4. Exact token counts: the at most ``HEAD`` most frequent tokens are broadcast. Every occurrence of another
-   token becomes a row and meets its count in a join; such tokens are rare by construction, so no key of
-   that join is hot.
+   token becomes a row and meets its count in a join. Such tokens are rare in the training texts; one that
+   only other texts repeat (held-out ones, rows without id) can be frequent there, and adaptive execution
+   splits its rows.
 """
 
 from __future__ import annotations

@@ -126,7 +126,8 @@ def substring_dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """One row per row of ``docs``: (doc_id, text, removed, n_removed).
 
     ``text`` is what stays, ``removed`` the removed spans (start, stop) in code points of the original text,
-    ascending. Null texts stay null, empty ones empty. Rows without id are left as they are. Ties cannot
+    ascending. Null texts stay null, empty ones empty. Units of fewer than ``least`` words always stay, also in a
+    copied passage, and so does the part of a passage that shares a sentence with other text. Rows without id are left as they are. Ties cannot
     occur: (doc_id, offset) ranks units; rows that repeat a doc_id with its text count as one document. An
     empty table gives an empty result; other columns are not read.
     """
