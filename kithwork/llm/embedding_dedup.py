@@ -30,7 +30,7 @@ CELL = 0.01
 PCA_SAMPLE = 5000
 FIRST_AXES = 8
 SLACK = 1e-9
-VECTORS = "vec_id long, label int, dim int, d1 long, d2 long, unit array<double>"
+VECTORS = "vec_id long, label long, dim int, d1 long, d2 long, unit array<double>"
 
 
 def vector_digest(x: np.ndarray) -> tuple[int, int]:
@@ -176,7 +176,7 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     rows that repeat one the smallest (label, embedding) counts. Ties: the smallest id of a component is
     kept. An empty table gives an empty result; other columns are not read.
     """
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min(F.struct("label", "embedding")).alias("v")).select("vec_id", "v.label", "v.embedding")
     vectors = stored(rows.mapInArrow(_units, VECTORS), "vectors")
     copies = ["label", "dim", "d1", "d2"]
@@ -187,7 +187,7 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         sample = reps.where(F.col("dim") == row["dim"]).orderBy(F.xxhash64("rep")).limit(PCA_SAMPLE).select("unit").collect()
         axes[row["dim"]] = principal_axes([r["unit"] for r in sample])
     turned = reps.select("rep", "label", "dim", "unit", "weight").mapInArrow(
-        _rotate(embeddings.sparkSession.sparkContext.broadcast(axes)), "rep long, label int, dim int, unit array<double>, weight long, turned array<double>, z double"
+        _rotate(embeddings.sparkSession.sparkContext.broadcast(axes)), "rep long, label long, dim int, unit array<double>, weight long, turned array<double>, z double"
     )
     rows = tiled(stored(turned, "turned"), threshold)
     found = rows.groupBy("label", "dim", "lo", "hi").applyInArrow(_compare(threshold), "rep long, links long, root long")

@@ -145,6 +145,12 @@ def test_embeddings_equal_brute_force(spark, monkeypatch, tile):
     assert found == brute_vectors(rows)
 
 
+def test_embeddings_take_wide_labels(spark):
+    rows = [(1, [1.0, 2.0], 5_000_000_000), (2, [2.0, 4.0], 5_000_000_000), (3, [1.0, 2.0], 705_032_704)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")
+    assert {r["vec_id"]: r["component_id"] for r in embedding_dedup.embedding_dedup(table).collect()} == {1: 1, 2: 1, 3: 3}
+
+
 def test_embeddings_of_empty_tables(spark):
     assert embedding_dedup.embedding_dedup(spark.createDataFrame([], VECTORS)).count() == 0
     only_bad = spark.createDataFrame([(1, 1, None, "", "", ""), (2, None, [1.0], "", "", "")], VECTORS)
