@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kithwork.llm.tables import stored
-from kithwork.llm.words import BASE, Hasher, column_bytes, mix, slices
+from kithwork.llm.words import BASE, Hasher, column_bytes, lean, mix, slices
 
 MIN_MATCH = 5
 THRESHOLD = 0.5
@@ -205,7 +205,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH
     for block in benchmark_blocks(benchmark):
         index = Index(block, least)
         if len(index.seeds):
-            found.append(stored(texts.mapInArrow(_covered(index, least, threshold), schema), "contaminations"))
+            found.append(stored(texts.mapInArrow(lean(_covered(index, least, threshold)), schema), "contaminations"))
     return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 

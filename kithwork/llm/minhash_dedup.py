@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kithwork.llm.components import components
 from kithwork.llm.tables import matching_rows, stored
-from kithwork.llm.words import Hasher, column_bytes, mix, shingle_hashes, slices
+from kithwork.llm.words import Hasher, column_bytes, lean, mix, shingle_hashes, slices
 
 SHINGLE = 5
 PERCENT = 85
@@ -103,7 +103,7 @@ def _sketches(size: int, side: int):
 def sketches(docs: DataFrame, size: int = SHINGLE, side: int = SIDE) -> DataFrame:
     """One row per doc_id; of rows with the same id the one with the smallest sketch."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = rows.where(F.col("doc_id").isNotNull()).mapInArrow(_sketches(size, side), SKETCH)
+    made = rows.where(F.col("doc_id").isNotNull()).mapInArrow(lean(_sketches(size, side)), SKETCH)
     return made.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "d1", "d2", "parts")).alias("s")).select("doc_id", "s.*")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from kithwork.llm.tables import stored
-from kithwork.llm.words import Hasher, Words, column_bytes, slices
+from kithwork.llm.words import Hasher, Words, column_bytes, lean, slices
 
 WINDOW = 2048
 BIN = 8
@@ -263,7 +263,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, width:
     check_tokenizer(definition.value)
     bins = window // width
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = rows.mapInArrow(_pieces(definition, window), PIECES).withColumn("bin", F.ceil(F.col("length") / width).cast("int"))
+    pieces = rows.mapInArrow(lean(_pieces(definition, window)), PIECES).withColumn("bin", F.ceil(F.col("length") / width).cast("int"))
     # Pieces are dealt out by a number of their own, so that no id, or row without one, is a hot shard.
     pieces = stored(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces")
     histogram = {r["bin"]: r["count"] for r in pieces.groupBy("bin").count().collect()}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kithwork.llm.logistic import fit_logistic, sigmoid
 from kithwork.llm.tables import fold, labelled_sample
-from kithwork.llm.words import column_bytes
+from kithwork.llm.words import column_bytes, lean
 
 SAMPLE = 3000
 SAMPLE_BYTES = 50_000
@@ -136,7 +136,7 @@ def _good(model: dict, text: int, threshold: float):
 def keep_good(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores at least ``threshold``; no shuffle of the texts."""
     model = fit_quality(*labelled_sample(docs, labels, "quality", modulus, held_out, SAMPLE, SAMPLE_BYTES))
-    return docs.mapInArrow(_good(model, docs.columns.index("text"), threshold), docs.schema)
+    return docs.mapInArrow(lean(_good(model, docs.columns.index("text"), threshold)), docs.schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, threshold: float = THRESHOLD) -> DataFrame:

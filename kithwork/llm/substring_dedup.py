@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kithwork.llm.words import BASE, INVERSE, Hasher, column_bytes, mix, powers, slices
+from kithwork.llm.words import BASE, INVERSE, Hasher, column_bytes, lean, mix, powers, slices
 
 MIN_WORDS = 5
 UNITS = "doc_id long, start int, stop int, h1 long, h2 long"
@@ -82,7 +82,7 @@ def _units(least: int):
 def repeated_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """(doc_id, start, stop, first_doc, first_start): every later occurrence of a unit, and the one that stays."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    units = rows.where("doc_id is not null and text <> ''").mapInArrow(_units(least), UNITS)
+    units = rows.where("doc_id is not null and text <> ''").mapInArrow(lean(_units(least)), UNITS)
     firsts = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
     firsts = firsts.where("n > 1").select("h1", "h2", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start"))
     later = units.join(firsts, ["h1", "h2"]).where("doc_id <> first_doc or start <> first_start")
@@ -119,7 +119,7 @@ def remove_repeated(docs: DataFrame, least: int = MIN_WORDS, removed: str = "rem
     rows = docs.withColumn("text", F.col("text").cast("string"))
     rows = rows.join(found, F.col("doc_id").cast("long") == F.col("_kithwork_owner"), "left").drop("_kithwork_owner")
     schema = rows.withColumn(removed, F.col(removed).cast(SPAN)).schema
-    return rows.select(*docs.columns, F.col(removed).cast(SPAN).alias(removed)).mapInArrow(_cut(docs.columns.index("text")), schema)
+    return rows.select(*docs.columns, F.col(removed).cast(SPAN).alias(removed)).mapInArrow(lean(_cut(docs.columns.index("text"))), schema)
 
 
 def substring_dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:

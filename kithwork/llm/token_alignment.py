@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from kithwork.llm.tables import stored
-from kithwork.llm.words import column_bytes, slices
+from kithwork.llm.words import column_bytes, lean, slices
 
 # Pairs with at least this part of the rows have their counts broadcast: no more pairs than that exist.
 FREQUENT = 1 << 17
@@ -385,7 +385,7 @@ def token_alignment(docs: DataFrame, byte_level: str | None = None, pieces: str
     with open(pieces or piece_path(), "rb") as file:
         model = context.broadcast(file.read())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_aligned(definition, model), RESULT)
+    return rows.mapInArrow(lean(_aligned(definition, model)), RESULT)
 
 
 def with_pair_counts(aligned: DataFrame, frequent: int = FREQUENT) -> DataFrame:

@@ -6,7 +6,8 @@ UTF-8 bytes of an Arrow column in slices of about ``SLICE_BYTES``, so memory doe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -22,6 +23,22 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` with the memory of its large arrays given back to the system at its end: Spark keeps the process for
+    the tasks of later stages, and what an allocator holds would add up with theirs."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 class Words(NamedTuple):
     hashes: np.ndarray  # uint64, one per word
     first: np.ndarray  # words first[d] to first[d + 1] belong to text d
