@@ -61,6 +61,6 @@ def top_friend_age(
 
 
 def report_lines(top: DataFrame, rounded: bool = True) -> DataFrame:
-    """``(rank, uid, text)``: address and average age of ``top_friend_age`` as text, with two decimals if ``rounded``."""
+    """``(rank, uid, text)``: address and average age of ``top_friend_age`` as text, with two decimals (halves up) if ``rounded``."""
     age = F.format_string("%.2f", "avg_age") if rounded else F.col("avg_age").cast("string")
     return top.select("rank", "uid", F.concat_ws(", ", "address", age).alias("text"))

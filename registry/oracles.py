@@ -294,7 +294,7 @@ from people"""),
     "top_friend_age_year": _with(["edges", "profiles"], _top("year"), TOP_BODY),
     "top_friend_age_rounded": _with(["edges", "profiles"], _top("year", rounded=True), TOP_BODY),
     "age_report_lines": _with(["edges", "profiles"], _top("month"), """
-select cast(rank as int) rank, uid, address || ', ' || printf('%.2f', avg_age) as text from report"""),
+select cast(rank as int) rank, uid, address || ', ' || cast(cast(round(cast(avg_age as decimal(18, 9)), 2) as decimal(18, 2)) as varchar) as text from report"""),
     "select_users": _view("users", f"select * from users where {ASKED_USERS}"),
     "select_movies": _view("movies", f"select * from movies where {ASKED_MOVIES}"),
     "movie_avg_rating": _with(["ratings", "movies"], AVERAGES, "select item_id, round(avg_rating, 6) avg_rating from averages"),
