@@ -37,6 +37,23 @@ def test_sums_stay_in_their_block(spark, rated):
     blocks.routes.unpersist()
 
 
+def test_a_half_round_shuffles_nothing_between_stored_factors_and_sums(spark, rated):
+    rows = rated.withColumn("rating", F.col("rating").cast("double"))
+    numbers = fz._block_numbers(spark, 4)
+    blocks = fz.in_blocks(rows, "item_id", "user_id", {}, numbers)
+    with settings(spark, fz.BY_BLOCK):
+        users = fz._store(fz.start_factors(blocks.routes, "user_id", 2), "user_id", numbers)
+        sums = fz.normal_sums(blocks, users, 2)
+        assert "ENSURE_REQUIREMENTS" not in executed(sums)
+        found = {r.item_id: r for r in sums.collect()}
+        assert 1 < sums.select(F.spark_partition_id()).distinct().count() <= 4
+    blocks.unpersist()
+    f = {r.user_id: (r.f0, r.f1) for r in users.collect()}
+    for item, r in found.items():
+        given = [(f[u], x) for u, i, x in rated.collect() if i == item]
+        assert r.a_0_1 == pytest.approx(sum(a * b for (a, b), _ in given)) and r.b_1 == pytest.approx(sum(x * b for (_, b), x in given))
+
+
 def test_stored_factors_are_read_by_bucket(spark, rated, tmp_path):
     users, items = fz.als_factors(rated, rounds=2)
     store = fz.save_factors(users, str(tmp_path / "u"), 8)
