@@ -45,6 +45,9 @@ def test_a_half_round_shuffles_nothing_between_stored_factors_and_sums(spark, ra
         users = fz._store(fz.start_factors(blocks.routes, "user_id", 2), "user_id", numbers)
         sums = fz.normal_sums(blocks, users, 2)
         assert "ENSURE_REQUIREMENTS" not in executed(sums)
+        # Stored factors are known to be sorted, also those that a half-round made.
+        items = fz._store(fz.solve(sums, "item_id", 2, 1.0), "item_id", numbers)
+        assert "item_id" in items._jdf.queryExecution().executedPlan().outputOrdering().toString()
         found = {r.item_id: r for r in sums.collect()}
         assert 1 < sums.select(F.spark_partition_id()).distinct().count() <= 4
     blocks.unpersist()
