@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kithwork.llm.components import components
-from kithwork.llm.tables import matching_rows, stored
+from kithwork.llm.tables import few_tasks, matching_rows, stored
 from kithwork.llm.words import Hasher, column_bytes, lean, mix, shingle_hashes, slices
 
 SHINGLE = 5
@@ -35,6 +35,9 @@ SIDE = 12
 HALF = 4
 TILE_DOCS = 1024
 TILE_SHINGLES = 250_000
+# Table keys that one task writes, at most one for each document and table.
+TASK_KEYS = 2_000_000
+TASK_SKETCHES = 20_000
 
 SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, parts array<long>"
 MISSED = 0.0003
@@ -107,8 +110,8 @@ def sketches(docs: DataFrame, size: int = SHINGLE, side: int = SIDE) -> DataFram
     return made.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "d1", "d2", "parts")).alias("s")).select("doc_id", "s.*")
 
 
-def candidate_stars(reps: DataFrame, side: int = SIDE) -> DataFrame:
-    """(a, b): for every table key with several documents, each of them with the smallest."""
+def candidate_stars(reps: DataFrame, side: int = SIDE) -> tuple[DataFrame, int]:
+    """(a, b): for every table key with several documents, each of them with the smallest; and how many rows at most."""
     first_side = F.col("at") < side
     parts = reps.select("rep", F.posexplode("parts").alias("at", "part"))
     shared = parts.groupBy("part").count().where("count > 1").select("part")
@@ -116,9 +119,9 @@ def candidate_stars(reps: DataFrame, side: int = SIDE) -> DataFrame:
         F.collect_list(F.when(first_side, F.col("part"))).alias("us"), F.collect_list(F.when(~first_side, F.col("part"))).alias("vs")
     )
     keys = held.select("rep", "vs", F.explode("us").alias("u")).select("rep", "u", F.explode("vs").alias("v"))
-    keys = stored(keys.select(F.xxhash64("u", "v").alias("key"), "rep"), "keys")
+    keys = stored(few_tasks(keys.select(F.xxhash64("u", "v").alias("key"), "rep"), reps.count(), TASK_KEYS // side**2), "keys")
     first = keys.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    return keys.join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    return keys.join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), keys.count()
 
 
 def intersections(sets: list[np.ndarray], dense_from: int = 32) -> np.ndarray:
@@ -207,11 +210,12 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, clumps: DataFrame, size: i
     held = clumps.select(F.col("id").alias("rep"), F.col("component").alias("clump")).join(reps.select("rep", "n_shingles", "d1", "d2"), "rep")
     stats = held.groupBy("clump").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
     tiles = F.ceil(F.greatest(F.col("n") / TILE_DOCS, F.col("total") / TILE_SHINGLES)).cast("int")
-    held = stored(held.join(stats.select("clump", tiles.alias("tiles")), "clump"), "clumps")
-    bins = 1 + (held.where("tiles = 1").agg(F.sum("n_shingles")).first()[0] or 0) // TILE_SHINGLES
+    held = stored(few_tasks(held.join(stats.select("clump", tiles.alias("tiles")), "clump"), clumps.count()), "clumps")
+    small, total = held.agg(F.sum(F.when(F.col("tiles") == 1, F.col("n_shingles"))), F.sum("n_shingles")).first()
+    bins = 1 + (small or 0) // TILE_SHINGLES
     held = held.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    rows = matching_rows(texts, held.where("tiles >= 1"), "rep", "texts")
+    rows = matching_rows(texts, held.where("tiles >= 1"), "rep", "texts", (total or 0, TILE_SHINGLES))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     rows = rows.select(
         "clump", "rep", "tile", "d1", "d2", "text", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"),
@@ -234,8 +238,9 @@ def minhash_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     reps = sketch.where("n_shingles > 0").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("parts").alias("parts")
     )
-    reps = stored(reps, "sets")
-    clumps = components(candidate_stars(reps, side))
+    reps = stored(few_tasks(reps, sketch.count(), TASK_SKETCHES), "sets")
+    stars, most = candidate_stars(reps, side)
+    clumps = components(stars, most=most)
     linked = components(confirmed_links(docs, reps, clumps, size, percent))
     classes = reps.select("d1", "d2", "rep").join(linked, F.col("rep") == F.col("id"), "left")
     classes = classes.select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))

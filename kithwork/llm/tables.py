@@ -26,6 +26,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows of a few numbers each that one task takes.
+TASK_ROWS = 50_000
+
+
+def few_tasks(df: DataFrame, rows: int, per_task: int = TASK_ROWS) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in tasks of ``per_task`` rows where those are fewer than a shuffle has.
+
+    Rows stay where they are and tasks take several parts. Larger tables keep their tasks, and every core has one.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, 1 + rows // per_task)
+    return df.coalesce(tasks) if tasks < int(spark.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/kithwork-llm/{spark.sparkContext.applicationId}"
 
@@ -51,15 +65,16 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def matching_rows(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
-    """Inner join of a wide table with the few of its keys that are wanted, stored.
+def matching_rows(df: DataFrame, keys: DataFrame, key: str, name: str, tasks_of: tuple[int, int] | None = None) -> DataFrame:
+    """Inner join of a wide table with the few of its keys that are wanted, stored; ``tasks_of`` as for ``few_tasks``.
 
     Where Spark shuffles the join, it first drops most other rows of ``df`` in the scan with a Bloom filter
     of bounded size (``spark.sql.optimizer.runtime.bloomFilter.maxNumBits``), so wide rows nobody wants are
     not shuffled. ``keys`` must hold a likely selective condition for Spark to make one.
     """
     with settings(df.sparkSession, spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0"):
-        return stored(df.join(keys, key), name)
+        rows = df.join(keys, key)
+        return stored(few_tasks(rows, *tasks_of) if tasks_of else rows, name)
 
 
 def fold(doc_id: Column | str, modulus: int) -> Column:

@@ -7,8 +7,9 @@ import re
 import numpy as np
 import pytest
 
-from kithwork.llm import embedding_dedup, minhash_dedup, substring_dedup
+from kithwork.llm import components as components_module, embedding_dedup, minhash_dedup, substring_dedup
 from kithwork.llm.components import components
+from kithwork.llm.tables import settings, stored
 from tables_for_tests import as_dict, awkward, documents, words
 
 LOW = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -110,6 +111,17 @@ def test_components_of_paths_and_loops(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_links_are_few_tasks_and_stars_end_the_rounds(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(components_module, "stored", lambda df, name: made.append(stored(df, name)) or made[-1])
+    with settings(spark, spark__sql__shuffle__partitions="37", spark__sql__adaptive__coalescePartitions__enabled="false"):
+        star = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(1000, 1001)], "a long, b long")
+        assert {r["component"] for r in components(star).collect()} == {0, 1000} and len(made) == 1
+        path = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+        assert [r["component"] for r in components(path, most=9).collect()] == [0] * 10
+    assert len(made) > 2 and all(len(df.inputFiles()) <= spark.sparkContext.defaultParallelism for df in made[1:])
+
+
 def brute_vectors(rows):
     unit = {}
     for i, label, v in rows:
