@@ -1,7 +1,7 @@
 """Clustering of items by who rated them and how.
 
 An item is a point with one coordinate per user. Neither points nor centres are ever held whole:
-``kmeans_items`` keeps both in long form (user by user), so their width may grow with the users.
+the iterations keep both in long form (user by user), so their width may grow with the users.
 """
 
 from __future__ import annotations
@@ -10,13 +10,14 @@ import uuid
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from kithwork.functions import spread_hash
-from kithwork.session import cut_lineage, shared_folder
+from kithwork.session import cut_lineage, settings, shared_folder
 
 from .ordering import numbered
 from .skew import bags, join_splits, laid_out, lookup, measure, spread_join
@@ -30,6 +31,8 @@ DIGITS = 9
 # Distances are kept to DIGITS, so a bound is widened by more than that, and a clear lead is larger still.
 SLACK = 1e-8
 APART = 1e-6
+# The library's iterations end where no centre moves further than this.
+TOLERANCE = 1e-4
 
 
 def _points(ratings: DataFrame) -> DataFrame:
@@ -84,7 +87,7 @@ class Centres(NamedTuple):
     sums: DataFrame  # (user_id, cluster, s)
     sizes: list[int]
     norms: list[float]
-    shifts: list[float]  # how far each centre has moved at most
+    shifts: list[float]  # how far each centre has moved
 
 
 def _moved_centres(old: Centres | None, deltas: DataFrame, before: list[int], counts: list[int]) -> Centres:
@@ -103,7 +106,7 @@ def _moved_centres(old: Centres | None, deltas: DataFrame, before: list[int], co
     sums = cut_lineage(sums.select("user_id", "cluster", F.col("new").alias("s"), (shift * shift).alias("shift")))
     squares = {r["cluster"]: r for r in sums.groupBy("cluster").agg(F.sum(F.col("s") * F.col("s")).alias("n"), F.sum("shift").alias("shift")).collect()}
     norms = [squares[j]["n"] / size**2 if j in squares else 0.0 for j, size in enumerate(sizes)]
-    shifts = [squares[j]["shift"] ** 0.5 * (1 + SLACK) + SLACK if j in squares else 0.0 for j in range(len(sizes))]
+    shifts = [squares[j]["shift"] ** 0.5 if j in squares else 0.0 for j in range(len(sizes))]
     return Centres(sums.where("s <> 0").drop("shift"), sizes, norms, shifts)
 
 
@@ -153,32 +156,45 @@ def kmeans_items(
     Where no item has changed the later iterations cannot differ and are left out.
     """
     points = cut_lineage(_points(ratings))
+    order = [spread_hash(F.col("item_id"), seed), F.col("item_id")]
+    # The window numbers the k start items only.
+    number = F.row_number().over(Window.orderBy(*order)) - 1
+    seeds = points.select("item_id").distinct().orderBy(*order).limit(k)
+    assigned = cut_lineage(seeds.select("item_id", number.alias("cluster"), F.lit(None).cast("int").alias("old")))
+    n_seeds = assigned.count()
+    if not n_seeds:
+        return assigned.select("item_id", "cluster", F.lit(0.0).alias("sq_dist"))
+    return _iterate(points, assigned, [1] * n_seeds, iterations)
+
+
+def _iterate(
+    points: DataFrame, assigned: DataFrame, counts: list[int], iterations: int, start: Centres | None = None, tolerance: float | None = None
+) -> DataFrame:
+    """``(item_id, cluster, sq_dist)`` after the iterations that follow the items ``assigned``, ``counts`` by cluster.
+
+    ``start`` holds the centres before them, if there are any. They also end where no centre moves further than
+    the tolerance.
+    """
     user_splits, item_splits = (join_splits(points.sparkSession, hot) for hot in measure(points, "user_id", "item_id"))
     by_user = laid_out(points, "user_id", user_splits).persist(StorageLevel.MEMORY_AND_DISK)
     by_item = laid_out(points, "item_id", item_splits).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _iterate(by_user, by_item, user_splits, item_splits, k, iterations, seed)
+        return _iterations(by_user, by_item, user_splits, item_splits, assigned, counts, iterations, start, tolerance)
     finally:
         by_user.unpersist()
         by_item.unpersist()
 
 
-def _iterate(by_user: DataFrame, by_item: DataFrame, user_splits: dict, item_splits: dict, k: int, iterations: int, seed: int) -> DataFrame:
-    order = [spread_hash(F.col("item_id"), seed), F.col("item_id")]
-    # The window numbers the k start items only.
-    number = F.row_number().over(Window.orderBy(*order)) - 1
-    none = F.lit(None).cast("int")
-    seeds = by_item.select("item_id").distinct().orderBy(*order).limit(k)
-    assigned = cut_lineage(seeds.select("item_id", number.alias("cluster"), none.alias("old")))
-    n_seeds = assigned.count()
-    before, counts = [0] * n_seeds, [1] * n_seeds
-    if not n_seeds:
-        return assigned.select("item_id", "cluster", F.lit(0.0).alias("sq_dist"))
-    centres, items, moved = None, None, n_seeds
+def _iterations(
+    by_user: DataFrame, by_item: DataFrame, user_splits: dict, item_splits: dict, assigned: DataFrame, counts: list[int],
+    iterations: int, centres: Centres | None, tolerance: float | None,
+) -> DataFrame:
+    k = len(counts)
+    before, items, moved = [0] * k, None, k
     for number in range(1, iterations + 1):
         changed = assigned.where("old is null or old <> cluster").select("item_id", "cluster", "old")
         centres = _moved_centres(centres, _deltas(by_item, changed, item_splits), before, counts)
-        last = number == iterations or not moved
+        last = number == iterations or not moved or (tolerance is not None and max(centres.shifts) <= tolerance)
         if last or items is None:
             points, still = by_user, None
         else:
@@ -194,13 +210,14 @@ def _iterate(by_user: DataFrame, by_item: DataFrame, user_splits: dict, item_spl
         assigned = cut_lineage(found.unionByName(still) if still is not None else found)
         changes = F.count_if(F.col("old").isNull() | (F.col("old") != F.col("cluster")))
         sizes = {r["cluster"]: (r["n"], r["m"]) for r in assigned.groupBy("cluster").agg(F.count("*").alias("n"), changes.alias("m")).collect()}
-        before, counts = counts, [sizes.get(j, (0, 0))[0] for j in range(n_seeds)]
+        before, counts = counts, [sizes.get(j, (0, 0))[0] for j in range(k)]
         items, moved = sum(counts), sum(m for _, m in sizes.values())
     return cut_lineage(found.select("item_id", "cluster", "sq_dist"))
 
 
 def _with_bounds(assigned: DataFrame, shifts: list[float]) -> tuple[DataFrame, int]:
     """``assigned`` with bounds that hold for the moved centres and ``active`` where an item may change; their number."""
+    shifts = [shift * (1 + SLACK) + SLACK for shift in shifts]
     others = [max((s for i, s in enumerate(shifts) if i != j), default=0.0) for j in range(len(shifts))]
     rows = assigned.withColumns({"upper": F.col("upper") + _of(shifts), "lower": F.greatest(F.col("lower") - _of(others), F.lit(0.0))})
     # Squares further apart than rounding could hide.
@@ -233,21 +250,57 @@ def sample_lines(samples: DataFrame) -> DataFrame:
 def kmeans_mllib(
     vectors: DataFrame, k: int = CLUSTERS, iterations: int = ITERATIONS, seed: int = 11
 ) -> DataFrame:
-    """``(item_id, cluster)`` from Spark's own KMeans over whole ``item_vectors``.
+    """``(item_id, cluster)`` as Spark's own KMeans gives them over whole ``item_vectors``.
 
-    Its k dense centres live on the driver and its vectors have 32-bit positions: wider data is for
+    The library chooses the start centres and finds their items. It would send dense sums, clusters x width, to the
+    driver in each iteration: the iterations run as those of ``kmeans_items``, and end where the library's do.
+
+    The k dense start centres live on the driver and the library's vectors have 32-bit positions: wider data is for
     ``kmeans_items``. The vectors are stored once in the layout of the vector type, without Python.
     """
     run = F.struct("part", F.col("indices").cast("array<int>").alias("i"), F.col("values").alias("x"))
     runs = F.sort_array(F.collect_list(run))
     whole = vectors.groupBy("item_id").agg(F.max("size").cast("int").alias("size"), runs.alias("runs"))
-    stored = whole.select("item_id", F.struct(
+    # The number stands for the item in all joins, also where its id is null.
+    stored = whole.select("item_id", F.monotonically_increasing_id().alias("number"), F.struct(
         F.lit(0).cast("tinyint").alias("type"), "size", F.flatten("runs.i").alias("indices"), F.flatten("runs.x").alias("values")
     ).alias("features"))
     spark = vectors.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/vectors-{uuid.uuid4().hex}"
     stored.write.parquet(path)
-    schema = StructType([StructField("item_id", vectors.schema["item_id"].dataType), StructField("features", VectorUDT())])
+    plain = spark.read.schema(stored.schema).parquet(path)
+    schema = StructType([*stored.schema.fields[:2], StructField("features", VectorUDT())])
     features = spark.read.schema(schema).parquet(path)
-    model = KMeans(k=k, maxIter=iterations, seed=seed).fit(features)
-    return model.transform(features).select("item_id", F.col("prediction").alias("cluster"))
+    start = KMeans(k=k, maxIter=0, seed=seed).fit(features)
+    found = start.transform(features).select(F.col("number").alias("item_id"), F.col("prediction").alias("cluster"))
+    if iterations:
+        assigned = cut_lineage(found.withColumn("old", F.lit(None).cast("int")))
+        centres = _start_centres(spark, start, f"{path}-start")
+        sizes = {r["cluster"]: r["count"] for r in assigned.groupBy("cluster").count().collect()}
+        counts = [sizes.get(j, 0) for j in range(len(centres.sizes))]
+        found = _iterate(_entries(plain), assigned, counts, iterations, centres, TOLERANCE)
+    names = plain.select(F.col("number"), F.col("item_id").alias("name"))
+    return found.join(names, F.col("item_id") == F.col("number")).select(F.col("name").alias("item_id"), "cluster")
+
+
+def _entries(stored: DataFrame) -> DataFrame:
+    """``(item_id, user_id, value)``: the entries of stored vectors, by the numbers of the items; a missing value is 0.
+
+    A vector without entries comes with a 0, so that it has a cluster too.
+    """
+    entry = F.explode_outer(F.arrays_zip("features.indices", "features.values"))
+    entries = stored.select(F.col("number").alias("item_id"), entry.alias("e"))
+    position = F.coalesce(F.col("e.indices"), F.lit(0)).cast("bigint")
+    return entries.select("item_id", position.alias("user_id"), F.coalesce(F.col("e.values").cast("double"), F.lit(0.0)).alias("value"))
+
+
+def _start_centres(spark: SparkSession, model: KMeansModel, path: str) -> Centres:
+    """The centres of a fitted model, each as a cluster of one item, by way of its stored form: none comes back to the driver."""
+    # A task writes one centre.
+    with settings(spark, {"spark.sql.leafNodeDefaultParallelism": str(model.getK())}):
+        model.write().save(path)
+    stored = spark.read.parquet(f"{path}/data")
+    entries = stored.select(F.col("clusterIdx").alias("cluster"), F.posexplode(vector_to_array("clusterCenter")).alias("user_id", "s"))
+    sums = cut_lineage(entries.where("s <> 0").select(F.col("user_id").cast("bigint"), "cluster", "s"))
+    n = stored.count()
+    return Centres(sums, [1] * n, [0.0] * n, [0.0] * n)
