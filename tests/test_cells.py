@@ -94,7 +94,7 @@ def test_groups_bound_what_a_task_holds():
 
 def test_cells_wait_for_their_block_in_any_order():
     rng = np.random.default_rng(3)
-    factors, state = rng.random((2, 5)), np.full(5, cells.FOUND | cells.RATED, np.uint8)
+    factors, state = rng.random((5, 2)), np.full(5, cells.FOUND | cells.RATED, np.uint8)
     cell = cells.Cell(np.array([0, 0, 2], np.int32), np.array([1, 4, 0], np.int32), np.array([0, 1, 0], np.uint8), np.array([3.0, 0.0]), 1)
     rows = [cells._packed_row(0, 0, tuple(cell)), cells._packed_row(0, 1, tuple(cell)), cells._packed_row(cells.FACTORS, 0, (factors, state)), cells._packed_row(cells.FACTORS, 1, (factors * 2, state))]
     want = cells._added(iter(rows), 3, 2, 2)
